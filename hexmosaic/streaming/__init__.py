@@ -1,0 +1 @@
+"""The workload is a batch pipeline over immutable snapshots: there is no streaming operator."""
