@@ -152,7 +152,8 @@ def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     k = F.col("l_orderkey")
     gone = F.array(-k - 1, -k - 2)
-    ring = F.array(k, F.when(F.col("rf") == "R", -k - 1).otherwise(k + 1), k + 2, k)
+    side = F.when(F.col("rf") == "R", -k - 1).otherwise(k + 1)
+    ring = F.array(k, side, k + 2, side, k)
     wid = spark_expr(WAY_ID).cast("bigint")
     name = F.when(F.col("ls") == "O", F.concat(F.lit("Way "), wid.cast("string")))
     return w.select(

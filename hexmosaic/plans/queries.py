@@ -461,7 +461,7 @@ def app_population(spark, sf):
 def geojson_sample(spark, sf):
     """GeoJSON features of the POIs in one bbox."""
     inside = sinks.in_bbox(staged(spark, sf), BOX)
-    pts = inside.select("source_id", "name", "name_en", "category", "confidence", F.round("lat", 5).alias("lat"), F.round("lng", 5).alias("lng"))
+    pts = inside.select("source_id", "name", "name_en", "category", "confidence", F.round("lat", 7).alias("lat"), F.round("lng", 7).alias("lng"))
     return sinks.point_layer(pts, "geojson").withColumnRenamed("value", "feature")
 
 
