@@ -44,11 +44,33 @@ def _clearance(x: Column, y: Column) -> Column:
     return F.array_min(F.transform("edges", lambda e: _edge_distance2(e, x, y)))
 
 
-def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> DataFrame:
-    """Cell table of a polygon set: (key, h3, kind, cx, cy, centre_in, edges).
+def _best_spot(res: int) -> Column:
+    """(clear, x, y): of a few fixed points of the row's hexagon, the farthest from its edges."""
+    x, y = hx.cell_xy(F.col("h3"), res)
+    r = 0.5 * hx.circumradius(res)
+    shifts = F.array(
+        *[
+            F.struct(F.lit(r * math.cos(a)).alias("dx"), F.lit(r * math.sin(a)).alias("dy"))
+            for a in (0.2, 1.1, 2.4, 3.5, 4.6, 5.4)
+        ]
+    )
 
-    ``kind`` is 'interior', 'border' or 'band' (decide by ray parity); ``edges`` holds the local
-    edges of border cells.
+    def spot(d: Column) -> Column:
+        lat, lng = hx.unproject(x + d["dx"], y + d["dy"])
+        return F.struct(lng.alias("x"), lat.alias("y"))
+
+    def rated(p: Column) -> Column:
+        return F.struct(_clearance(p["x"], p["y"]).alias("clear"), p["x"].alias("x"), p["y"].alias("y"))
+
+    return F.array_max(F.transform(F.transform(shifts, spot), rated))
+
+
+def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> tuple[DataFrame, bool]:
+    """Cell table of a polygon set, (key, h3, kind, cx, cy, ref_in, edges), and whether it has
+    'band' cells.
+
+    ``kind`` is 'interior', 'border' or 'band' (decide by ray parity); (cx, cy) is the reference
+    point of a border cell, ``ref_in`` its side and ``edges`` the local edges.
     """
     edges = ring_edges(parts, key)
     xy = ["x1", "y1", "x2", "y2"]
@@ -69,57 +91,32 @@ def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> DataFrame:
         )
     )
     lat, lng = hx.cell_latlng(F.col("h3"), res)
-    cells = cells.withColumn("cx", lng).withColumn("cy", lat)
-    cells = cells.withColumn("near", _clearance(F.col("cx"), F.col("cy")) < CLEARANCE_DEG**2)
-    kind = (
-        F.when(F.col("n_edges") == 0, "interior")
-        .when(F.col("n_edges") > MAX_LOCAL_EDGES, "band")
-        .otherwise("border")
-    )
-    cells = cells.select("*", kind.alias("kind"))
-    moved = _move_reference(cells, edges, res, key)
-    keep = cells.where(F.coalesce("near", F.lit(False)) == F.lit(False))
-    out = [key, "h3", "kind", "cx", "cy", "centre_in", "edges"]
-    return keep.select(*out).unionByName(moved.select(*out))
-
-
-def _move_reference(near: DataFrame, edges: DataFrame, res: int, key: str) -> DataFrame:
-    """Replace the centre of cells where it almost lies on an edge.
-
-    Of a few fixed points of the hexagon the one farthest from the cell's edges becomes the
-    reference; its side is found by ray parity against its own polygon. A cell without any clear
-    point goes to the band test.
-    """
-    x, y = hx.cell_xy(F.col("h3"), res)
-    near = bind(near.where("near"), [key, "h3", "kind", "edges"], px=x, py=y)
-    r = 0.5 * hx.circumradius(res)
-    shifts = F.array(
-        *[
-            F.struct(F.lit(r * math.cos(a)).alias("dx"), F.lit(r * math.sin(a)).alias("dy"))
-            for a in (0.2, 1.1, 2.4, 3.5, 4.6, 5.4)
-        ]
-    )
-
-    def spot(d: Column) -> Column:
-        lat, lng = hx.unproject(F.col("px") + d["dx"], F.col("py") + d["dy"])
-        return F.struct(lng.alias("x"), lat.alias("y"))
-
-    def rated(p: Column) -> Column:
-        return F.struct(_clearance(p["x"], p["y"]).alias("clear"), p["x"].alias("x"), p["y"].alias("y"))
-
-    best = near.withColumn("spots", F.transform(shifts, spot))
-    best = best.withColumn("best", F.array_max(F.transform("spots", rated)))
-    best = best.select(
-        key,
-        "h3",
-        F.when(F.col("best.clear") < 1e-18, "band").otherwise(F.col("kind")).alias("kind"),
-        F.col("best.x").alias("cx"),
-        F.col("best.y").alias("cy"),
-        "edges",
+    cells = bind(cells, cells.columns, cx=lng, cy=lat)
+    border = F.col("n_edges").between(1, MAX_LOCAL_EDGES)
+    near = border & (_clearance(F.col("cx"), F.col("cy")) < CLEARANCE_DEG**2)
+    cells = cells.withColumn("spot", F.when(near, _best_spot(res)))
+    blocked = (F.col("n_edges") > MAX_LOCAL_EDGES) | (F.col("spot.clear") < 1e-18)
+    kind = F.when(F.col("n_edges") == 0, "interior").when(blocked, "band").otherwise("border")
+    cells = cut_lineage(
+        cells.select(
+            key,
+            "h3",
+            kind.alias("kind"),
+            F.coalesce("spot.x", "cx").alias("cx"),
+            F.coalesce("spot.y", "cy").alias("cy"),
+            "centre_in",
+            F.col("spot").isNotNull().alias("moved"),
+            "edges",
+        )
     )
-    pts = best.select("h3", key, F.col("cy").alias("lat"), F.col("cx").alias("lng"))
-    hits = points_in_parts(pts, edges, "h3", key, own_part=True).withColumn("_hit", F.lit(True))
-    return best.join(hits, [key, "h3"], "left").withColumn("centre_in", F.coalesce("_hit", F.lit(False)))
+    has = cells.agg(F.max("moved").alias("moved"), F.max(F.col("kind") == "band").alias("band")).first()
+    ref_in = F.col("centre_in")
+    if has["moved"]:
+        pts = cells.where("moved").select("h3", key, F.col("cy").alias("lat"), F.col("cx").alias("lng"))
+        hits = points_in_parts(pts, edges, "h3", key, own_part=True).withColumn("_hit", F.lit(True))
+        cells = cells.join(hits, [key, "h3"], "left")
+        ref_in = F.when(F.col("moved"), F.coalesce("_hit", F.lit(False))).otherwise(ref_in)
+    return cells.select(key, "h3", "kind", "cx", "cy", ref_in.alias("ref_in"), "edges"), bool(has["band"])
 
 
 def _segment_crosses(e: Column, cx: Column, cy: Column, x: Column, y: Column) -> Column:
@@ -149,18 +146,18 @@ def inside_by_cell(lat: Column, lng: Column) -> Column:
         "edges", F.lit(False), lambda s, e: s != _segment_crosses(e, cx, cy, lng, lat)
     )
     edge = F.exists("edges", lambda e: _touches(e, lng, lat))
-    local = (F.col("centre_in") != odd) | edge
+    local = (F.col("ref_in") != odd) | edge
     return (F.col("kind") == "interior") | ((F.col("kind") == "border") & local)
 
 
 def clip_points(points: DataFrame, parts: DataFrame, res: int, id_col: str = "source_id") -> DataFrame:
     """Rows of ``points`` (with lat, lng) inside any part, boundary included."""
-    cells = cut_lineage(clip_cells(parts, res))
-    p = points.withColumn("_cell", hx.cell(F.col("lat"), F.col("lng"), res))
+    cells, has_band = clip_cells(parts, res)
+    p = bind(points, points.columns, _cell=hx.cell(F.col("lat"), F.col("lng"), res))
     test = (F.col("_cell") == F.col("h3")) & inside_by_cell(F.col("lat"), F.col("lng"))
     kept = p.join(cells, test, "left_semi")
-    undecided = cells.where(F.col("kind") == "band").select("h3").distinct()
-    if not undecided.isEmpty():  # polygon-sized check, not a pass over the points
+    if has_band:
+        undecided = cells.where(F.col("kind") == "band").select("h3").distinct()
         rest = p.join(cells, test, "left_anti")
         ask = rest.join(undecided, F.col("_cell") == F.col("h3"), "left_semi").select(id_col, "lat", "lng")
         hits = points_in_parts(ask, ring_edges(parts), id_col).select(id_col)

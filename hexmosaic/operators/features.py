@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import rules
 from hexmosaic.operators.polygons import number_rows
+from hexmosaic.session import cut_lineage
 
 # Upper bounds and labels of the manual classes of n_poi.
 MANUAL_CLASSES = [(1, "1"), (4, "2–4"), (9, "5–9"), (24, "10–24"), (99, "25–99"), (None, "100+")]
@@ -106,6 +107,8 @@ def hex_features(
     groups = rules.DEFAULT_GROUPS if groups is None else groups
     names = group_names(groups)
     base = base_features(grid, population, poi_counts(pois, f"h3_res{res}", groups), names)
+    if ks:  # read twice below: once per cell, once scattered
+        base = cut_lineage(base)
     sums = ["population", "n_poi", *[f"n_{g}" for g in names]]
     out = base
     families = []

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from hexmosaic.functions.geo import MULTIPOLYGON
 from hexmosaic.operators.polygons import dump_parts
 from hexmosaic.operators.population import Affine
+from hexmosaic.session import bind
 from hexmosaic.sources.readers import ELEMENTS
 
 # Tags of nodes and ways, by index: places of every group, excluded ones and one non-place.
@@ -239,29 +240,23 @@ def ours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _point(x: str, y: str) -> Column:
-    return F.struct(spark_expr(degrees(x)).alias("x"), spark_expr(degrees(y)).alias("y"))
-
-
-def _star(radius: str) -> Column:
-    pts = []
-    for j, (dx, dy) in enumerate([*DIRECTIONS, DIRECTIONS[0]]):
-        r = radius.format(j=j % len(DIRECTIONS))
-        pts.append(_point(f"({AREA_CX} + {dx} * {r})", f"({AREA_CY} + {dy} * {r})"))
-    return F.array(*pts)
+def _ring(offsets: list[tuple[int, int]], radius: str | None) -> Column:
+    """Closed ring around (cx, cy): literal offsets, scaled by a radius expression of ``j``."""
+    closed = [*enumerate(offsets), (0, offsets[0])]
+    table = ", ".join(f"named_struct('j', {j}, 'dx', {dx}, 'dy', {dy})" for j, (dx, dy) in closed)
+    scale = "1" if radius is None else radius.format(j="o.j")
+    at = f"named_struct('x', {degrees(f'(cx + o.dx * {scale})')}, 'y', {degrees(f'(cy + o.dy * {scale})')})"
+    return spark_expr(f"transform(array({table}), o -> {at})")
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as land areas: a concave star, for some with a hole, and a tiny islet."""
     s = table(spark, sf_dir, "supplier")
-    islet = F.array(
-        *[
-            _point(f"({AREA_CX} + {4000 + dx})", f"({AREA_CY} + {4000 + dy})")
-            for dx, dy in ((0, 0), (100, 0), (100, 100), (0, 100), (0, 0))
-        ]
-    )
-    body = F.when(F.expr(HAS_HOLE), F.array(_star(OUTER_R), _star(HOLE_R))).otherwise(F.array(_star(OUTER_R)))
-    box = {"xmin": (AREA_CX, -3000), "xmax": (AREA_CX, 4100), "ymin": (AREA_CY, -3000), "ymax": (AREA_CY, 4100)}
+    s = bind(s, ["s_suppkey", "s_name", "s_nationkey"], cx=spark_expr(AREA_CX), cy=spark_expr(AREA_CY))
+    outer, hole = _ring(DIRECTIONS, OUTER_R), _ring(DIRECTIONS, HOLE_R)
+    islet = _ring([(4000, 4000), (4100, 4000), (4100, 4100), (4000, 4100)], None)
+    body = F.when(F.expr(HAS_HOLE), F.array(outer, hole)).otherwise(F.array(outer))
+    box = {"xmin": ("cx", -3000), "xmax": ("cx", 4100), "ymin": ("cy", -3000), "ymax": ("cy", 4100)}
     return s.select(
         F.col("s_suppkey").alias("id"),
         F.col("s_name").alias("area_name"),
