@@ -163,3 +163,15 @@ def clip_points(points: DataFrame, parts: DataFrame, res: int, id_col: str = "so
         hits = points_in_parts(ask, ring_edges(parts), id_col).select(id_col)
         kept = kept.unionByName(rest.join(hits, id_col, "left_semi"))
     return kept.drop("_cell")
+
+
+def locate_points(points: DataFrame, parts: DataFrame, res: int, id_col: str, key: str = "part_id") -> DataFrame:
+    """All (id, part) pairs of points inside parts, boundary included: the join form of the clip."""
+    cells, has_band = clip_cells(parts, res, key)
+    p = bind(points.select(id_col, "lat", "lng"), [id_col, "lat", "lng"], _cell=hx.cell(F.col("lat"), F.col("lng"), res))
+    at = F.col("_cell") == F.col("h3")
+    hits = p.join(cells, at & inside_by_cell(F.col("lat"), F.col("lng"))).select(id_col, key)
+    if has_band:
+        ask = p.join(cells.where(F.col("kind") == "band").select("h3", key), at).select(id_col, key, "lat", "lng")
+        hits = hits.unionByName(points_in_parts(ask, ring_edges(parts, key), id_col, key, own_part=True))
+    return hits

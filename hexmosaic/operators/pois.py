@@ -11,6 +11,7 @@ from hexmosaic.config import Params
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import rules
 from hexmosaic.operators.clip import clip_points
+from hexmosaic.session import bind
 
 JSON = {"ignoreNullFields": "false"}
 COMMON = [
@@ -34,7 +35,7 @@ def tagged_elements(elements: DataFrame) -> DataFrame:
     an excluded first key drops the element even when a later key would qualify.
     """
     has_tags = F.col("kind").isin("node", "way") & (F.size("tags") > 0)
-    out = elements.where(has_tags).withColumn("category", rules.category_of(F.col("tags")))
+    out = bind(elements.where(has_tags), elements.columns, category=rules.category_of(F.col("tags")))
     return out.where(rules.is_place(F.col("category")))
 
 

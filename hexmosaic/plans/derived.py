@@ -135,13 +135,14 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.when(
         status != "P", _tag_map(ix, [(F.lit("craft"), craft), (F.lit("name"), name), (F.lit("name:en"), en)])
     ).when(k % 2 == 0, F.create_map().cast("map<string,string>"))
+    o = bind(o, ["o_orderkey"], tags=tags, lat=spark_expr(NODE_LAT), lon=spark_expr(NODE_LNG))
     return o.select(
         F.lit("node").alias("kind"),
         k.alias("id"),
-        tags.alias("tags"),
+        "tags",
         F.lit(None).cast("array<bigint>").alias("refs"),
-        spark_expr(NODE_LAT).alias("lat"),
-        spark_expr(NODE_LNG).alias("lon"),
+        "lat",
+        "lon",
     )
 
 
@@ -157,10 +158,11 @@ def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = F.array(k, side, k + 2, side, k)
     wid = spark_expr(WAY_ID).cast("bigint")
     name = F.when(F.col("ls") == "O", F.concat(F.lit("Way "), wid.cast("string")))
+    w = bind(w, w.columns, tags=_tag_map(spark_expr(WAY_TAG), [(F.lit("name"), name)]))
     return w.select(
         F.lit("way").alias("kind"),
         wid.alias("id"),
-        _tag_map(spark_expr(WAY_TAG), [(F.lit("name"), name)]).alias("tags"),
+        "tags",
         F.when(F.col("l_linenumber") == 7, gone).otherwise(ring).alias("refs"),
         F.lit(None).cast("double").alias("lat"),
         F.lit(None).cast("double").alias("lon"),

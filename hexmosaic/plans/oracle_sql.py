@@ -469,6 +469,7 @@ ORACLES: dict[str, str] = {
         spans AS (SELECT part_id, lat, x, lead(x) OVER w AS xb, row_number() OVER w AS k FROM cut WINDOW w AS (PARTITION BY part_id ORDER BY x))
         SELECT part_id, round(arg_max(lat, xb - x), 6) AS lat, round(arg_max((x + xb) / 2, xb - x), 6) AS lng FROM spans WHERE k % 2 = 1 GROUP BY part_id""",
     "point_in_polygon": f"WITH {NODES}, {EDGES} SELECT id, part_id FROM {inside('nodes', 'id')}",
+    "point_in_polygon_bands": f"WITH {CUSTOMER_XY}, {EDGES} SELECT id, part_id FROM {inside('ours', 'id')}",
     "polyfill_center": f"WITH {BASE_CTES} SELECT part_id, h3 FROM center",
     "polyfill_center_odd": f"WITH {EDGES}, {lattice(9)}, {CENTER} SELECT part_id, h3 FROM center",
     "polyfill_overlap": f"WITH {GRID_CTES} SELECT part_id, h3 FROM center UNION SELECT part_id, h3 FROM touched",

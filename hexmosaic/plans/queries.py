@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from hexmosaic.config import Params
 from hexmosaic.functions import geo, rules, text
 from hexmosaic.functions import hexgrid as hx
-from hexmosaic.operators import admin, catalog, checks, dedupe, features, match, polyfill, polygons, pois, population
+from hexmosaic.operators import admin, catalog, checks, clip, dedupe, features, match, polyfill, polygons, pois, population
 from hexmosaic.plans import derived as d
+from hexmosaic.session import cut_lineage
 from hexmosaic.sources import readers, sinks
 
 RES = 8
@@ -163,7 +164,12 @@ def surface_points(spark, sf):
 
 
 def point_in_polygon(spark, sf):
-    return polygons.points_in_parts(node_points(spark, sf), polygons.ring_edges(d.parts(spark, sf)), "id")
+    return clip.locate_points(node_points(spark, sf), d.parts(spark, sf), RES, "id")
+
+
+def point_in_polygon_bands(spark, sf):
+    """The same by ray parity over latitude bands, the form that decides crowded cells."""
+    return polygons.points_in_parts(d.ours(spark, sf), polygons.ring_edges(d.parts(spark, sf)), "id")
 
 
 def polyfill_center(spark, sf):
@@ -249,9 +255,12 @@ def _rounded(f: DataFrame) -> DataFrame:
 
 
 def hex_features(spark, sf):
-    """The whole pipeline: fill, population, staging, clip, features."""
+    """The whole pipeline: fill, population, staging, clip, features.
+
+    The grid is written once, as between pipeline stages: three later steps read it.
+    """
     parts = d.parts(spark, sf)
-    grid = polyfill.polyfill_grid(parts, RES, "overlap")
+    grid = cut_lineage(polyfill.polyfill_grid(parts, RES, "overlap"))
     pop = population.population_by_cell(pixels(spark, sf), grid, RES)
     poi = pois.clip_and_index(staged(spark, sf), grid, parts, PARAMS)
     return _rounded(features.hex_features(grid, pop, poi, RES))
@@ -489,6 +498,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         boundary_parts,
         surface_points,
         point_in_polygon,
+        point_in_polygon_bands,
         polyfill_center,
         polyfill_center_odd,
         polyfill_overlap,
