@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
@@ -77,26 +77,27 @@ def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> tuple[DataFr
     inside = center_cells(edges, res, key).select(key, "h3", F.lit(None).cast(EDGE).alias("e"))
     # attach whole original edges, a little generously: extra edges do not change parity
     local = edge_cells(edges.select(key, *xy), res, [key, *xy], grow=ATTACH_GROW)
-    both = inside.unionByName(local.select(key, "h3", F.struct(*xy).cast(EDGE).alias("e")))
-    # the window and the aggregate share one shuffle; groups beyond the bound are not collected
-    size = F.count("e").over(Window.partitionBy(key, "h3"))
-    fits = F.col("n") <= MAX_LOCAL_EDGES
-    cells = (
-        both.withColumn("n", size)
-        .groupBy(key, "h3")
-        .agg(
-            F.max("n").alias("n_edges"),
-            F.max(F.col("e").isNull()).alias("centre_in"),
-            F.array_distinct(F.collect_list(F.when(fits, F.col("e")))).alias("edges"),
-        )
+    # crowded cells are found by a count with map-side combine and never collected into a row
+    crowded = local.groupBy(key, "h3").agg(F.count("*").alias("n")).where(F.col("n") > MAX_LOCAL_EDGES)
+    few = local.join(crowded, [key, "h3"], "left_anti").select(key, "h3", F.struct(*xy).cast(EDGE).alias("e"))
+    none = F.lit(None).cast("boolean")
+    rows = (
+        inside.select("*", F.lit(True).alias("in"), none.alias("many"))
+        .unionByName(few.select("*", none.alias("in"), none.alias("many")))
+        .unionByName(crowded.select(key, "h3", F.lit(None).cast(EDGE).alias("e"), none.alias("in"), F.lit(True).alias("many")))
+    )
+    cells = rows.groupBy(key, "h3").agg(
+        F.array_distinct(F.collect_list("e")).alias("edges"),
+        F.coalesce(F.max("in"), F.lit(False)).alias("centre_in"),
+        F.coalesce(F.max("many"), F.lit(False)).alias("many"),
     )
     lat, lng = hx.cell_latlng(F.col("h3"), res)
     cells = bind(cells, cells.columns, cx=lng, cy=lat)
-    border = F.col("n_edges").between(1, MAX_LOCAL_EDGES)
+    border = ~F.col("many") & (F.size("edges") > 0)
     near = border & (_clearance(F.col("cx"), F.col("cy")) < CLEARANCE_DEG**2)
     cells = cells.withColumn("spot", F.when(near, _best_spot(res)))
-    blocked = (F.col("n_edges") > MAX_LOCAL_EDGES) | (F.col("spot.clear") < 1e-18)
-    kind = F.when(F.col("n_edges") == 0, "interior").when(blocked, "band").otherwise("border")
+    blocked = F.col("many") | F.coalesce(F.col("spot.clear") < 1e-18, F.lit(False))
+    kind = F.when(blocked, "band").when(F.size("edges") == 0, "interior").otherwise("border")
     cells = cut_lineage(
         cells.select(
             key,
