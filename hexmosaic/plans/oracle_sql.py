@@ -232,6 +232,30 @@ def touched(res: int, pieces: int = 16) -> str:
      touched AS (SELECT DISTINCT part_id, {base} + q * 536870912 + r AS h3 FROM spots2 WHERE {' AND '.join(axes)})"""
 
 
+def seg2(x: str, y: str, ax: str, ay: str, bx: str, by: str) -> str:
+    """Squared distance from a point to a segment."""
+    dx, dy = f"({bx} - {ax})", f"({by} - {ay})"
+    t = f"greatest(0, least(1, (({x} - {ax})*{dx} + ({y} - {ay})*{dy}) / ({dx}*{dx} + {dy}*{dy})))"
+    return f"(({x} - {ax} - {t}*{dx})**2 + ({y} - {ay} - {t}*{dy})**2)"
+
+
+def within(res: int, buffer_m: float, whole_cell: bool) -> str:
+    """CTE within(part_id, h3): all cells of the box against all pieces of the polygon's edges."""
+    tests = [seg2("cu", "cv", "ua", "va", "ub", "vb")]
+    if whole_cell:
+        at = [
+            (f"(cu + {n(math.cos(math.radians(60 * k + 30)))})", f"(cv + {n(math.sin(math.radians(60 * k + 30)))})")
+            for k in (0, 1, 2, 3, 4, 5, 0)
+        ]
+        tests = [seg2(x, y, "ua", "va", "ub", "vb") for x, y in at[:6]]
+        for (ax, ay), (bx, by) in zip(at, at[1:], strict=False):
+            tests += [seg2(u, v, ax, ay, bx, by) for u, v in (("ua", "va"), ("ub", "vb"))]
+    reach = (buffer_m / size(res)) ** 2
+    return f"""candf AS (SELECT part_id, h3, {n(math.sqrt(3))} * ({cq('h3')} + {cr('h3')} / 2) AS cu, {n(1.5)} * {cr('h3')} AS cv FROM cand),
+     within AS (SELECT DISTINCT c.part_id, c.h3 FROM candf c JOIN pieces p ON p.part_id = c.part_id
+       WHERE abs(cu - ua) < 6 AND abs(cv - va) < 6 AND least({', '.join(tests)}, 1e9) <= {n(reach)})"""
+
+
 RES = 8
 BASE_CTES = f"{EDGES}, {lattice(RES)}, {CENTER}"
 GRID_CTES = f"{BASE_CTES}, {touched(RES)}, grid AS (SELECT h3 FROM center UNION SELECT h3 FROM touched)"
@@ -473,6 +497,10 @@ ORACLES: dict[str, str] = {
     "polyfill_center": f"WITH {BASE_CTES} SELECT part_id, h3 FROM center",
     "polyfill_center_odd": f"WITH {EDGES}, {lattice(9)}, {CENTER} SELECT part_id, h3 FROM center",
     "polyfill_overlap": f"WITH {GRID_CTES} SELECT part_id, h3 FROM center UNION SELECT part_id, h3 FROM touched",
+    "polyfill_buffered": f"""WITH {GRID_CTES}, {within(RES, 500.0, False)} SELECT part_id, h3 FROM center
+        UNION SELECT part_id, h3 FROM within""",
+    "polyfill_buffered_overlap": f"""WITH {GRID_CTES}, {within(RES, 500.0, True)} SELECT part_id, h3 FROM center
+        UNION SELECT part_id, h3 FROM touched UNION SELECT part_id, h3 FROM within""",
     "grid_table": f"""WITH {GRID_CTES} SELECT h3, lower(hex(h3)) AS h3_str, 8 AS res, round({clat('h3', RES)}, 6) AS lat,
         round({clng('h3', RES)}, 6) AS lng FROM grid""",
     "clip_and_index": f"""WITH {ELEMENT_CTES}, {GRID_CTES}, ins AS (SELECT DISTINCT source_id FROM {inside('staged', 'source_id')}),

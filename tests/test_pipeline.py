@@ -22,7 +22,7 @@ def con(sf):
     return c
 
 
-NO_ORACLE = {"polyfill_buffered", "polyfill_buffered_overlap", "checksums"}
+NO_ORACLE = {"checksums"}
 
 
 def test_every_query_has_an_oracle():
