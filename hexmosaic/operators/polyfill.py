@@ -184,9 +184,13 @@ def buffered_cells(edges: DataFrame, res: int, mode: str, buffer_m: float, key:
     p = frame_pieces(edges.select(key, "x1", "y1", "x2", "y2"), res, max_len=0.9)
     near = _near_cells(p, [key], rings)
     u1, v1, u2, v2, cu, cv = (F.col(c) for c in ("u1", "v1", "u2", "v2", "cu", "cv"))
+    near = bind(near, near.columns, d2=_segment_distance2(cu, cv, u1, v1, u2, v2))
     if mode == "center":
-        keep = _segment_distance2(cu, cv, u1, v1, u2, v2) <= F.lit(reach * reach)
+        keep = F.col("d2") <= F.lit(reach * reach)
     else:
+        # the incircle decides most cells, the circumcircle rules most others out
+        sure = F.col("d2") <= F.lit((reach + HALF_WIDTH) ** 2)
+        maybe = F.col("d2") <= F.lit((reach + 1.0) ** 2)
         corners = [(math.cos(math.radians(60 * i + 30)), math.sin(math.radians(60 * i + 30))) for i in range(6)]
         sides = F.array(
             *[
@@ -204,7 +208,7 @@ def buffered_cells(edges: DataFrame, res: int, mode: str, buffer_m: float, key:
             )
             return nearest <= F.lit(reach * reach)
 
-        keep = piece_meets_hexagon() | F.exists(sides, close)
+        keep = sure | (maybe & F.exists(sides, close))
     return near.where(keep).select(key, hx.make_id(F.col("q"), F.col("r"), res).alias("h3"))
 
 
