@@ -138,29 +138,35 @@ def _disk_axial(k: int) -> list[tuple[int, int]]:
     ]
 
 
-def piece_meets_hexagon(grow: float = 0.0) -> Column:
-    """Slab test of piece (u1,v1)-(u2,v2) against the closed hexagon at (cu, cv).
+def piece_meets_hexagon(near: DataFrame, cols: list[str], grow: float = 0.0) -> DataFrame:
+    """Adds ``meets``: slab test of piece (u1,v1)-(u2,v2) against the closed hexagon at (cu, cv).
 
     The piece is clipped by the three strips between opposite sides; ``grow`` widens the strips
-    by a fraction of the circumradius.
+    by a fraction of the circumradius. Start and run across each strip are bound first, which
+    keeps the generated methods small enough to be compiled.
     """
     half = HALF_WIDTH + grow
-    lows, highs = [F.lit(0.0)], [F.lit(1.0)]
-    for nx, ny in NORMALS:
-        a = (F.col("u1") - F.col("cu")) * F.lit(nx) + (F.col("v1") - F.col("cv")) * F.lit(ny)
+    across = {}
+    for i, (nx, ny) in enumerate(NORMALS):
+        across[f"a{i}"] = (F.col("u1") - F.col("cu")) * F.lit(nx) + (F.col("v1") - F.col("cv")) * F.lit(ny)
         d = (F.col("u2") - F.col("u1")) * F.lit(nx) + (F.col("v2") - F.col("v1")) * F.lit(ny)
-        div = F.when(d != 0, d)
-        t1, t2 = (F.lit(-half) - a) / div, (F.lit(half) - a) / div
-        parallel = F.when(F.abs(a) <= half, 0.0).otherwise(2.0)
-        lows.append(F.coalesce(F.least(t1, t2), parallel))
-        highs.append(F.coalesce(F.greatest(t1, t2), F.lit(1.0)))
-    return F.greatest(*lows) <= F.least(*highs)
+        across[f"d{i}"] = F.when(d != 0, d)
+    near = bind(near, cols, **across)
+    spans = {}
+    for i in range(len(NORMALS)):
+        a, d = F.col(f"a{i}"), F.col(f"d{i}")
+        t1, t2 = (F.lit(-half) - a) / d, (F.lit(half) - a) / d
+        spans[f"lo{i}"] = F.coalesce(F.least(t1, t2), F.when(F.abs(a) <= half, 0.0).otherwise(2.0))
+        spans[f"hi{i}"] = F.coalesce(F.greatest(t1, t2), F.lit(1.0))
+    near = bind(near, cols, **spans)
+    last = F.least(F.lit(1.0), F.col("hi0"), F.col("hi1"), F.col("hi2"))
+    return near.withColumn("meets", F.greatest(F.lit(0.0), F.col("lo0"), F.col("lo1"), F.col("lo2")) <= last)
 
 
 def edge_cells(edges: DataFrame, res: int, cols: list[str], grow: float = 0.0) -> DataFrame:
     """(cols, h3) of cells met by a piece of an edge, with repeats; ``cols`` are carried along."""
     p = frame_pieces(edges, res, max_len=0.9)
-    near = _near_cells(p, cols, 0).where(piece_meets_hexagon(grow))
+    near = piece_meets_hexagon(_near_cells(p, cols, 0), [*cols, "q", "r"], grow).where("meets")
     return near.select(*cols, hx.make_id(F.col("q"), F.col("r"), res).alias("h3"))
 
 
@@ -184,13 +190,13 @@ def buffered_cells(edges: DataFrame, res: int, mode: str, buffer_m: float, key:
     p = frame_pieces(edges.select(key, "x1", "y1", "x2", "y2"), res, max_len=0.9)
     near = _near_cells(p, [key], rings)
     u1, v1, u2, v2, cu, cv = (F.col(c) for c in ("u1", "v1", "u2", "v2", "cu", "cv"))
-    near = bind(near, near.columns, d2=_segment_distance2(cu, cv, u1, v1, u2, v2))
+    near = bind(near, near.columns, gap2=_segment_distance2(cu, cv, u1, v1, u2, v2))
     if mode == "center":
-        keep = F.col("d2") <= F.lit(reach * reach)
+        keep = F.col("gap2") <= F.lit(reach * reach)
     else:
         # the incircle decides most cells, the circumcircle rules most others out
-        sure = F.col("d2") <= F.lit((reach + HALF_WIDTH) ** 2)
-        maybe = F.col("d2") <= F.lit((reach + 1.0) ** 2)
+        sure = F.col("gap2") <= F.lit((reach + HALF_WIDTH) ** 2)
+        maybe = F.col("gap2") <= F.lit((reach + 1.0) ** 2)
         corners = [(math.cos(math.radians(60 * i + 30)), math.sin(math.radians(60 * i + 30))) for i in range(6)]
         sides = F.array(
             *[
@@ -208,7 +214,8 @@ def buffered_cells(edges: DataFrame, res: int, mode: str, buffer_m: float, key:
             )
             return nearest <= F.lit(reach * reach)
 
-        keep = sure | (maybe & F.exists(sides, close))
+        touching = piece_meets_hexagon(near, near.columns)
+        near, keep = touching, sure | (maybe & (F.col("meets") | F.exists(sides, close)))
     return near.where(keep).select(key, hx.make_id(F.col("q"), F.col("r"), res).alias("h3"))
 
 
