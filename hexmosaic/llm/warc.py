@@ -192,8 +192,8 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS bits,
         min(page_id) OVER (PARTITION BY sha256(html)) AS first FROM p)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    CAST(1 + list_sum(list_transform(range(5), j -> CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS INT) * (16 >> j))) AS BIGINT), 1)), '') AS payload_digest,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + list_sum(list_transform(range(5), lambda j: CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS INT) * (16 >> j))) AS BIGINT), 1)), '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM h
