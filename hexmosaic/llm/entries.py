@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import mixing, token_file, warc
+from hexmosaic.llm import mixing, repeats, token_file, warc
 
 QUERIES = {
+    "op2_repeats": repeats.op2_repeats,
     "op5_token_file": token_file.op5_token_file,
     "op7_warc": warc.op7_warc,
     "op9_mixing": mixing.op9_mixing,
 }
 
 ORACLES = {
+    "op2_repeats": repeats.SQL,
     "op7_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
 }
