@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import mixing, repeats, token_file, warc
+from hexmosaic.llm import mixing, repeats, token_file, toxicity, warc
 
 QUERIES = {
     "op2_repeats": repeats.op2_repeats,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_token_file": token_file.op5_token_file,
     "op7_warc": warc.op7_warc,
     "op9_mixing": mixing.op9_mixing,
