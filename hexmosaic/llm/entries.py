@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import mixing, repeats, token_file, toxicity, warc
+from hexmosaic.llm import language, mixing, repeats, token_file, topk, toxicity, warc
 
 QUERIES = {
     "op2_repeats": repeats.op2_repeats,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_language": language.op4_language,
     "op5_token_file": token_file.op5_token_file,
     "op7_warc": warc.op7_warc,
     "op9_mixing": mixing.op9_mixing,
+    "op10_topk": topk.op10_topk,
 }
 
 ORACLES = {
     "op2_repeats": repeats.SQL,
     "op7_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
+    "op10_topk": topk.SQL,
 }
