@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import language, mixing, repeats, token_file, topk, toxicity, warc
+from hexmosaic.llm import jaccard, language, mixing, repeats, token_file, topk, toxicity, warc
 
 QUERIES = {
     "op2_repeats": repeats.op2_repeats,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language": language.op4_language,
     "op5_token_file": token_file.op5_token_file,
+    "op6_jaccard": jaccard.op6_jaccard,
     "op7_warc": warc.op7_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_topk": topk.op10_topk,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_repeats": repeats.SQL,
+    "op6_jaccard": jaccard.SQL,
     "op7_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
     "op10_topk": topk.SQL,
