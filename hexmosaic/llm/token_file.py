@@ -11,7 +11,8 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,9 @@ LEVEL = 3
 #: A file is closed after so many documents or bytes.
 FILE_DOCS, FILE_BYTES = 1 << 17, 256 << 20
 #: Pieces of text whose tokens a worker remembers.
-CACHE = 1_000_000
+CACHE = 1_500_000
+#: Texts encoded at once.
+TEXTS = 500
 
 
 class FileWriter:
@@ -106,35 +109,48 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.marks = {c: self.encode(c) for c in ",.\n"}
+        self.marks = {c: self.encode(c) for c in ",.\n"}  # equal texts, so also for parts of that name
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.width == 2 else "I", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
-
-    def piece(self, word: str, known: dict[str, bytes], space: str) -> bytes:
-        """Tokens of ``space + word``; ``known`` has those seen before with that space."""
-        got = known.get(word)
-        if got is None:
-            head, line, tail = word.partition("\n")
-            if line and head and tail:
-                got = self.piece(head, known, space) + self.marks["\n"] + self.piece(tail, self.first, "")
-            elif len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
-                got = self.piece(word[:-1], known, space) + self.marks[word[-1]]
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def parts(self, word: str, space: str) -> list[str]:
+        """What ``space + word`` is made of: texts to encode on their own, and marks."""
+        head, line, tail = word.partition("\n")
+        if line and head and tail:
+            return [*self.parts(head, space), "\n", *self.parts(tail, "")]
+        if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
+            return [space + word[:-1], word[-1]]
+        return [space + word]
+
+    def learn(self, words: Iterable[str], known: dict[str, bytes], space: str) -> None:
+        """Add the tokens of ``space + word`` for each word that is not known yet; one call for all."""
+        if len(known) > CACHE:
+            known.clear()
+        new = {w: self.parts(w, space) for w in words if w not in known}
+        texts = list({t for parts in new.values() for t in parts} - self.marks.keys())
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        made = dict(zip(texts, map(self.packed, ids))) | self.marks
+        known.update((w, b"".join([made[t] for t in parts])) for w, parts in new.items())
+
+    def tokens(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Tokens of each text, in order."""
+        split = []
+        for text in texts:
+            words = text.split()
+            alone = len(text) - sum(map(len, words)) == len(words) - 1
+            split.append(text.split(" ") if alone else None)
+        self.learn({w[0] for w in split if w}, self.first, "")
+        self.learn(set().union(*(w[1:] for w in split if w)), self.pieces, " ")
+        for text, words in zip(texts, split):
+            if words:
+                raw = self.first[words[0]] + b"".join(map(self.pieces.__getitem__, words[1:]))
             else:
-                got = self.encode(space + word)
-            if len(word) <= 64 and len(known) < CACHE:
-                known[word] = got
-        return got
-
-    def tokens(self, text: str) -> np.ndarray:
-        words = text.split()
-        if len(text) - sum(map(len, words)) != len(words) - 1:
-            return np.frombuffer(self.encode(text), f"<u{self.width}") if text else np.zeros(0, f"<u{self.width}")
-        head, *rest = text.split(" ")
-        known = self.pieces.get
-        parts = [self.piece(head, self.first, "")]
-        parts += [known(w) or self.piece(w, self.pieces, " ") for w in rest]
-        return np.frombuffer(b"".join(parts), f"<u{self.width}")
+                raw = self.encode(text) if text else b""
+            yield np.frombuffer(raw, f"<u{self.width}")
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -164,11 +180,13 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0)
         end = np.array([end_id], f"<u{enc.width}")
         for b in batches:
             ids = b["doc_id"].astype("object").where(b["doc_id"].notna(), None)
-            for doc_id, text in zip(ids, b["text"]):
+            texts = b["text"].tolist()
+            coded = (t for k in range(0, len(texts), TEXTS) for t in enc.tokens(texts[k : k + TEXTS]))
+            for doc_id, tokens in zip(ids, coded):
                 if file is None:
                     path = f"{base}/{uuid.uuid4().hex}.tokens.zst"
                     file, n = FileWriter(fs.open_output_stream(path, compression=None), enc.width), 0
-                tokens = np.concatenate([enc.tokens(text), end])
+                tokens = np.concatenate([tokens, end])
                 file.add(None if doc_id is None else int(doc_id), tokens)
                 n += len(tokens)
                 if len(file.ids) >= FILE_DOCS or file.size >= FILE_BYTES:
