@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import jaccard, language, mixing, repeats, token_file, topk, toxicity, warc
+from hexmosaic.llm import decontaminate, jaccard, language, mixing, repeats, token_file, topk, toxicity, warc
 
 QUERIES = {
     "op2_repeats": repeats.op2_repeats,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_token_file": token_file.op5_token_file,
     "op6_jaccard": jaccard.op6_jaccard,
     "op7_warc": warc.op7_warc,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_mixing": mixing.op9_mixing,
     "op10_topk": topk.op10_topk,
 }
@@ -19,6 +20,7 @@ ORACLES = {
     "op2_repeats": repeats.SQL,
     "op6_jaccard": jaccard.SQL,
     "op7_warc": warc.SQL,
+    "op8_decontaminate": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
     "op10_topk": topk.SQL,
 }
