@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import decontaminate, jaccard, language, mixing, repeats, token_file, topk, toxicity, warc
+from hexmosaic.llm import decontaminate, jaccard, language, mixing, pii, repeats, token_file, topk, toxicity, warc
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_repeats": repeats.op2_repeats,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language": language.op4_language,
