@@ -52,3 +52,15 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI, for binary files that tasks write or read themselves."""
     return pafs.FileSystem.from_uri(uri)
+
+
+#: A table that is joined to whole texts is broadcast up to so many rows (each of a few numbers).
+BROADCAST_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` to be broadcast if it has no more than BROADCAST_ROWS rows, else for a shuffled join.
+
+    ``rows`` is its measured size. The results are the same; a broadcast spares shuffling the texts.
+    """
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

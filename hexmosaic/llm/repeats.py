@@ -6,7 +6,8 @@
    Tasks count the documents of their anchors in count-min sketches; the sketches are merged block by
    block, and what is left is one bit a cell: estimated in two documents or more.
 2. A second pass over the texts gives the windows whose anchor is estimated repeated their digest.
-   Only these are shuffled and grouped exactly; single windows fall away, repeated ones all stay.
+   Only these are grouped exactly, within each task first, so that a window is asked for once a task
+   however many documents hold it; single windows fall away, repeated ones all stay.
 3. Windows that start in a document with a smaller id mark their words in the larger ones.
 
 The bit table is the only thing broadcast. It has 8 cells an anchor up to a fixed number of bytes.
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import documents, stored, table
+from hexmosaic.llm.common import documents, small_side, stored, table
 
 WINDOW = 50
 GRAM = 25
@@ -37,6 +38,8 @@ BLOCK = 1 << 16
 MAX_BITS = 1 << 30
 #: Anchors that a task gathers before it gives out a part of its sketch.
 FLUSH = 1 << 22
+#: Windows of a task that are combined at once.
+ASKED_AT_ONCE = 1 << 21
 BASE = 0x5851F42D4C957F2D
 POWERS_MADE = 1 << 16
 
@@ -180,11 +183,38 @@ def passing(of: np.ndarray, repeated: np.ndarray, bits: int) -> np.ndarray:
     return keep
 
 
-CANDIDATES = "doc_id long, text_key long, start int, high long, low long"
+FOUND = "doc_id long, text_key long, high long, low long, starts array<int>"
+
+
+def runs_of(starts: np.ndarray) -> list[int]:
+    """Sorted starts as first and last of each run of consecutive ones."""
+    cut = np.flatnonzero(np.diff(starts) > 1)
+    return np.stack([starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]]], 1).ravel().tolist()
+
+
+def combined(held: list[tuple]) -> pd.DataFrame:
+    """What a part of a task's windows comes to: runs that are surely repeated, and windows to ask for.
+
+    Of equal windows those in the smallest document are given on with their digest; those in larger
+    ones begin a repeat whatever other tasks find, and go as runs of starts, without a digest.
+    """
+    sizes = [len(x[2]) for x in held]
+    doc, key = (np.repeat(np.array([x[i] for x in held], np.int64), sizes) for i in (0, 1))
+    start, pair = np.concatenate([x[2] for x in held]), np.concatenate([x[3] for x in held])
+    order = np.lexsort((start, key, doc, pair[:, 1], pair[:, 0]))
+    doc, key, start, pair = doc[order], key[order], start[order], pair[order]
+    fresh = np.r_[True, (pair[1:] != pair[:-1]).any(1)]
+    least = doc[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    ask = doc == least
+    out = pd.DataFrame({"doc_id": doc[ask], "text_key": key[ask], "high": pair[ask, 0], "low": pair[ask, 1]}).astype({"high": "Int64", "low": "Int64"})
+    out["starts"] = [[int(x)] for x in start[ask]]
+    sure = pd.DataFrame({"doc_id": doc[~ask], "text_key": key[~ask], "start": start[~ask]}).sort_values(["doc_id", "text_key", "start"])
+    rows = [(d, k, None, None, runs_of(g.to_numpy())) for (d, k), g in sure.groupby(["doc_id", "text_key"])["start"]]
+    return pd.concat([out, pd.DataFrame(rows, columns=out.columns).astype(out.dtypes.to_dict())])
 
 
 def candidates(docs: DataFrame, bits: int, repeated, window: int, gram: int) -> DataFrame:
-    """128-bit digests of the windows that pass the sketch, once a document and start."""
+    """Windows that pass the sketch, under 128-bit digests, combined within each task."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -197,44 +227,45 @@ def candidates(docs: DataFrame, bits: int, repeated, window: int, gram: int) ->
                 starts = np.flatnonzero(passing(each, repeated.value, bits))
                 if not len(starts):
                     continue
-                ends = np.cumsum([len(w) + 1 for w in words])
+                lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+                ends = np.cumsum(lengths)
                 flat = b" ".join(words)
-                begins = ends[starts] - [len(words[i]) + 1 for i in starts]
-                digests = b"".join([hashlib.blake2b(flat[i:j], digest_size=16).digest() for i, j in zip(begins, ends[starts + window - 1] - 1)])
-                pair = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                held.append(pd.DataFrame({"doc_id": int(doc_id), "text_key": int(key), "start": starts.astype("int32"), "high": pair[:, 0], "low": pair[:, 1]}))
+                begins = ends[starts] - lengths[starts]
+                digests = b"".join([hashlib.blake2b(flat[i:j], digest_size=16).digest() for i, j in zip(begins.tolist(), (ends[starts + window - 1] - 1).tolist())])
+                held.append((int(doc_id), int(key), starts.astype(np.int32), np.frombuffer(digests, "<i8").reshape(-1, 2)))
                 n += len(starts)
-                if n > 50_000:
-                    yield pd.concat(held)
+                if n > ASKED_AT_ONCE:
+                    yield combined(held)
                     held, n = [], 0
         if held:
-            yield pd.concat(held)
+            yield combined(held)
 
-    return docs.where("doc_id is not null").mapInPandas(find, CANDIDATES)
+    return docs.mapInPandas(find, FOUND)
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
 def removal(docs: DataFrame, window: int, with_text: bool) -> DataFrame:
-    """Drop the words covered by the windows that begin at ``starts``."""
+    """Drop the words covered by windows that begin in ``runs`` (first and last of each run)."""
 
     def drop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc_id, text, starts in zip(b["doc_id"].astype("object").where(b["doc_id"].notna(), None), b["text"], b["starts"]):
+            for doc_id, text, runs in zip(b["doc_id"].astype("object").where(b["doc_id"].notna(), None), b["text"], b["runs"]):
                 words = text.encode().split()
                 kept = words
-                if starts is not None and len(starts):
+                if runs is not None and len(runs) and len(words) >= window:
+                    first, last = np.minimum(np.concatenate(list(runs)).reshape(-1, 2).T, len(words) - window)
                     edges = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edges, np.asarray(starts), 1)
-                    np.add.at(edges, np.asarray(starts) + window, -1)
+                    np.add.at(edges, first, 1)
+                    np.add.at(edges, last + window, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(edges)[:-1] == 0)]
                 flat = b" ".join(kept)
                 rows.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(flat).hexdigest(), flat.decode() if with_text else None))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")]).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text", "starts").mapInPandas(drop, RESULT)
+    return docs.select("doc_id", "text", "runs").mapInPandas(drop, RESULT)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = True) -> DataFrame:
@@ -244,22 +275,33 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
     a document with a smaller id. Null and empty texts have no words and shorter texts no window;
     rows of one id do not remove from each other, and rows with a null id neither remove nor lose
     words. Other columns are ignored; an empty table gives an empty result. Results do not depend
-    on the size of the sketch.
+    on the size of the sketch. Whole copies lose all words to the first one and are not cut into
+    windows, as the first one holds the same.
     """
     spark = docs.sparkSession
     docs = documents(docs).withColumn("text_key", F.xxhash64("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    known = docs.where("doc_id is not null")
+    same = stored(known.select("doc_id", "text_key", F.md5("text").alias("copy"), F.octet_length("text").alias("size")), "repeat-copies")
+    firsts = stored(same.groupBy("copy").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeat-copy-firsts")
+    copies = stored(same.join(firsts, "copy").where("doc_id > first").select("doc_id", "text_key").distinct(), "repeat-later-copies")
+    once = known.join(small_side(copies, copies.count()), ["doc_id", "text_key"], "left_anti")
+
+    size = same.agg(F.sum("size")).first()[0] or 0
     expected = size / 6 * 2 / (window - gram + 2)  # words of six bytes; two anchors in that many
     most = int(log2(MAX_BITS // len(MULTIPLIERS)))
     bits = min(most, max(16, ceil(log2(8 * expected + 1))))
-    repeated = spark.sparkContext.broadcast(repeated_cells(docs, bits, window, gram))
+    repeated = spark.sparkContext.broadcast(repeated_cells(once, bits, window, gram))
 
-    found = stored(candidates(docs, bits, repeated, window, gram), "repeat-windows")
-    first = found.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    found = stored(candidates(once, bits, repeated, window, gram), "repeat-windows")
+    asked = found.where("high is not null").select("doc_id", "text_key", "high", "low", F.col("starts")[0].alias("start"))
+    first = asked.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     first = stored(first.where("first < last").drop("last"), "repeat-firsts")
-    later = found.join(first, ["high", "low"]).where("doc_id > first")
-    marks = later.groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("starts"))
-    return removal(docs.join(marks, ["doc_id", "text_key"], "left"), window, with_text)
+    later = asked.join(first, ["high", "low"]).where("doc_id > first").select("doc_id", "text_key", F.array("start", "start").alias("starts"))
+    whole = copies.withColumn("starts", F.array(F.lit(0), F.lit((1 << 31) - 1)))
+    every = later.union(found.where("high is null").select("doc_id", "text_key", "starts")).union(whole)
+    runs = stored(every.groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("runs")), "repeat-runs")
+    held = runs.agg(F.sum(F.size("runs") + 1)).first()[0] or 0
+    return removal(docs.join(small_side(runs, held), ["doc_id", "text_key"], "left"), window, with_text)
 
 
 SQL = r"""
