@@ -36,10 +36,10 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
 
 def matrix(column) -> np.ndarray:
-    """Rows as float64 while every sum of products stays exact in it, else as Python integers."""
+    """Rows as float64 while every sum of products stays exact in it, else as int64."""
     whole = np.stack(column.to_list()).astype(np.int64) if len(column) else np.zeros((0, 0), np.int64)
     large = int(np.abs(whole.astype(float)).max(initial=0))
-    return whole.astype(float) if large * large * max(1, whole.shape[1]) < 2**52 else whole.astype(object)
+    return whole.astype(float) if large * large * max(1, whole.shape[1]) < 2**52 else whole
 
 
 class Ranges:
@@ -55,11 +55,13 @@ class Ranges:
 
     def search(self, query_ids, queries: np.ndarray, floor: np.ndarray, k: int) -> pd.DataFrame:
         """Best ``k`` of the range for each query, left out where surely below ``floor``."""
-        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-        bounds = up @ self.top.T + down @ self.low.T
+        up, down = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
+        bounds = up @ self.top.T.astype(float) + down @ self.low.T.astype(float)
+        if self.x.dtype != float or queries.dtype != float:  # sums may be rounded; stay above them
+            bounds += 1e-9 * (np.abs(queries).astype(float) @ np.maximum(np.abs(self.top), np.abs(self.low)).T.astype(float))
         order = np.argsort(-bounds, axis=1, kind="stable")
         bounds = np.take_along_axis(bounds, order, 1)
-        best = [np.zeros((0, 2), self.x.dtype)] * len(queries)
+        best = [np.zeros((0, 2), np.int64)] * len(queries)
         for turn in range(len(self.blocks)):
             alive = np.flatnonzero(bounds[:, turn] >= floor)
             if not len(alive):
@@ -67,16 +69,16 @@ class Ranges:
             for block in np.unique(order[alive, turn]):
                 here = alive[order[alive, turn] == block]
                 at = self.blocks[block]
-                scores = queries[here] @ self.x[at].T
+                scores = (queries[here] @ self.x[at].T).astype(np.int64)
                 for i, s in zip(here, scores):
                     keep = np.flatnonzero((s >= floor[i]) & (self.ids[at] != query_ids[i]))
                     if len(keep):
                         both = np.concatenate([best[i], np.stack([s[keep], keep + at.start], 1)])
-                        both = both[np.lexsort((self.ids[both[:, 1].astype(int)], -both[:, 0]))[:k]]
+                        both = both[np.lexsort((self.ids[both[:, 1]], -both[:, 0]))[:k]]
                         best[i] = both
                         if len(both) == k:
                             floor[i] = max(floor[i], both[-1, 0])
-        rows = [(q, int(self.ids[int(j)]), int(s)) for q, b in zip(query_ids, best) for s, j in b]
+        rows = [(q, int(self.ids[j]), int(s)) for q, b in zip(query_ids, best) for s, j in b]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
 
