@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,27 +64,34 @@ def require_snapshots(resolved: DataFrame, sources: list[str]) -> DataFrame:
     return resolved
 
 
-def population_estimate(reference: date, year: int, max_lag_days: int = 45) -> dict:
-    """A modelled estimate counts as mid-year; a year other than the reference's is reported."""
-    mid = date(year, 7, 1)
-    return {
-        "snapshot_date": mid,
-        "lag_days": (reference - mid).days,
-        "year_mismatch": year != reference.year,
-    }
+def source_catalogue(sources: DataFrame, resolved: DataFrame, year: int, reference: date) -> DataFrame:
+    """A row per source: name, provides, snapshot, snapshot_date, lag_days, url, license, warning.
 
-
-def assemble_url(base: str, *fields: Column | str, suffix: str = "") -> Column:
-    """Provenance URL joined from a base and path fields."""
-    parts = [f if isinstance(f, Column) else F.lit(f) for f in fields]
-    return F.concat(F.concat_ws("/", F.lit(base), *parts), F.lit(suffix))
-
-
-def population_file(iso3: str, year: int, release: str, version: str, resolution: str, constrained: bool) -> str:
-    """Relative path of a population raster."""
-    kind, tag = ("constrained", "CN") if constrained else ("unconstrained", "UC")
-    name = f"{iso3.lower()}_pop_{year}_{tag}_{resolution}_{release}_{version}.tif"
-    return "/".join([release, str(year), iso3, version, resolution, kind, name])
+    ``sources`` is (name, provides, url_template, license, yearly); a template's ``{snapshot}`` and
+    ``{year}`` are filled in. A yearly estimate counts as of mid-year. The warning names a missing or
+    stale snapshot, or an estimate of another year than the reference's; NULL if all is well.
+    """
+    rows = sources.join(resolved.withColumnRenamed("source", "name"), "name", "left")
+    mid = F.make_date(F.lit(year), F.lit(7), F.lit(1))
+    day = F.when(F.col("yearly"), mid).otherwise(F.col("snapshot_date"))
+    snapshot = F.when(F.col("yearly"), F.lit(str(year))).otherwise(F.col("snapshot"))
+    url = F.replace(F.replace("url_template", F.lit("{snapshot}"), F.coalesce(snapshot, F.lit(""))), F.lit("{year}"), F.lit(str(year)))
+    other_year = F.col("yearly") & (F.lit(year) != F.year(F.lit(reference)))
+    warning = (
+        F.when(other_year, "estimate of another year")
+        .when(~F.col("yearly") & F.col("snapshot").isNull(), "no snapshot")
+        .when(~F.col("yearly") & F.col("stale"), "stale snapshot")
+    )
+    return rows.select(
+        "name",
+        "provides",
+        snapshot.alias("snapshot"),
+        day.alias("snapshot_date"),
+        F.datediff(F.lit(reference), day).alias("lag_days"),
+        F.when(snapshot.isNotNull(), url).alias("url"),
+        "license",
+        warning.alias("warning"),
+    )
 
 
 def explore_categories(pois: DataFrame) -> DataFrame:
@@ -122,18 +130,27 @@ class Ledger:
         self.spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append").json(self.path)
 
     def _exists(self, path: str) -> bool:
-        hpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hpath)
+        """Whether Spark's readers find the path. Half-written outputs are told by ``invalidate``."""
+        try:
+            self.spark.read.text(path)
+        except AnalysisException:  # no such path
+            return False
+        return True
 
     def table(self) -> DataFrame:
         """Latest entry per stage."""
-        if not self._exists(self.path):
+        try:
+            rows = self.spark.read.schema(LEDGER).json(self.path)
+        except AnalysisException:  # nothing recorded yet
             return self.spark.createDataFrame([], LEDGER)
-        rows = self.spark.read.schema(LEDGER).json(self.path)
         last = rows.groupBy("stage").agg(F.max_by(F.struct(*rows.columns), "finished_at").alias("r"))
         return last.select("r.*")
 
+    def invalidate(self, stage: str) -> None:
+        """To be called before a stage overwrites its outputs: until it is recorded anew, it is not fresh."""
+        self.record(stage, "", {}, [])
+
     def is_fresh(self, stage: str, inputs: str) -> bool:
         """True when the stage last ran on the same inputs and all its outputs still exist."""
         last = self.table().where(F.col("stage") == stage).first()
-        return bool(last) and last["inputs"] == inputs and all(self._exists(p) for p in last["outputs"])
+        return bool(last) and bool(last["outputs"]) and last["inputs"] == inputs and all(self._exists(p) for p in last["outputs"])

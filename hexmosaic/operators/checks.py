@@ -19,8 +19,32 @@ COVERAGE_RANGE = {"center": (0.97, 1.03), "overlap": (1.0, 1.2)}
 POPULATION_TOLERANCE = 0.01
 
 
-def _row(df: DataFrame) -> dict:
-    return df.first().asDict()
+Limits = dict[str, tuple[float | None, float | None]]
+
+
+def report(stats: DataFrame, limits: Limits) -> DataFrame:
+    """(check, value, low, high, ok): one row per limited column of a one-row table of statistics.
+
+    A bound of None is open. A NULL value is not ok.
+    """
+    number = lambda x: F.lit(x).cast("double")
+    rows = []
+    for name, (low, high) in limits.items():
+        v = F.col(name).cast("double")
+        ok = F.coalesce((v >= number(low if low is not None else float("-inf"))) & (v <= number(high if high is not None else float("inf"))), F.lit(False))
+        rows.append(F.struct(F.lit(name).alias("check"), v.alias("value"), number(low).alias("low"), number(high).alias("high"), ok.alias("ok")))
+    return stats.select(F.inline(F.array(*rows)))
+
+
+def require(subject: str, stats: DataFrame, limits: Limits) -> dict:
+    """The statistics as a dict, or AssertionError naming every check that failed."""
+    row = stats.first().asDict()
+    fixed = stats.sparkSession.createDataFrame([tuple(row.values())], stats.schema)
+    failed = report(fixed, limits).where("not ok").collect()
+    if failed:
+        what = [f"{r['check']} = {r['value']} not in [{r['low']}, {r['high']}]" for r in failed]
+        raise AssertionError(f"{subject}: " + "; ".join(what))
+    return row
 
 
 def boundary_stats(parts: DataFrame) -> DataFrame:
@@ -29,12 +53,7 @@ def boundary_stats(parts: DataFrame) -> DataFrame:
 
 def check_boundary(parts: DataFrame, area_range=AREA_RANGE_KM2) -> dict:
     """At least one part, total area in range."""
-    r = _row(boundary_stats(parts))
-    if r["parts"] == 0:
-        raise AssertionError("no country land polygon")
-    if not area_range[0] <= r["area_km2"] <= area_range[1]:
-        raise AssertionError(f"boundary area {r['area_km2']:,.0f} km2 outside expected {area_range}")
-    return r
+    return require("boundary", boundary_stats(parts), {"parts": (1, None), "area_km2": area_range})
 
 
 def grid_stats(grid: DataFrame, res: int) -> DataFrame:
@@ -48,33 +67,30 @@ def grid_stats(grid: DataFrame, res: int) -> DataFrame:
     )
 
 
+def coverage(stats: DataFrame, area_km2: float) -> DataFrame:
+    """Grid statistics plus the number of repeated keys and cell area over land area."""
+    return stats.withColumn("repeated", F.col("cells") - F.col("distinct_cells")).withColumn("coverage", F.col("cell_km2") / F.lit(float(area_km2)))
+
+
 def check_grid(grid: DataFrame, res: int, area_km2: float, mode: str) -> dict:
     """Unique cells of one resolution that cover the land area within the range of the mode."""
-    r = _row(grid_stats(grid, res))
-    if r["cells"] != r["distinct_cells"]:
-        raise AssertionError(f"res {res}: {r['cells'] - r['distinct_cells']} duplicate h3 keys")
-    if r["wrong_res"]:
-        raise AssertionError(f"res {res}: {r['wrong_res']} cells at the wrong resolution")
-    lo, hi = COVERAGE_RANGE[mode]
-    cover = r["cell_km2"] / area_km2
-    if not lo <= cover <= hi:
-        raise AssertionError(f"res {res}: cells cover {cover:.3f}x the land area, expected {lo}-{hi}")
-    return {**r, "coverage": cover}
+    limits = {"repeated": (0, 0), "wrong_res": (0, 0), "coverage": COVERAGE_RANGE[mode]}
+    return require(f"grid {res}", coverage(grid_stats(grid, res), area_km2), limits)
 
 
 def parts_without_cell(parts: DataFrame, grid: DataFrame, res: int) -> DataFrame:
-    """One row with the ordered ids of parts whose surface point lies in no grid cell."""
+    """(part_id) of parts whose surface point lies in no grid cell, a row each."""
     pts = surface_points(ring_edges(parts))
     at = pts.select("part_id", hx.cell(F.col("lat"), F.col("lng"), res).alias("h3"))
-    missed = at.join(grid.select("h3"), "h3", "left_anti")
-    return missed.agg(F.sort_array(F.collect_list("part_id")).alias("part_ids"))
+    return at.join(grid.select("h3"), "h3", "left_anti").select("part_id")
 
 
-def check_parts(parts: DataFrame, grid: DataFrame, res: int) -> None:
-    """Every part has a cell; only the (normally empty) list of offenders is collected."""
-    missed = parts_without_cell(parts, grid, res).first()["part_ids"]
-    if missed:
-        raise AssertionError(f"res {res}: boundary parts with no cells: {missed}")
+def check_parts(parts: DataFrame, grid: DataFrame, res: int, shown: int = 20) -> None:
+    """Every part has a cell; the message names the first few that have none and how many there are."""
+    missed = parts_without_cell(parts, grid, res)
+    first = [r["part_id"] for r in missed.orderBy("part_id").limit(shown).collect()]
+    if first:
+        raise AssertionError(f"grid {res}: {missed.count()} parts hold no cell, first {first}")
 
 
 def orphan_parents(fine: DataFrame, fine_res: int, coarse: DataFrame, coarse_res: int) -> DataFrame:
@@ -92,13 +108,16 @@ def population_stats(population: DataFrame) -> DataFrame:
     )
 
 
+def population_difference(population: DataFrame, source_total: float) -> DataFrame:
+    """Population statistics plus the relative difference from the raster total (0 if that is 0)."""
+    total = F.lit(float(source_total))
+    return population_stats(population).withColumn("difference", F.when(total != 0, (F.col("total") - total) / total).otherwise(0.0))
+
+
 def check_population(population: DataFrame, source_total: float) -> dict:
     """Cell total within the tolerance of the raster total."""
-    r = _row(population_stats(population))
-    diff = (r["total"] - source_total) / source_total if source_total else 0.0
-    if abs(diff) > POPULATION_TOLERANCE:
-        raise AssertionError(f"cell total {r['total']:,.0f} differs from raster {source_total:,.0f} by {diff:+.2%}")
-    return {**r, "difference": diff}
+    limits = {"difference": (-POPULATION_TOLERANCE, POPULATION_TOLERANCE)}
+    return require("population", population_difference(population, source_total), limits)
 
 
 def poi_stats(pois: DataFrame, grid: DataFrame, res: int) -> DataFrame:
@@ -116,14 +135,9 @@ def poi_stats(pois: DataFrame, grid: DataFrame, res: int) -> DataFrame:
 
 
 def check_pois(pois: DataFrame, grid: DataFrame, res: int, source: str = "") -> dict:
-    r = _row(poi_stats(pois, grid, res))
-    if r["outside"]:
-        raise AssertionError(f"{source}: {r['outside']} POIs outside the grid after clipping")
-    if r["pois"] != r["distinct_ids"]:
-        raise AssertionError(f"{source}: {r['pois'] - r['distinct_ids']} duplicate source_id values")
-    if r["pois"] == 0:
-        raise AssertionError(f"{source}: no POIs left after clipping")
-    return r
+    """Some rows, each id once, all of them in grid cells."""
+    stats = poi_stats(pois, grid, res).withColumn("repeated", F.col("pois") - F.col("distinct_ids"))
+    return require(f"points of {source}", stats, {"pois": (1, None), "repeated": (0, 0), "outside": (0, 0)})
 
 
 def feature_stats(features: DataFrame) -> DataFrame:
@@ -143,19 +157,11 @@ def feature_stats(features: DataFrame) -> DataFrame:
 
 
 def check_features(features: DataFrame, grid: DataFrame, population: DataFrame, n_pois: int) -> dict:
-    """Unique cells, one row per grid cell, population and POI totals kept."""
-    r = _row(feature_stats(features))
-    n_grid = grid.count()
-    people = population_stats(population).first()["total"]
-    if r["rows"] != r["distinct_cells"]:
-        raise AssertionError(f"features: {r['rows'] - r['distinct_cells']} duplicate h3 keys")
-    if r["rows"] != n_grid:
-        raise AssertionError(f"features: {r['rows']:,} rows but the grid has {n_grid:,} cells")
-    if abs(r["population"] - people) > 1:
-        raise AssertionError(f"features: population {r['population']:,.0f} != source {people:,.0f}")
-    if r["n_poi"] != n_pois:
-        raise AssertionError(f"features: n_poi sums to {r['n_poi']:,}, POI tables have {n_pois:,}")
-    return r
+    """Unique cells, one row per grid cell, population (within 1) and POI totals kept."""
+    cells, people = grid.count(), population_stats(population).first()["total"]
+    stats = feature_stats(features).withColumn("repeated", F.col("rows") - F.col("distinct_cells"))
+    limits = {"repeated": (0, 0), "rows": (cells, cells), "population": (people - 1, people + 1), "n_poi": (n_pois, n_pois)}
+    return require("features", stats, limits)
 
 
 def busiest_places(features: DataFrame, n: int = 10) -> DataFrame:

@@ -153,7 +153,7 @@ def filter_areas(areas: DataFrame, bbox: dict, country: str | None = None) -> Da
     return out.where(F.col("country") == country) if country else out
 
 
-def boundary_parts(areas: DataFrame, utm_zone: int = 48, tie_break: tuple[str, ...] = ()) -> DataFrame:
+def boundary_parts(areas: DataFrame, utm_zone: int = 48, tie_break: tuple[str, ...] = ("id",)) -> DataFrame:
     """Country land areas -> ``(part_id, area_km2, polygon)``, largest first.
 
     ``part_id`` follows the area in square degrees, ``area_km2`` is measured in UTM. Areas equal

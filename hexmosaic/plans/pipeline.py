@@ -52,11 +52,12 @@ class Pipeline:
         if not self.force and self.ledger.is_fresh(name, key):
             log.info("%s: cached", name)
             return
+        self.ledger.invalidate(name)
         rows = run()
         self.ledger.record(name, key, rows, [self.path(o) for o in outputs], self.params)
         log.info("%s: %s", name, rows)
 
-    def boundary(self, areas: DataFrame, version: str, tie_break: tuple[str, ...] = ()) -> None:
+    def boundary(self, areas: DataFrame, version: str, tie_break: tuple[str, ...] = ("id",)) -> None:
         def run() -> dict:
             parts = boundary_parts(areas, self.params.utm_zone, tie_break)
             sinks.write_table(parts, self.path("boundary"), "part_id")

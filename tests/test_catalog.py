@@ -36,13 +36,34 @@ def test_resolve_and_fallback(spark):
         catalog.require_snapshots(catalog.pick_snapshots(online, date(2026, 9, 23)), ["a", "c"])
 
 
-def test_population_source_and_url(spark):
-    p = catalog.population_file("KHM", 2026, "R2025A", "v1", "100m", True)
-    assert p == "R2025A/2026/KHM/v1/100m/constrained/khm_pop_2026_CN_100m_R2025A_v1.tif"
-    e = catalog.population_estimate(date(2026, 9, 23), 2025)
-    assert e["snapshot_date"] == date(2025, 7, 1) and e["year_mismatch"]
-    u = spark.range(1).select(catalog.assemble_url("https://h", "a", F.lit("b"), suffix=".x")).first()[0]
-    assert u == "https://h/a/b.x"
+def test_source_catalogue(spark):
+    sources = spark.createDataFrame(
+        [
+            ("a", "places", "https://h/{snapshot}/x", "CC0", False),
+            ("b", "old", "https://h/{snapshot}", "ODbL", False),
+            ("c", "none", "https://h/{snapshot}", "ODbL", False),
+            ("pop", "people", "https://h/{year}/p_{year}.tif", "CC-BY", True),
+        ],
+        "name string, provides string, url_template string, license string, yearly boolean",
+    )
+    listing = spark.createDataFrame([("a", "2026-09-23.1"), ("b", "260101")], "source string, name string")
+    resolved = catalog.resolve_snapshots(listing, date(2026, 9, 23))
+    got = {r["name"]: r for r in catalog.source_catalogue(sources, resolved, 2025, date(2026, 9, 23)).collect()}
+    assert (got["a"].url, got["a"].lag_days, got["a"].warning) == ("https://h/2026-09-23.1/x", 0, None)
+    assert (got["b"].warning, got["c"].warning, got["c"].url) == ("stale snapshot", "no snapshot", None)
+    assert (got["pop"].url, got["pop"].snapshot_date, got["pop"].warning) == ("https://h/2025/p_2025.tif", date(2025, 7, 1), "estimate of another year")
+
+
+def test_a_broken_rerun_is_not_fresh(spark, tmp_path):
+    ledger = catalog.Ledger(spark, str(tmp_path / "ledger"))
+    out = str(tmp_path / "out")
+    spark.range(3).write.parquet(out)
+    ledger.record("s", "v1", {"n": 3}, [out])
+    assert ledger.is_fresh("s", "v1") and not ledger.is_fresh("s", "v2") and not ledger.is_fresh("t", "v1")
+    ledger.invalidate("s")  # a forced rerun begins, and dies before it records anything
+    assert not ledger.is_fresh("s", "v1")
+    ledger.record("s", "v1", {"n": 3}, [out, str(tmp_path / "gone")])
+    assert not ledger.is_fresh("s", "v1")
 
 
 def test_params():

@@ -51,7 +51,7 @@ def test_pipeline_end_to_end_and_freshness(spark, sf, tmp_path):
     px = d.raster_blocks(spark, sf)
     p = Pipeline(spark, str(tmp_path), params, area_range=(0, 1000))
     # the derived raster is wider than the areas, so only the total check must fail
-    with pytest.raises(AssertionError, match="differs|cover"):
+    with pytest.raises(AssertionError, match="difference|coverage"):
         run_all(p, parts, px, d.AFFINE, d.NODATA, staged, "v1", ("id",))
     done = {r.stage for r in p.ledger.table().collect()}
     assert "boundary" in done
