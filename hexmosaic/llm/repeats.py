@@ -299,9 +299,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
     later = asked.join(first, ["high", "low"]).where("doc_id > first").select("doc_id", "text_key", F.array("start", "start").alias("starts"))
     whole = copies.withColumn("starts", F.array(F.lit(0), F.lit((1 << 31) - 1)))
     every = later.union(found.where("high is null").select("doc_id", "text_key", "starts")).union(whole)
-    runs = stored(every.groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("runs")), "repeat-runs")
-    held = runs.agg(F.sum(F.size("runs") + 1)).first()[0] or 0
-    return removal(docs.join(small_side(runs, held), ["doc_id", "text_key"], "left"), window, with_text)
+    runs = every.groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("runs"))
+    return removal(docs.join(runs, ["doc_id", "text_key"], "left"), window, with_text)
 
 
 SQL = r"""
