@@ -18,19 +18,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import documents, fold, table
+from hexmosaic.llm.common import documents, fold, stored, table
 
 BUCKETS = 1 << 17
 DIM = 8
 NGRAMS = (3, 4, 5)
 #: Toxic documents that training reads at most, and twice as many others.
-SAMPLE = 1500
+SAMPLE = 1200
 #: Table entries seen in fewer documents of the sample are left at zero.
 LEAST_DOCS = 4
 STEPS = 80
 RATE = 0.05
 #: Decay of the vectors in a step, times RATE.
-DECAY = 1.0
+DECAY = 1.5
 #: Texts scored at once.
 CHUNK = 500
 #: Labels of the ids with remainder 0 are held out.
@@ -79,11 +79,23 @@ def document_row(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
     """Fit vectors and softmax weights together; returns the score of each table entry, and a bias."""
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
-    ids, x = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
-    seen = np.bincount(ids, minlength=BUCKETS) >= LEAST_DOCS
-    keep = seen[ids]
-    doc, ids, x = doc[keep], ids[keep], x[keep]
+    seen = np.zeros(BUCKETS, np.int64)
+    for ids, _ in rows:
+        seen[ids] += 1
+    seen = seen >= LEAST_DOCS
+    kept = [seen[ids] for ids, _ in rows]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [k.sum() for k in kept])
+    ids, x = (np.concatenate([r[i][k] for r, k in zip(rows, kept)]) for i in (0, 1))
+    rows.clear()
+
+    def summed(by: np.ndarray, n: int, part) -> np.ndarray:
+        """Sums of ``part(slice)`` by ``by``, in pieces of bounded size."""
+        out = np.zeros(n)
+        for k in range(0, len(by), 1 << 20):
+            at = slice(k, k + (1 << 20))
+            out += np.bincount(by[at], part(at), n)
+        return out
+
     rng = np.random.default_rng(1)
     vectors = rng.normal(0, 0.1, (BUCKETS, DIM)) * seen[:, None]
     soft = rng.normal(0, 0.1, (2, DIM))
@@ -91,14 +103,14 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights
     params = [vectors, soft, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     # an entry is a small part of a document; bring the inputs to the order of 1
-    unit = float(np.sqrt(np.mean(x * x)))
-    x = x / unit
+    unit = float(np.sqrt(np.dot(x, x) / max(1, len(x)))) or 1.0
+    x /= np.float32(unit)
     scale = 1.0
     for step in range(1, STEPS + 1):
-        entry = vectors @ (soft[1] - soft[0])
-        logit = np.bincount(doc, x * entry[ids], len(labels)) + bias[1] - bias[0]
+        entry = (vectors @ (soft[1] - soft[0])).astype(np.float32)
+        logit = summed(doc, len(labels), lambda at: x[at] * entry[ids[at]]) + bias[1] - bias[0]
         miss = weights * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
-        pull = np.bincount(ids, x * miss[doc], BUCKETS)
+        pull = summed(ids, BUCKETS, lambda at: x[at] * miss[doc[at]])
         toward = vectors.T @ pull
         grads = [pull[:, None] * (soft[1] - soft[0]), np.stack([-toward, toward]), np.array([-miss.sum(), miss.sum()])]
         for p, g, m, v in zip(params, grads, first, second):
@@ -139,14 +151,18 @@ def fit(docs: DataFrame, labels: DataFrame, held: int = 0) -> tuple[np.ndarray,
                 ids, x = document_row(text)
                 yield pd.DataFrame({"doc_id": [doc_id], "toxic": [toxic], "ids": [ids.astype("<i4").tobytes()], "x": [x.astype("<f4").tobytes()]})
 
-    got = sample.mapInPandas(rows, "doc_id long, toxic int, ids binary, x binary").toPandas().sort_values(["doc_id", "ids"])
-    y = got["toxic"].to_numpy().astype(float)
+    got = stored(sample.mapInPandas(rows, "doc_id long, toxic int, ids binary, x binary"), "toxicity-sample")
+    # one at a time: the driver holds the sample as plain arrays and nothing else
+    got = [(r[0], r[1], np.frombuffer(bytes(r[2]), "<i4"), np.frombuffer(bytes(r[3]), "<f4")) for r in got.toLocalIterator()]
+    got.sort(key=lambda r: (r[0], len(r[2])))
+    y = np.array([r[1] for r in got], float)
     if not len(y) or y.min() == y.max():
         return np.zeros(BUCKETS), -5.0 if not len(y) or y[0] == 0 else 5.0
     share = np.array([counts[0], counts[1]]) / sum(counts.values())
     in_sample = np.array([(y == 0).mean(), (y == 1).mean()])
     weights = (share / in_sample)[y.astype(int)]
-    unpacked = [(np.frombuffer(i, "<i4"), np.frombuffer(x, "<f4")) for i, x in zip(got["ids"], got["x"])]
+    unpacked = [r[2:] for r in got]
+    del got
     return train(unpacked, y, weights)
 
 
