@@ -229,7 +229,8 @@ def join_similar(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     links = stored(verify_blocks(members, docs, n, threshold), "links")
     total = links.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    least = roots.join(sets.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("class"))
+    roots = stored(roots, "class-roots")
+    least = stored(roots.join(sets.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("class")), "class-ids")
     classes = roots.join(least, "root").select("node", "class").join(total, "node")
     labelled = stored(sets.select("node", "rep", "copies").join(classes, "node", "left"), "classes")
 
