@@ -4,11 +4,14 @@ A pair is a candidate when its points are within a radius and, optionally, their
 enough. Candidates are taken closest first and every point at most once.
 
 Equal places are merged before pairs are built: points of one side with the same position (and the
-same name, when names count) are one *site* with a capacity. Two sites exchange as many copies as
-both still have, so a place with millions of copies costs one row. Where even distinct sites are
-so dense that a radius would pair too many of them, the radius is approached in steps: all pairs
-within a smaller radius precede the others in the order, so matching them first and removing what
-is used up gives the same result with far fewer pairs.
+same name, when names count) are one *site* with a capacity, so a place with millions of copies
+costs one row. A round takes every pair whose outcome is sure: all partners up to its capacity that
+a site is the best choice of, not only its own best one. Pairs are blocked by latitude bands and
+columns that widen with the latitude, so no place on the globe is out of reach.
+
+Where distinct sites are so dense that a radius would list many pairs for each, the radius is
+approached in halves: all pairs within a smaller radius precede the others in the order, so matching
+them first and removing what is used up gives the same result from fewer pairs.
 """
 
 from __future__ import annotations
@@ -21,24 +24,52 @@ from pyspark.sql import functions as F
 from hexmosaic.functions import geo, text
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators.polygons import number_rows
-from hexmosaic.session import cut_lineage
+from hexmosaic.session import Rounds, cut_lineage
 
-MAX_ABS_LAT = 55.0
-PAIRS_PER_SITE = 64
-SMALLEST_STEP_M = 0.5
+#: Pairs per site above which the radius is halved first; decides the cost, never the result.
+DENSE = 64
+#: Allowance for rounding in the blocking.
+SLACK = 1 + 1e-6
 
 
-def blocking_res(radius_m: float) -> int:
-    """Finest resolution whose one-ring disk holds every point within the radius.
+class Tiles:
+    """Blocks of the globe that hold all partners within a radius in their own and adjoining ones.
 
-    From any point of a cell the edge of the one-ring disk is at least sqrt(3)/2 circumradii
-    away; the plane stretches distances by at most cos(LAT0) / cos(lat).
+    Bands are a radius high. A band's columns are as wide as the largest difference in longitude of
+    two points within the radius, one of them in the band and the other at most one band away; at
+    the poles a band is one column. Columns close round the antimeridian.
     """
-    need = radius_m * hx.COS0 / math.cos(math.radians(MAX_ABS_LAT)) / (hx.SQRT3 / 2)
-    fits = [r for r in range(hx.MAX_RES + 1) if hx.circumradius(r) >= need]
-    if not fits:
-        raise ValueError("radius is too large for the coarsest cells")
-    return fits[-1]
+
+    def __init__(self, radius_m: float):
+        if not 0 < radius_m < math.pi * geo.EARTH_R / 4:
+            raise ValueError("the radius must be above 0 and below an eighth of the globe")
+        self.half = math.sin(radius_m / (2 * geo.EARTH_R)) * SLACK
+        self.height = math.degrees(radius_m / geo.EARTH_R) * SLACK
+
+    def band(self, lat: Column) -> Column:
+        return F.floor((lat + 90.0) / F.lit(self.height))
+
+    def columns(self, band: Column) -> Column:
+        """Number of columns of a band."""
+        low, high = (band - 1) * self.height - 90.0, (band + 2) * self.height - 90.0
+        widest = F.cos(F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(90.0)) * geo.RAD)
+        width = 2 * F.asin(F.lit(self.half) / widest)  # degrees below
+        return F.when(widest > 2 * self.half, F.greatest(F.floor(2 * math.pi / (width * SLACK)), F.lit(1))).otherwise(F.lit(1)).cast("long")
+
+    def column(self, lng: Column, n: Column) -> Column:
+        return F.pmod(F.floor((F.pmod(lng + 180.0, F.lit(360.0)) / 360.0) * n).cast("long"), n)
+
+    def own(self, lat: Column, lng: Column) -> Column:
+        """(band, column) of a point."""
+        band = self.band(lat)
+        return F.struct(band.alias("band"), self.column(lng, self.columns(band)).alias("col"))
+
+    def around(self, lat: Column, lng: Column) -> Column:
+        """All (band, column) a partner of the point can lie in, nine at most."""
+        band = self.band(lat)
+        n = [self.columns(band + k) for k in (-1, 0, 1)]
+        every = [F.struct((band + k).alias("band"), F.pmod(self.column(lng, n[k + 1]) + j, n[k + 1]).alias("col")) for k in (-1, 0, 1) for j in (-1, 0, 1)]
+        return F.array_distinct(F.array(*every))
 
 
 def _sites(points: DataFrame, by_name: bool) -> DataFrame:
@@ -67,13 +98,11 @@ def prefix_grams(grams: Column, min_similarity: float) -> Column:
 
 
 def _estimate(ours: DataFrame, truth: DataFrame, radius_m: float) -> tuple[int, int]:
-    """(candidate pairs by cells, sites) from per-cell counts."""
-    res = blocking_res(radius_m)
-    c = hx.cell(F.col("lat"), F.col("lng"), res).alias("c")
-    a = ours.select(c).groupBy("c").agg(F.count("*").alias("na"))
-    b = truth.select(c).groupBy("c").agg(F.count("*").alias("nb"))
-    near = b.select("nb", F.explode(hx.grid_disk(F.col("c"), 1)).alias("c"))
-    near = near.groupBy("c").agg(F.sum("nb").alias("nb"))
+    """(candidate pairs by tiles, sites) from counts per tile."""
+    tiles = Tiles(radius_m)
+    lat, lng = F.col("lat"), F.col("lng")
+    a = ours.select(tiles.own(lat, lng).alias("c")).groupBy("c").agg(F.count("*").alias("na"))
+    near = truth.select(F.explode(tiles.around(lat, lng)).alias("c")).groupBy("c").agg(F.count("*").alias("nb"))
     row = a.join(near, "c", "left").agg(
         F.sum(F.col("na") * F.coalesce("nb", F.lit(0))).alias("pairs"), F.sum("na").alias("n")
     ).first()
@@ -81,51 +110,64 @@ def _estimate(ours: DataFrame, truth: DataFrame, radius_m: float) -> tuple[int,
 
 
 def candidate_pairs(
-    ours: DataFrame, truth: DataFrame, radius_m: float, min_similarity: float | None, by_gram: bool
+    ours: DataFrame, truth: DataFrame, radius_m: float, min_similarity: float | None
 ) -> DataFrame:
-    """(a, b, d, s, ca, cb): site pairs within the radius, blocked by cell (and by gram)."""
-    res = blocking_res(radius_m)
-    c = hx.cell(F.col("lat"), F.col("lng"), res)
+    """(a, b, d, s, ca, cb): site pairs within the radius, blocked by tile.
+
+    With a similarity above 0 also by the grams that similar names cannot both miss; a pair comes
+    from the first gram it shares. A similarity of 0 filters nothing.
+    """
+    tiles = Tiles(radius_m)
+    lat, lng = F.col("lat"), F.col("lng")
     cols = ["site", "lat", "lng", "cap", "grams"]
-    a, b = ours.select(*cols, c.alias("c")), truth.select(*cols, F.explode(hx.grid_disk(c, 1)).alias("c"))
+    a = ours.select(*cols, tiles.own(lat, lng).alias("c"))
+    b = truth.select(*cols, F.explode(tiles.around(lat, lng)).alias("c"))
     on = ["c"]
+    by_gram = min_similarity is not None and min_similarity > 0
     if by_gram:
-        gram = F.explode(prefix_grams(F.col("grams"), min_similarity)).alias("g")
-        a, b = a.select("*", gram), b.select("*", gram)
+        first = prefix_grams(F.col("grams"), min_similarity)
+        a = a.withColumn("fa", first).select("*", F.explode("fa").alias("g"))
+        b = b.withColumn("fb", first).select("*", F.explode("fb").alias("g"))
         on = ["c", "g"]
     names = {"site": "a", "lat": "la", "lng": "na", "cap": "ca", "grams": "ga"}
     other = {"site": "b", "lat": "lb", "lng": "nb", "cap": "cb", "grams": "gb"}
     p = a.withColumnsRenamed(names).join(b.withColumnsRenamed(other), on)
+    if by_gram:
+        p = p.where(F.get(F.array_intersect("fa", "fb"), 0) == F.col("g"))
     p = p.withColumn("d", geo.haversine_m(F.col("la"), F.col("na"), F.col("lb"), F.col("nb")))
     p = p.where(F.col("d") <= radius_m).withColumn("s", text.jaccard(F.col("ga"), F.col("gb")))
-    if min_similarity is not None:
+    if by_gram:
         p = p.where(F.col("s") >= min_similarity)
-    p = p.select("a", "b", "d", "s", "ca", "cb")
-    return p.distinct() if by_gram else p
+    return p.select("a", "b", "d", "s", "ca", "cb")
 
 
 def _greedy(pairs: DataFrame) -> list[DataFrame]:
-    """Closest-first matching of a pair table: (a, b, d, s, m, seq) per round.
+    """Closest-first matching of a pair table: (a, b, d, s, m) per round.
 
-    A pair that is the best of both its sites must be taken by the greedy order, so all such
-    pairs are taken at once; a round ends with the pairs of used-up sites removed.
+    ``before_a`` is what a site's better partners can take of it at most, ``before_b`` likewise. If
+    nothing comes before b's side of a pair and a can serve b after all its better partners, the
+    greedy order gives all of b to a, whatever else happens; so too with the sides changed. All such
+    pairs are taken at once, and a round ends with what they used removed.
     """
-    key = F.struct("d", (-F.col("s")).alias("ns"), "a", "b")
-    left = cut_lineage(pairs)
-    taken = []
+    order = ["d", F.desc("s"), "a", "b"]
+    cut, left, taken = Rounds(pairs.sparkSession), None, []
+    left = cut.cut(pairs)
     while not left.isEmpty():
-        best_a = left.groupBy("a").agg(F.min(key).alias("k")).select("k")
-        best_b = left.groupBy("b").agg(F.min(key).alias("kb")).select(F.col("kb.a").alias("xa"), F.col("kb.b").alias("xb"))
-        mutual = best_a.join(best_b, (F.col("k.a") == F.col("xa")) & (F.col("k.b") == F.col("xb")))
-        mutual = mutual.select(F.col("k.a").alias("a"), F.col("k.b").alias("b"))
-        m = cut_lineage(
-            left.join(mutual, ["a", "b"]).withColumn("m", F.least("ca", "cb")).withColumn("round", F.lit(len(taken)))
+        ahead = lambda side, c: F.coalesce(F.sum(c).over(Window.partitionBy(side).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ranked = left.withColumn("before_a", ahead("a", "cb")).withColumn("before_b", ahead("b", "ca"))
+        best_b, best_a = F.col("before_b") == 0, F.col("before_a") == 0
+        m = (
+            F.when(best_a & best_b, F.least("ca", "cb"))
+            .when(best_b & (F.col("before_a") + F.col("cb") <= F.col("ca")), F.col("cb"))
+            .when(best_a & (F.col("before_b") + F.col("ca") <= F.col("cb")), F.col("ca"))
         )
-        taken.append(m)
-        used_a = m.select("a", F.col("m").alias("ma"))
-        used_b = m.select("b", F.col("m").alias("mb"))
-        rest = left.join(used_a, "a", "left").join(used_b, "b", "left")
-        left = cut_lineage(
+        now = cut_lineage(ranked.withColumn("m", m).where("m is not null").select("a", "b", "d", "s", "m"))
+        taken.append(now)
+        used_a = now.groupBy("a").agg(F.sum("m").alias("ma"))
+        used_b = now.groupBy("b").agg(F.sum("m").alias("mb"))
+        done = now.select("a", "b", F.lit(True).alias("done"))
+        rest = left.join(done, ["a", "b"], "left").where("done is null").join(used_a, "a", "left").join(used_b, "b", "left")
+        left = cut.cut(
             rest.select(
                 "a",
                 "b",
@@ -157,39 +199,32 @@ def match_points(
 ) -> DataFrame:
     """(ours_id, truth_id, distance_m, similarity) of matched points.
 
-    Both inputs have id, lat, lng, name. Order: distance, then the more similar name, then ids.
+    Both inputs have id, lat, lng, name. Order: distance, then the more similar name, then ids; of
+    equal places the smaller ids go first. A similarity of 0 lets every name pass but still prefers
+    the more similar one. Runs a job per round and writes tables to the shared folder.
     """
     by_name = min_similarity is not None
-    points_a, points_b = ours, truth
     a, b = cut_lineage(_sites(ours, by_name)), cut_lineage(_sites(truth, by_name))
-    steps, by_gram = [radius_m], False
-    pairs, n = _estimate(a, b, radius_m)
-    while pairs > PAIRS_PER_SITE * n and steps[0] / 2 >= SMALLEST_STEP_M and not by_name:
-        steps.insert(0, steps[0] / 2)
-        pairs, n = _estimate(a, b, steps[0])
-    if by_name and pairs > PAIRS_PER_SITE * n:
-        by_gram = True  # dissimilar names would stay candidates at every step
+    steps = [radius_m]
+    if not min_similarity:  # names that differ would stay candidates at every step
+        pairs, n = _estimate(a, b, radius_m)
+        while pairs > DENSE * n and steps[0] > 1e-6:
+            steps.insert(0, steps[0] / 2)
+            pairs, n = _estimate(a, b, steps[0])
     taken: list[DataFrame] = []
     for i, step in enumerate(steps):
-        rounds = _greedy(candidate_pairs(a, b, step, min_similarity, by_gram))
-        taken += [t.withColumn("step", F.lit(i)) for t in rounds]
+        rounds = _greedy(candidate_pairs(a, b, step, min_similarity))
+        taken += rounds
         if i + 1 < len(steps) and rounds:
             a, b = _spend(a, rounds, "a"), _spend(b, rounds, "b")
-    schema = "a string, b string, d double, s double, m long, step int, round int"
     if not taken:
-        ids = {f.name: f.dataType for f in points_a.schema}, {f.name: f.dataType for f in points_b.schema}
-        empty = ours.sparkSession.createDataFrame([], schema)
-        return empty.select(
-            F.col("a").cast(ids[0]["id"]).alias("ours_id"),
-            F.col("b").cast(ids[1]["id"]).alias("truth_id"),
-            F.col("d").alias("distance_m"),
-            F.col("s").alias("similarity"),
-        )
-    cols = ["a", "b", "d", "s", "m", "step", "round"]
-    sites = taken[0].select(*cols)
+        types = [ours.schema["id"].dataType, truth.schema["id"].dataType]
+        empty = ours.sparkSession.createDataFrame([], "a string, b string, distance_m double, similarity double")
+        return empty.select(F.col("a").cast(types[0]).alias("ours_id"), F.col("b").cast(types[1]).alias("truth_id"), "distance_m", "similarity")
+    sites = taken[0]
     for t in taken[1:]:
-        sites = sites.unionByName(t.select(*cols))
-    return _to_points(cut_lineage(sites), points_a, points_b, by_name)
+        sites = sites.unionByName(t)
+    return _to_points(sites, ours, truth, by_name)
 
 
 def _spend(sites: DataFrame, rounds: list[DataFrame], side: str) -> DataFrame:
@@ -203,29 +238,43 @@ def _spend(sites: DataFrame, rounds: list[DataFrame], side: str) -> DataFrame:
 
 
 def _to_points(sites: DataFrame, ours: DataFrame, truth: DataFrame, by_name: bool) -> DataFrame:
-    """Matched sites -> matched points: the k-th smallest free ids of both sites meet."""
-    order = ["step", "round", "d", "a", "b"]
-    out = sites
+    """Matched sites -> matched points: in the greedy order the smallest free ids of both sites meet.
+
+    A pair becomes one row per copy; the rows of a site are numbered by a range-partitioned sort and
+    meet its copies by (site, number), so a hot site is spread over tasks.
+    """
+    out = sites.select("a", "b", "d", "s", F.explode(F.sequence(F.lit(1), "m")).alias("unit"))
     for side in ("a", "b"):
-        w = Window.partitionBy(side).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn(f"{side}_from", F.coalesce(F.sum("m").over(w), F.lit(0)))
-    pair = ["a", "b", "i"]
-    mine = _members(ours, by_name, "a").join(out, "a")
-    mine = mine.withColumn("i", F.col("a_copy") - F.col("a_from")).where(F.col("i").between(0, F.col("m") - 1))
-    theirs = _members(truth, by_name, "b").join(out, "b")
-    theirs = theirs.withColumn("i", F.col("b_copy") - F.col("b_from")).where(F.col("i").between(0, F.col("m") - 1))
+        out = number_rows(out, [F.asc(side), F.asc("d"), F.desc("s"), F.asc("a"), F.asc("b"), F.asc("unit")], "r")
+        first = cut_lineage(out.groupBy(side).agg(F.min("r").alias("r0")))
+        out = out.join(first, side).withColumn(f"{side}_copy", F.col("r") - F.col("r0")).drop("r", "r0")
     return (
-        mine.select(*pair, "a_id", "d", "s")
-        .join(theirs.select(*pair, "b_id"), pair)
-        .select(
-            F.col("a_id").alias("ours_id"),
-            F.col("b_id").alias("truth_id"),
-            F.col("d").alias("distance_m"),
-            F.col("s").alias("similarity"),
-        )
+        out.join(_members(ours, by_name, "a"), ["a", "a_copy"])
+        .join(_members(truth, by_name, "b"), ["b", "b_copy"])
+        .select(F.col("a_id").alias("ours_id"), F.col("b_id").alias("truth_id"), F.col("d").alias("distance_m"), F.col("s").alias("similarity"))
     )
 
 
+def inspect_matches(ours: DataFrame, truth: DataFrame, pairs: DataFrame, res: int) -> DataFrame:
+    """(h3, kind, ours_id, truth_id, distance_m, similarity): every point of both sides, by cell.
+
+    ``kind`` is matched, only_ours or only_truth; a pair stands in the cell of its point of ours.
+    """
+    cell = hx.cell(F.col("lat"), F.col("lng"), res).alias("h3")
+    mine, theirs = ours.select(F.col("id").alias("ours_id"), cell), truth.select(F.col("id").alias("truth_id"), cell)
+    cols = ["h3", "kind", "ours_id", "truth_id", "distance_m", "similarity"]
+    hit = mine.join(pairs, "ours_id", "left")
+    hit = hit.withColumn("kind", F.when(F.col("truth_id").isNotNull(), "matched").otherwise("only_ours"))
+    rest = theirs.join(pairs.select("truth_id"), "truth_id", "left_anti")
+    none = {"kind": F.lit("only_truth"), "ours_id": F.lit(None).cast(ours.schema["id"].dataType), "distance_m": F.lit(None).cast("double"), "similarity": F.lit(None).cast("double")}
+    return hit.select(*cols).unionByName(rest.withColumns(none).select(*cols))
+
+
+def like_with_like(ours: DataFrame, truth: DataFrame, group: str, category: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides cut to one of our groups and one category of theirs, before they are matched."""
+    return ours.where(F.col("group") == group), truth.where(F.lower("category") == category.lower())
+
+
 def compare_by_cell(
     ours: DataFrame, truth: DataFrame, pairs: DataFrame, population: DataFrame, res: int
 ) -> DataFrame:

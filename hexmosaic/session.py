@@ -50,6 +50,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Rounds:
+    """Lineage cuts of a loop, in two tables that take turns, so storage does not grow with rounds.
+
+    ``cut`` writes a table and reads it back; the table written two calls before is overwritten, so
+    only the last two results may still be in use.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.base, self.turn = spark, f"{shared_folder(spark)}/rounds-{uuid.uuid4().hex}", 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path, self.turn = f"{self.base}-{self.turn % 2}", self.turn + 1
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def bind(df: DataFrame, keep: list[str], **exprs: Column) -> DataFrame:
     """Columns ``keep`` plus computed columns that later steps see as plain columns.
 

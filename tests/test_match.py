@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -60,14 +61,65 @@ def test_matching_equals_greedy(spark, min_sim, copies):
     assert set(got) == brute(spark, ours, truth, 100.0, min_sim)
 
 
-@pytest.mark.parametrize("min_sim", [None, 0.5])
-def test_dense_places_take_the_stepped_and_gram_paths(spark, monkeypatch, min_sim):
-    monkeypatch.setattr(match, "PAIRS_PER_SITE", 1)
+@pytest.mark.parametrize("min_sim", [None, 0.0, 0.5])
+def test_dense_places_take_halved_radii(spark, monkeypatch, min_sim):
+    monkeypatch.setattr(match, "DENSE", 1)
     ours, truth = sample(3, 50, True), sample(4, 60, True)
     m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0, min_sim)
     assert {(r.ours_id, r.truth_id) for r in m.collect()} == brute(spark, ours, truth, 100.0, min_sim)
 
 
+@pytest.mark.parametrize("lat,lng", [(0.0, 0.0), (50.0, 179.9999), (75.0, -180.0), (-89.9, 3.0), (89.9995, 90.0)])
+def test_partners_are_found_everywhere(spark, lat, lng):
+    rnd = random.Random(3)
+    step = 95 / 111195.08
+    ours, truth = [], []
+    for i in range(200):
+        turn, y = rnd.uniform(0, 360), lat + (i - 100) * 0.02 * (abs(lat) < 80)
+        ours.append((i, y, (lng + 1.7 * i + 180) % 360 - 180 if abs(lat) < 80 else turn, "x"))
+        east = i % 2 and abs(y) < 80
+        x = ours[-1][2] + (step / math.cos(math.radians(y)) if east else 0)
+        truth.append((i, y if east else y - step * (1 if y > 0 else -1), (x + 180) % 360 - 180, "x"))
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0)
+    got = {(r.ours_id, r.truth_id) for r in m.collect()}
+    assert len(got) == 200 if abs(lat) < 80 else got == brute(spark, ours, truth, 100.0, None)
+
+
+def test_similarity_of_zero_filters_nothing(spark):
+    ours = [(i, 11.5, 104.9 + i * 1e-6, f"aa{i}") for i in range(300)]
+    truth = [(i, 11.5001, 104.9 + i * 1e-6, f"zz{i}") for i in range(300)]
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0, 0.0)
+    assert m.count() == 300
+
+
+def test_a_hot_place_takes_all_its_partners_at_once(spark, monkeypatch):
+    ours = [(i, 11.5, 104.9, "x") for i in range(400)]
+    truth = [(i, 11.5 + (i + 1) * 1e-6, 104.9, "x") for i in range(300)]
+    rounds, real = [], match._greedy
+    monkeypatch.setattr(match, "_greedy", lambda p: rounds.append(real(p)) or rounds[-1])
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0)
+    assert {(r.ours_id, r.truth_id) for r in m.collect()} == {(i, i) for i in range(300)}
+    assert all(len(r) <= 1 for r in rounds)  # one for each radius at most
+
+
+def test_capacities_on_both_sides_equal_greedy(spark):
+    rnd = random.Random(9)
+    spots = [(11.5 + rnd.uniform(0, 0.002), 104.9 + rnd.uniform(0, 0.002)) for _ in range(12)]
+    make = lambda n, seed: [(i, *random.Random(seed + i).choice(spots[seed % 2 :: 2]), "x") for i in range(n)]
+    ours, truth = make(70, 100), make(50, 201)
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 150.0)
+    assert {(r.ours_id, r.truth_id) for r in m.collect()} == brute(spark, ours, truth, 150.0, None)
+
+
+def test_inspection_lists_every_point_once(spark):
+    ours, truth = spark.createDataFrame(sample(1, 30, True), SCHEMA), spark.createDataFrame(sample(2, 40, True), SCHEMA)
+    m = match.match_points(ours, truth, 60.0)
+    rows = match.inspect_matches(ours, truth, m, 8).collect()
+    assert sorted(r.ours_id for r in rows if r.ours_id is not None) == list(range(30))
+    assert sorted(r.truth_id for r in rows if r.truth_id is not None) == list(range(40))
+    assert sum(r.kind == "matched" for r in rows) == m.count()
+
+
 def test_no_match(spark):
     a = spark.createDataFrame([(1, 11.0, 104.0, "x")], SCHEMA)
     b = spark.createDataFrame([(1, 12.0, 104.0, "x")], SCHEMA)
