@@ -116,7 +116,9 @@ def multipolygon_from_geojson(text: Column) -> Column:
 
 
 def multipolygon_from_wkt(text: Column) -> Column:
-    """WKT POLYGON or MULTIPOLYGON text -> multipolygon."""
+    """WKT POLYGON or MULTIPOLYGON text -> multipolygon; EMPTY has no polygon, other text is NULL."""
+    empty = F.upper(text).rlike(r"^\s*(MULTI)?POLYGON\s*Z?\s*EMPTY\s*$")
+    known = F.upper(text).rlike(r"^\s*(MULTI)?POLYGON\s*Z?\s*\(")
     body = F.regexp_replace(F.upper(text), r"^\s*(MULTI)?POLYGON\s*Z?\s*\(", "")
     body = F.regexp_replace(body, r"\)\s*$", "")
     multi = F.upper(text).rlike(r"^\s*MULTI")
@@ -128,9 +130,10 @@ def multipolygon_from_wkt(text: Column) -> Column:
         return F.transform(
             F.split(clean, r"\s*,\s*"),
             lambda p: F.struct(
-                F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"),
-                F.split(F.trim(p), r"\s+")[1].cast("double").alias("y"),
+                F.get(F.split(F.trim(p), r"\s+"), 0).try_cast("double").alias("x"),
+                F.get(F.split(F.trim(p), r"\s+"), 1).try_cast("double").alias("y"),
             ),
         )
 
-    return F.transform(polys, lambda t: F.transform(F.split(t, r"\)\s*,\s*\("), ring))
+    parsed = F.transform(polys, lambda t: F.transform(F.split(t, r"\)\s*,\s*\("), ring))
+    return F.when(empty, F.array().cast(MULTIPOLYGON)).when(known, parsed)

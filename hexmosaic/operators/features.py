@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,17 +63,18 @@ def neighbour_sums(base: DataFrame, sums: list[str], ks: list[int]) -> DataFrame
     """(h3, {col}_k{k}...) of every cell some non-empty cell reaches.
 
     Non-empty cells scatter their values to the cells around them, each with its ring number, and
-    one aggregate serves every k. Disks are symmetric, so this equals gathering, and empty cells
-    add nothing. Cells outside the grid are reached too; the caller's join leaves them out.
+    one aggregate serves every k. Disks are symmetric, so this equals gathering, and cells whose
+    columns are all 0 or NULL add nothing. Sums keep the type of their column. Cells outside the
+    grid are reached too; the caller's join leaves them out.
     """
-    filled = F.greatest(*[F.col(c) for c in sums]) > 0
+    filled = reduce(lambda x, y: x | y, [F.coalesce(F.col(c), F.lit(0)) != 0 for c in sums])
     spread = base.where(filled).select(*sums, F.explode(hx.grid_disk_rings(F.col("h3"), max(ks))).alias("t"))
     spread = spread.select(F.col("t.cell").alias("h3"), F.col("t.ring").alias("ring"), *sums)
     aggs = []
     for k in ks:
         for c in sums:
             s = F.sum(F.when(F.col("ring") <= k, F.col(c)))
-            aggs.append((s if c == "population" else s.cast("int")).alias(f"{c}_k{k}"))
+            aggs.append(s.cast(base.schema[c].dataType).alias(f"{c}_k{k}"))
     return spread.groupBy("h3").agg(*aggs)
 
 

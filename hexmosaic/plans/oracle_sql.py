@@ -356,15 +356,18 @@ def dist(la: str, na: str, lb: str, nb: str) -> str:
     return f"(2*{n(R)}*asin(least(1, sqrt({h}))))"
 
 
-def matching(radius: float, min_sim: float | None) -> str:
-    """CTEs ending in matched(a, b, d, s): one pair per step, in greedy order."""
+def matching(radius: float, min_sim: float | None, wider: float = 1.1) -> str:
+    """CTEs ending in matched(a, b, d, s): one pair per step, in greedy order.
+
+    ``wider`` is at least how much shorter a degree of longitude is than one of latitude.
+    """
     # a box a little larger than the radius bounds the exhaustive comparison
     pad = radius / 110000
     keep = "" if min_sim is None else f" AND s >= {min_sim}"
     s = "s" if min_sim is not None else "0"
     return f"""a0 AS (SELECT *, {grams('name')} AS g FROM ours), b0 AS (SELECT *, {grams('name')} AS g FROM truth),
      near AS (SELECT a0.id AS a, b0.id AS b, {dist('a0.lat', 'a0.lng', 'b0.lat', 'b0.lng')} AS d, {sim('a0.g', 'b0.g')} AS s
-       FROM a0 JOIN b0 ON b0.lat BETWEEN a0.lat - {pad} AND a0.lat + {pad} AND b0.lng BETWEEN a0.lng - {pad * 1.1} AND a0.lng + {pad * 1.1}),
+       FROM a0 JOIN b0 ON b0.lat BETWEEN a0.lat - {pad} AND a0.lat + {pad} AND b0.lng BETWEEN a0.lng - {pad * wider} AND a0.lng + {pad * wider}),
      ranked AS (SELECT *, row_number() OVER (ORDER BY d, -{s}, a, b) AS rn FROM near WHERE d <= {radius}{keep}),
      greedy AS (
        SELECT 0::BIGINT AS rn, []::BIGINT[] AS ua, []::BIGINT[] AS ub
@@ -606,4 +609,40 @@ ORACLES: dict[str, str] = {
           WHERE lng BETWEEN {BOX['xmin']} AND {BOX['xmax']} AND lat BETWEEN {BOX['ymin']} AND {BOX['ymax']})
         SELECT '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || round(lng, 7)::VARCHAR || ',' || round(lat, 7)::VARCHAR ||
           ']}},"properties":{{"source_id":"' || source_id || '","name":' || nm || ',"name_en":' || ne || ',"category":"' || category || '","confidence":null}}}}' AS feature FROM q""",
+    "checksums": " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, coalesce(sum(('0x' || substr(sha256({c}), 1, 8))::BIGINT), 0)::BIGINT AS checksum FROM {t}"""
+        for t, c in [("customer", "c_name"), ("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus"),
+                     ("documents", "text"), ("documents", "lang"), ("documents", "source")]
+    ),
+    "biggest_differences": f"""WITH RECURSIVE {CUSTOMER_XY}, {matching(100.0, 0.5)}, {COMPARE}
+        SELECT h3, ours, ground_truth, gt_minus_ours FROM cmp ORDER BY abs(gt_minus_ours) DESC, h3 LIMIT 20""",
+    "match_inspection": f"""WITH RECURSIVE {CUSTOMER_XY}, {matching(100.0, 0.5)}, ao AS (SELECT * FROM {add_cell('ours', RES)}), bo AS (SELECT * FROM {add_cell('truth', RES)})
+        SELECT h3, CASE WHEN m.b IS NULL THEN 'only_ours' ELSE 'matched' END AS kind, id AS ours_id, m.b AS truth_id, round(m.d, 4) AS distance_m,
+          round(m.s, 6) AS similarity FROM ao LEFT JOIN matched m ON m.a = ao.id
+        UNION ALL SELECT h3, 'only_truth', NULL, id, NULL, NULL FROM bo WHERE id NOT IN (SELECT b FROM matched)""",
+    "match_far_north": f"""WITH RECURSIVE {CUSTOMER_XY.replace('ours AS (', 'ours_0 AS (').replace('truth AS (', 'truth_0 AS (')},
+        ours AS (SELECT id, lat + 62e0 AS lat, lng, name FROM ours_0), truth AS (SELECT id, lat + 62e0 AS lat, lng, name FROM truth_0),
+        {matching(100.0, None, 4.0)} SELECT a AS ours_id, b AS truth_id, round(d, 4) AS distance_m FROM matched""",
+    "source_catalogue": f"""WITH l AS (SELECT o_orderpriority || '/' || ['release','extract','draft'][o_orderkey % 3 + 1] AS source, o_orderkey % 3 AS kind,
+          o_orderkey % 12 AS patch, o_orderdate::DATE AS dt FROM orders),
+        p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY dt DESC, CASE WHEN kind = 0 THEN patch ELSE 0 END DESC) AS rn FROM l
+          WHERE kind < 2 AND dt <= DATE '{d.REFERENCE}'),
+        s AS (SELECT source AS name, kind = 2 AS yearly, p.dt, CASE WHEN kind = 2 THEN '{d.REFERENCE[:4]}' WHEN kind = 0 THEN strftime(p.dt, '%Y-%m-%d') || '.' || p.patch
+            ELSE 'country-' || strftime(p.dt, '%y%m%d') || '.osm.pbf' END AS snapshot
+          FROM (SELECT DISTINCT source, kind FROM l) n LEFT JOIN (SELECT source, dt, patch FROM p WHERE rn = 1) p USING (source)),
+        t AS (SELECT *, CASE WHEN yearly THEN DATE '{d.REFERENCE[:4]}-07-01' ELSE dt END AS day FROM s)
+        SELECT name, 'points' AS provides, snapshot, strftime(day, '%Y-%m-%d') AS snapshot_date, date_diff('day', day, DATE '{d.REFERENCE}')::INT AS lag_days,
+          'https://h/' || snapshot || '?y={d.REFERENCE[:4]}' AS url, 'CC0' AS license,
+          CASE WHEN yearly THEN NULL WHEN snapshot IS NULL THEN 'no snapshot' WHEN abs(date_diff('day', day, DATE '{d.REFERENCE}')) > 45 THEN 'stale snapshot' END AS warning
+        FROM t""",
+    "truth_round_trip": f"WITH {CUSTOMER_XY} SELECT name, 'customer' AS category, round(lat, 6) AS lat, round(lng, 6) AS lng FROM truth",
+    "wkt_round_trip": f"WITH {EDGES}, {DEG2} SELECT part_id, round(deg2, 6) AS deg2 FROM deg",
+    "grid_coverage": f"""WITH {BASE_CTES}, {utm()}, g AS (SELECT count(DISTINCT h3) AS cells, count(DISTINCT h3) * {n(1.5 * math.sqrt(3) * 575 * 575 / 1e6)} AS km2 FROM center)
+        SELECT cells, 0::BIGINT AS repeated, round(km2, 4) AS cell_km2, round(km2 / (SELECT sum(area_km2) FROM ukm), 6) AS coverage FROM g""",
+    "population_difference": f"""{QPOP}, t AS (SELECT sum(pop) AS src FROM pixels)
+        SELECT count(*) AS cells, round(sum(population), 3) AS total, round((sum(population) - any_value(src)) / any_value(src), 6) AS difference FROM pop, t""",
 }
+
+ORACLES["ledger_rows"] = f"SELECT stage, 'v1' AS inputs, n_rows::BIGINT AS n_rows FROM ({ORACLES['stage_rows']})"
+ORACLES["parts_without_cell"] = f"""WITH sp AS ({ORACLES['surface_points']}), filled AS ({ORACLES['polyfill_center']})
+  SELECT part_id FROM {add_cell('sp', RES)} WHERE h3 NOT IN (SELECT h3 FROM filled)"""

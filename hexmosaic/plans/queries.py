@@ -13,7 +13,7 @@ from hexmosaic.functions import geo, rules, text
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators import admin, catalog, checks, clip, dedupe, features, match, polyfill, polygons, pois, population
 from hexmosaic.plans import derived as d
-from hexmosaic.session import cut_lineage
+from hexmosaic.session import cut_lineage, new_path
 from hexmosaic.sources import readers, sinks
 
 RES = 8
@@ -475,9 +475,85 @@ def geojson_sample(spark, sf):
 
 
 def checksums(spark, sf):
-    """Checksums of all table files."""
-    c = readers.file_checksums(spark, f"{sf}/*.parquet")
-    return c.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "sha256")
+    """Order-free checksum of every text column of three tables."""
+    columns = {"customer": ["c_name", "c_mktsegment"], "orders": ["o_orderpriority", "o_orderstatus"], "documents": ["text", "lang", "source"]}
+    parts = [readers.table_checksum(d.table(spark, sf, t), c).withColumn("table", F.lit(t)) for t, c in columns.items()]
+    return pois.union_sources(parts)
+
+
+# --- comparison, checks and round trips ---------------------------------------------------
+
+
+def biggest_differences(spark, sf):
+    a, b = d.ours(spark, sf), d.truth(spark, sf)
+    m = match.match_points(a, b, 100.0, 0.5)
+    c = match.compare_by_cell(a, b, m, population.pixels_by_cell(pixels(spark, sf), RES), RES)
+    return match.biggest_differences(c, 20).select("h3", "ours", "ground_truth", "gt_minus_ours")
+
+
+def match_inspection(spark, sf):
+    a, b = d.ours(spark, sf), d.truth(spark, sf)
+    m = match.match_points(a, b, 100.0, 0.5)
+    return match.inspect_matches(a, b, m, RES).withColumns({"distance_m": F.round("distance_m", 4), "similarity": F.round("similarity", 6)})
+
+
+def match_far_north(spark, sf):
+    """The same points 62 degrees farther north, where a degree of longitude is a quarter as long."""
+    a, b = (t.withColumn("lat", F.col("lat") + 62.0) for t in (d.ours(spark, sf), d.truth(spark, sf)))
+    m = match.match_points(a, b, 100.0)
+    return m.select("ours_id", "truth_id", F.round("distance_m", 4).alias("distance_m"))
+
+
+def parts_without_cell(spark, sf):
+    parts = d.parts(spark, sf)
+    return checks.parts_without_cell(parts, polyfill.polyfill_grid(parts, RES, "center"), RES)
+
+
+def grid_coverage(spark, sf):
+    """Cells, their area and its ratio to the area of the polygons."""
+    parts = d.parts(spark, sf)
+    area = parts.select(polygons.area_km2(F.col("polygon"), PARAMS.utm_zone).alias("a")).agg(F.sum("a")).first()[0]
+    c = checks.coverage(checks.grid_stats(polyfill.polyfill_grid(parts, RES, "center"), RES), area)
+    return c.select("cells", "repeated", F.round("cell_km2", 4).alias("cell_km2"), r6("coverage"))
+
+
+def population_difference(spark, sf):
+    total = population.raster_total(d.raster_blocks(spark, sf), d.NODATA).first()["total"]
+    p = checks.population_difference(population_by_cell(spark, sf), total)
+    return p.select("cells", F.round("total", 3).alias("total"), r6("difference"))
+
+
+def source_catalogue(spark, sf):
+    listing = d.listings(spark, sf)
+    sources = listing.select(F.col("source").alias("name")).distinct()
+    sources = sources.select("name", F.lit("points").alias("provides"), F.lit("https://h/{snapshot}?y={year}").alias("url_template"), F.lit("CC0").alias("license"), F.col("name").endswith("/draft").alias("yearly"))
+    r = catalog.resolve_snapshots(listing, REFERENCE, PARAMS.max_source_lag_days)
+    c = catalog.source_catalogue(sources, r, REFERENCE.year, REFERENCE)
+    return c.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
+def ledger_rows(spark, sf):
+    """Row counts of stages, recorded in a ledger and read back."""
+    ledger = catalog.Ledger(spark, new_path(spark, "ledger"))
+    for r in stage_rows(spark, sf).collect():  # one row per stage
+        ledger.record(r["stage"], "v0", {}, [])
+        ledger.record(r["stage"], "v1", {"n_rows": r["n_rows"]}, [])
+    return ledger.table().select("stage", "inputs", F.col("rows")["n_rows"].cast("long").alias("n_rows"))
+
+
+def truth_round_trip(spark, sf):
+    """Ground truth written as CSV and read back by its detected columns."""
+    path = new_path(spark, "truth")
+    t = d.truth(spark, sf).select(F.col("name").alias("Name"), F.col("lat").alias("Latitude"), F.col("lng").alias("LON"), F.lit("customer").alias("Type"))
+    t.write.option("header", True).csv(path)
+    return readers.read_truth_csv(spark, path).select("name", "category", r6("lat"), r6("lng"))
+
+
+def wkt_round_trip(spark, sf):
+    """Polygons written as WKT and parsed again: vertices and area."""
+    text = d.parts(spark, sf).select("part_id", geo.polygon_wkt(F.col("polygon")).alias("wkt"))
+    back = readers.with_geometry(text, "wkt", "wkt").select("part_id", F.col("wkt")[0].alias("polygon"))
+    return back.select("part_id", F.round(polygons.area_deg2(F.col("polygon")), 6).alias("deg2"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -544,5 +620,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         app_population,
         geojson_sample,
         checksums,
+        biggest_differences,
+        match_inspection,
+        match_far_north,
+        parts_without_cell,
+        grid_coverage,
+        population_difference,
+        source_catalogue,
+        ledger_rows,
+        truth_round_trip,
+        wkt_round_trip,
     )
 }

@@ -37,6 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_path(spark: SparkSession, kind: str) -> str:
+    """A path in the shared folder that nothing has used yet."""
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
@@ -45,7 +50,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     join strategy of the next round.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    path = new_path(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -58,7 +63,7 @@ class Rounds:
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.base, self.turn = spark, f"{shared_folder(spark)}/rounds-{uuid.uuid4().hex}", 0
+        self.spark, self.base, self.turn = spark, new_path(spark, "rounds"), 0
 
     def cut(self, df: DataFrame) -> DataFrame:
         path, self.turn = f"{self.base}-{self.turn % 2}", self.turn + 1

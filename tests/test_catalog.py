@@ -119,11 +119,17 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["h3_str", "n"]
     sinks.write_json_lines(df, str(tmp_path / "j"), "h3")
     assert spark.read.json(str(tmp_path / "j")).count() == 50
-    f = tmp_path / "f.bin"
-    f.write_bytes(b"abc")
+
+
+def test_table_checksum_ignores_order(spark):
     import hashlib
 
-    assert readers.file_checksums(spark, str(f)).first()["sha256"] == hashlib.sha256(b"abc").hexdigest()
+    rows = [("a", None), ("b", "x"), ("a", "")]
+    want = {c: sum(int(hashlib.sha256(r[i].encode()).hexdigest()[:8], 16) for r in rows if r[i] is not None) for i, c in enumerate("st")}
+    for r in (rows, rows[::-1]):
+        df = spark.createDataFrame(r, "s string, t string").repartition(3)
+        assert {x["column"]: x["checksum"] for x in readers.table_checksum(df, ["s", "t"]).collect()} == want
+    assert [x["checksum"] for x in readers.table_checksum(df.limit(0), ["s"]).collect()] == [0]
 
 
 def test_partitioned_area_scan(spark, tmp_path):

@@ -89,3 +89,12 @@ def test_city_first_match(spark):
     d = spark.createDataFrame([(11.5, 104.9), (13.35, 103.8), (0.0, 0.0)], "lat double, lng double")
     got = [r[0] for r in d.select(features.city_of(F.col("lat"), F.col("lng"))).collect()]
     assert got == ["Phnom Penh", "Siem Reap", None]
+
+
+def test_neighbour_sums_of_any_numbers(spark):
+    c = spark.range(1).select(hx.cell(F.lit(11.55), F.lit(104.92), 8)).first()[0]
+    df = spark.createDataFrame([(c, -5, -1.5), (c + 1, 2, 3.25), (c + 2, 0, None)], "h3 long, n int, x double")
+    got = {r.h3: (r.n_k1, r.x_k1) for r in features.neighbour_sums(df, ["n", "x"], [1]).collect()}
+    assert got[c] == got[c + 1] == (-3, 1.75) and got[c - 1] == (-5, -1.5)
+    one = {r.h3: r.x_k1 for r in features.neighbour_sums(df, ["x"], [1]).collect()}
+    assert one[c] == 1.75

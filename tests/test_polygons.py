@@ -192,3 +192,15 @@ def test_bbox_filter_is_strict_and_pushed(spark, tmp_path):
     assert sorted(r.id for r in out.collect()) == [1, 3]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "bbox.xmin" in plan.split("PushedFilters")[1]
+
+
+def test_empty_and_broken_wkt(spark):
+    from pyspark.sql import functions as F
+
+    from hexmosaic.functions import geo
+
+    texts = ["POLYGON EMPTY", "multipolygon empty", "POINT(1 2)", "POLYGON((a b, 1 2))", None, "POLYGON((0 0, 1 0, 1 1))"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(geo.multipolygon_from_wkt(F.col("t"))).collect()]
+    assert got[0] == [] and got[1] == [] and got[2] is None and got[4] is None
+    assert got[3][0][0][0]["x"] is None and got[5][0][0][1]["x"] == 1.0
