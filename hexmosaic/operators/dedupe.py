@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import text
 from hexmosaic.operators.match import prefix_grams
-from hexmosaic.session import cut_lineage
+from hexmosaic.session import Rounds, cut_lineage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -17,11 +17,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds: every node hangs its larger neighbours, then its
     smaller ones, on the smallest node it sees, until nothing moves. The rounds grow with the
     logarithm of the graph, each is two aggregates with map-side combine, and no neighbour list is
-    ever collected. Lineage is cut by a written table per round.
+    ever collected. Lineage is cut by a written table per round; count and checksum of the edges tell the end.
     """
+    rounds = Rounds(edges.sparkSession)
+    mark = lambda t: tuple(t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     e = edges.where(F.col("a") != F.col("b"))
-    e = cut_lineage(e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while True:
+    e = rounds.cut(e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    before, now = None, mark(e)
+    while now != before:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -35,11 +38,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 )
             )
         )
-        nxt = cut_lineage(small.where(F.col("u") != F.col("v")).distinct())
-        moved = nxt.join(e, ["u", "v"], "left_anti").isEmpty() and e.join(nxt, ["u", "v"], "left_anti").isEmpty()
-        e = nxt
-        if moved:
-            break
+        e = rounds.cut(small.where(F.col("u") != F.col("v")).distinct())
+        before, now = now, mark(e)
     roots = e.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
@@ -67,19 +67,22 @@ def duplicate_pairs(sites: DataFrame, min_similarity: float = 0.5) -> DataFrame:
     Blocked by cell and by the grams that similar names cannot both miss, so a crowded cell does
     not pair everything with everything.
     """
-    gram = F.explode(prefix_grams(F.col("grams"), min_similarity)).alias("g")
-    a = sites.select("site", "source", "cell", "grams", gram)
+    sites = sites.withColumn("first", prefix_grams(F.col("grams"), min_similarity))
+    gram = F.explode("first").alias("g")
+    a = sites.select("site", "source", "cell", "grams", "first", gram)
     b = sites.select(
         F.col("site").alias("site_b"),
         F.col("source").alias("source_b"),
         F.col("grams").alias("grams_b"),
+        F.col("first").alias("first_b"),
         gram,
         F.col("cell").alias("cell0"),
     )
     b = b.select("*", F.explode(hx.grid_disk(F.col("cell0"), 1)).alias("cell"))
     hit = a.join(b, ["cell", "g"]).where(F.col("source") < F.col("source_b"))
+    once = F.get(F.array_intersect("first", "first_b"), 0) == F.col("g")  # of all shared grams one tells
     similar = text.jaccard(F.col("grams"), F.col("grams_b")) >= min_similarity
-    return hit.where(similar).select(F.col("site").alias("a"), F.col("site_b").alias("b")).distinct()
+    return hit.where(once & similar).select(F.col("site").alias("a"), F.col("site_b").alias("b"))
 
 
 def duplicate_groups(pois: DataFrame, index_res: int = 11, min_similarity: float = 0.5) -> DataFrame:
@@ -104,20 +107,20 @@ def dedupe_pois(
     index_res: int = 11,
     min_similarity: float = 0.5,
 ) -> DataFrame:
-    """One record per duplicate group: highest confidence, then source order, then id.
+    """Of each duplicate group the records of one source: that of its best record.
 
-    With a single source there is nothing to merge and the input comes back with its own ids as
-    groups. The survivor is picked by an aggregate with map-side combine, not by a window.
+    The best has the highest confidence, then comes the source order, then the id. Records of one
+    source are never duplicates of each other, whether another source has a twin or not: they stay
+    or go together. With a single source the input comes back with its own ids as groups.
     """
     if len(source_order) < 2:
         return pois.withColumn("dup_group_id", F.concat_ws("|", "source", "source_id"))
-    grouped = duplicate_groups(pois, index_res, min_similarity)
+    grouped = cut_lineage(duplicate_groups(pois, index_res, min_similarity))
     rank = F.coalesce(
         *[F.when(F.col("source") == s, i) for i, s in enumerate(source_order)], F.lit(len(source_order))
     )
     order = F.struct(
         (-F.coalesce("confidence", F.lit(-1.0))).alias("conf"), rank.alias("src"), F.col("source_id").alias("sid")
     )
-    row = F.struct(*grouped.columns)
-    best = grouped.groupBy("dup_group_id").agg(F.min_by(row, order).alias("row"))
-    return best.select("row.*")
+    best = grouped.groupBy("dup_group_id").agg(F.min_by("source", order).alias("_best"))
+    return grouped.join(cut_lineage(best), "dup_group_id").where(F.col("source") == F.col("_best")).select(*grouped.columns)

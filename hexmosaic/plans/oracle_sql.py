@@ -578,9 +578,9 @@ ORACLES: dict[str, str] = {
     "agreement": f"""WITH RECURSIVE {CUSTOMER_XY}, {matching(100.0, 0.5)}, {COMPARE}, t AS (SELECT sum(ours)::BIGINT AS ours, sum(ground_truth)::BIGINT AS ground_truth,
           sum(matched_ours)::BIGINT AS matched_ours, sum(matched_ground_truth)::BIGINT AS matched_ground_truth FROM cmp)
         SELECT *, round(matched_ground_truth / ground_truth, 6) AS recall, round(matched_ours / ours, 6) AS precision FROM t""",
-    "dedupe_pois": f"""WITH RECURSIVE {TWO}, r AS (SELECT b.*, c.dup_group_id, row_number() OVER (PARTITION BY c.dup_group_id
-          ORDER BY coalesce(confidence, -1) DESC, source = 'fsq', source_id) AS rn FROM both1 b JOIN comp c USING (node))
-        SELECT source, source_id, name, dup_group_id FROM r WHERE rn = 1""",
+    "dedupe_pois": f"""WITH RECURSIVE {TWO}, r AS (SELECT b.*, c.dup_group_id, first_value(source) OVER (PARTITION BY c.dup_group_id
+          ORDER BY coalesce(confidence, -1) DESC, source = 'fsq', source_id) AS best FROM both1 b JOIN comp c USING (node))
+        SELECT source, source_id, name, dup_group_id FROM r WHERE source = best""",
     "quality_report": f"""WITH {ELEMENT_CTES}, {RASTER}, {POINT_GRID}, {features('point_grid')},
         f AS (SELECT count(*)::DOUBLE AS rows, count(DISTINCT h3)::DOUBLE AS distinct_cells, sum(population)::DOUBLE AS population, sum(n_poi)::DOUBLE AS n_poi,
           sum(data_gap::INT)::DOUBLE AS gaps FROM feats),

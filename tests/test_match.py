@@ -181,3 +181,12 @@ def test_dedupe_groups_and_survivors(spark):
     kept = {(r.source, r.source_id) for r in dedupe.dedupe_pois(p, ["osm", "overture"]).collect()}
     assert kept == {(r[0], r[1]) for r in rows} - {("osm", "1"), ("osm", "2")}
     assert dedupe.dedupe_pois(p, ["osm"]).count() == len(rows)
+
+
+@pytest.mark.parametrize("twin,kept", [("Zoo", 3), ("ATM", 2)])
+def test_copies_of_one_source_stay_together(spark, twin, kept):
+    rows = [("x", "1", "ATM", 0.9), ("x", "2", "ATM", 0.9), ("y", "9", twin, 0.5)]
+    p = spark.createDataFrame(rows, "source string, source_id string, name string, confidence double")
+    p = p.withColumn("h3_res11", hx.cell(F.lit(11.5), F.lit(104.9), 11))
+    got = {(r.source, r.source_id) for r in dedupe.dedupe_pois(p, ["x", "y"]).collect()}
+    assert {("x", "1"), ("x", "2")} <= got and len(got) == kept
