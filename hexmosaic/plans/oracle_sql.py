@@ -609,6 +609,9 @@ ORACLES: dict[str, str] = {
           WHERE lng BETWEEN {BOX['xmin']} AND {BOX['xmax']} AND lat BETWEEN {BOX['ymin']} AND {BOX['ymax']})
         SELECT '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || round(lng, 7)::VARCHAR || ',' || round(lat, 7)::VARCHAR ||
           ']}},"properties":{{"source_id":"' || source_id || '","name":' || nm || ',"name_en":' || ne || ',"category":"' || category || '","confidence":null}}}}' AS feature FROM q""",
+    "population_layer": f"{QPOP} SELECT lower(hex(h3)) AS h3_str, round(population, 6) AS population, {wkt_ring(RES)} AS geometry FROM pop WHERE population > 0",
+    "app_meta": f"""WITH {NODES}, {POINT_GRID} SELECT {RES} AS res, '{d.REFERENCE}' AS reference_date, 'osm' AS sources, '{','.join(NAMES)}' AS groups,
+        {2 + 1 + len(NAMES) + 2 + 1 + 2 * (2 + len(NAMES))} AS n_fields, count(*) AS cells FROM point_grid""",
     "checksums": " UNION ALL ".join(
         f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, coalesce(sum(('0x' || substr(sha256({c}), 1, 8))::BIGINT), 0)::BIGINT AS checksum FROM {t}"""
         for t, c in [("customer", "c_name"), ("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus"),

@@ -21,6 +21,10 @@ from hexmosaic.sources import sinks
 log = logging.getLogger(__name__)
 
 
+#: Finest resolution whose bare grid is written as a layer; finer ones are too large for a map.
+GRID_LAYER_RES = 8
+
+
 class Pipeline:
     """Runs the stages into a folder that every executor can reach."""
 
@@ -61,7 +65,7 @@ class Pipeline:
         def run() -> dict:
             parts = boundary_parts(areas, self.params.utm_zone, tie_break)
             sinks.write_table(parts, self.path("boundary"), "part_id")
-            return checks.check_boundary(self.table("boundary"), self.area_range)
+            return {**checks.check_boundary(self.table("boundary"), self.area_range), "raw_rows": areas.count()}
 
         self._stage("boundary", {"areas": version}, ["boundary"], run)
 
@@ -117,7 +121,8 @@ class Pipeline:
         def run() -> dict:
             out = pois.clip_and_index(staged, self.table(f"grid_res{res}"), self.table("boundary"), p)
             sinks.write_table(out, self.path(f"poi_{name}"), "source_id")
-            return checks.check_pois(self.table(f"poi_{name}"), self.table(f"grid_res{res}"), res, name)
+            kept = checks.check_pois(self.table(f"poi_{name}"), self.table(f"grid_res{res}"), res, name)
+            return {**kept, "staged": staged.count()}
 
         inputs = {
             "source": version,
@@ -156,6 +161,8 @@ class Pipeline:
                 rows |= {f"res{r}_rows": stats["rows"], f"res{r}_data_gap": stats["data_gaps"]}
                 cities = [c["city"] for c in checks.busiest_places(done).collect()]
                 log.info("features res %d: busiest cells in %s", r, ", ".join(sorted(set(cities))))
+                if "elsewhere" in cities:
+                    log.warning("features res %d: %d of the busiest cells lie in no known city", r, cities.count("elsewhere"))
             return rows
 
         inputs = {
@@ -172,19 +179,27 @@ class Pipeline:
         res = max(self.params.resolutions)
         outs = [f"features_res{r}_csv" for r in self.params.resolutions]
         outs += [f"features_res{r}_layer" for r in self.params.resolutions]
-        outs += ["boundary_layer", "poi_layer", "app_pois", "app_population"]
+        shown = [r for r in self.params.resolutions if r <= GRID_LAYER_RES]
+        outs += [f"grid_res{r}_layer" for r in shown] + [f"population_res{r}_layer" for r in self.params.resolutions]
+        outs += ["boundary_layer", "poi_layer", "app_pois", "app_population", "app_meta"]
 
         def run() -> dict:
             for r in self.params.resolutions:
                 f = self.table(f"features_res{r}")
                 sinks.write_csv(f, self.path(f"features_res{r}_csv"), "h3_str")
                 sinks.write_table(sinks.cell_layer(f, r), self.path(f"features_res{r}_layer"), "h3_str")
+                people = sinks.population_layer(self.table(f"population_res{r}"), r)
+                sinks.write_table(people, self.path(f"population_res{r}_layer"), "h3_str")
+            for r in shown:
+                sinks.write_table(sinks.cell_layer(self.table(f"grid_res{r}"), r), self.path(f"grid_res{r}_layer"), "h3_str")
             poi = self.table("poi")
             sinks.write_table(sinks.part_layer(self.table("boundary")), self.path("boundary_layer"), "part_id")
             sinks.write_table(sinks.point_layer(poi), self.path("poi_layer"), "source_id")
             sinks.write_json_lines(sinks.app_pois(poi, self.groups), self.path("app_pois"), "id")
             people = sinks.app_population(self.table(f"population_res{res}"))
             sinks.write_json_lines(people, self.path("app_population"), "h3_str")
+            meta = sinks.app_meta(self.table(f"features_res{res}"), res, self.params.reference_date.isoformat(), list(self.params.use), self.groups)
+            sinks.write_json_lines(meta, self.path("app_meta"))
             return {}
 
         self._stage("export", {"features": self.inputs["features"]}, outs, run)
@@ -198,7 +213,7 @@ def run_all(
     nodata: float | None,
     staged: dict[str, DataFrame],
     version: str,
-    tie_break: tuple[str, ...] = (),
+    tie_break: tuple[str, ...] = ("id",),
 ) -> DataFrame:
     """All stages; ``staged`` holds the staged POIs of every enabled source."""
     pipeline.boundary(areas, version, tie_break)

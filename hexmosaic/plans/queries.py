@@ -467,6 +467,17 @@ def app_population(spark, sf):
     return sinks.app_population(population_by_cell(spark, sf))
 
 
+def population_layer(spark, sf):
+    p = sinks.population_layer(population_by_cell(spark, sf), RES, digits=6)
+    return p.select("h3_str", r6("population"), "geometry")
+
+
+def app_meta(spark, sf):
+    """What the comparison page shows, over the features of the given points."""
+    m = sinks.app_meta(point_features(spark, sf), RES, d.REFERENCE, ["osm"], GROUPS)
+    return m.select("res", "reference_date", F.array_join("sources", ",").alias("sources"), F.array_join("groups", ",").alias("groups"), F.size("fields").alias("n_fields"), "cells")
+
+
 def geojson_sample(spark, sf):
     """GeoJSON features of the POIs in one bbox."""
     inside = sinks.in_bbox(staged(spark, sf), BOX)
@@ -619,6 +630,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         app_pois,
         app_population,
         geojson_sample,
+        population_layer,
+        app_meta,
         checksums,
         biggest_differences,
         match_inspection,

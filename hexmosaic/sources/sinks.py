@@ -26,14 +26,19 @@ def write_csv(df: DataFrame, path: str, *keys, mode: str = "overwrite") -> None:
     out.drop("h3").write.mode(mode).option("header", True).csv(path)
 
 
-def cell_layer(df: DataFrame, res: int, form: str = "wkt") -> DataFrame:
+def cell_layer(df: DataFrame, res: int, form: str = "wkt", digits: int = 9) -> DataFrame:
     """Rows with the hexagon of their cell instead of the numeric id."""
     polygon = F.array(hx.cell_boundary(F.col("h3"), res))
     if form == "wkt":
-        return df.withColumn("geometry", geo.polygon_wkt(polygon)).drop("h3")
+        return df.withColumn("geometry", geo.polygon_wkt(polygon, digits)).drop("h3")
     return _features(df.drop("h3").columns, df, geo.polygon_geojson(polygon))
 
 
+def population_layer(population: DataFrame, res: int, digits: int = 9) -> DataFrame:
+    """Cells with people, and their hexagons."""
+    return cell_layer(population.where(F.col("population") > 0), res, digits=digits)
+
+
 def point_layer(pois: DataFrame, form: str = "wkt") -> DataFrame:
     """POI points with the columns a map needs."""
     cols = ["source_id", "name", "name_en", "category", "confidence"]
@@ -85,6 +90,21 @@ def app_population(population: DataFrame) -> DataFrame:
     return population.where(F.col("population") >= 1).select("h3_str", F.round("population").cast("int").alias("population"))
 
 
+def app_meta(features: DataFrame, res: int, reference_date: str, sources: list[str], groups: dict[str, list[str]]) -> DataFrame:
+    """One row that tells the comparison page what it shows: res, reference date, sources, groups, the
+    feature table's numeric fields and its number of cells."""
+    numeric = [f.name for f in features.schema if f.dataType.typeName() in ("integer", "long", "double") and f.name != "h3"]
+    text = lambda xs: F.array(*map(F.lit, xs)) if xs else F.array().cast("array<string>")
+    return features.agg(F.count("*").alias("cells")).select(
+        F.lit(res).alias("res"),
+        F.lit(reference_date).alias("reference_date"),
+        text(list(sources)).alias("sources"),
+        text([*groups, rules.OTHER]).alias("groups"),
+        text(numeric).alias("fields"),
+        "cells",
+    )
+
+
 def write_json_lines(df: DataFrame, path: str, *keys: str) -> None:
     """JSON, one object per row (text rows are written as they are)."""
     out = ordered(df, *keys) if keys else df
