@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import geo
-from hexmosaic.session import cut_lineage
+from hexmosaic.session import bind, cut_lineage
 
 BAND_DEG = 0.01
 
@@ -72,6 +72,20 @@ def area_km2(polygon: Column, utm_zone: int) -> Column:
     return _ring_area(polygon, utm) / F.lit(1e6)
 
 
+def utm_areas(edges: DataFrame, utm_zone: int, key: str = "part_id") -> DataFrame:
+    """(key, area_km2) in the UTM plane from the edge table.
+
+    Vertices are projected in generated code and sums combine map-side, so a polygon of any number of
+    vertices is spread over tasks; ``area_km2`` does the same for one small polygon inside a row.
+    """
+    e1, n1 = geo.utm_forward(F.col("y1"), F.col("x1"), utm_zone)
+    e2, n2 = geo.utm_forward(F.col("y2"), F.col("x2"), utm_zone)
+    ends = bind(edges, [key, "ring_id", "is_hole"], e1=e1, n1=n1, e2=e2, n2=n2)
+    cross = F.sum(F.col("e1") * F.col("n2") - F.col("e2") * F.col("n1"))
+    rings = ends.groupBy(key, "ring_id", "is_hole").agg((F.abs(cross) / 2e6).alias("a"))
+    return rings.groupBy(key).agg(F.sum(F.when(F.col("is_hole"), -F.col("a")).otherwise(F.col("a"))).alias("area_km2"))
+
+
 def crosses_ray(lat: Column, lng: Column, e: str = "") -> Column:
     """True when the edge crosses the eastward ray from the point (half-open in latitude)."""
     x1, y1, x2, y2 = (F.col(e + c) for c in ("x1", "y1", "x2", "y2"))

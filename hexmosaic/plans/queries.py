@@ -146,11 +146,8 @@ def polygon_area(spark, sf):
 
 
 def utm_area(spark, sf):
-    return d.parts(spark, sf).select("part_id", r6_km2("polygon"))
-
-
-def r6_km2(c: str):
-    return F.round(polygons.area_km2(F.col(c), PARAMS.utm_zone), 5).alias("area_km2")
+    a = polygons.utm_areas(polygons.ring_edges(d.parts(spark, sf)), PARAMS.utm_zone)
+    return a.select("part_id", F.round("area_km2", 5).alias("area_km2"))
 
 
 def boundary_parts(spark, sf):
@@ -523,7 +520,7 @@ def parts_without_cell(spark, sf):
 def grid_coverage(spark, sf):
     """Cells, their area and its ratio to the area of the polygons."""
     parts = d.parts(spark, sf)
-    area = parts.select(polygons.area_km2(F.col("polygon"), PARAMS.utm_zone).alias("a")).agg(F.sum("a")).first()[0]
+    area = polygons.utm_areas(polygons.ring_edges(parts), PARAMS.utm_zone).agg(F.sum("area_km2")).first()[0]
     c = checks.coverage(checks.grid_stats(polyfill.polyfill_grid(parts, RES, "center"), RES), area)
     return c.select("cells", "repeated", F.round("cell_km2", 4).alias("cell_km2"), r6("coverage"))
 
