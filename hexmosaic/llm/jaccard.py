@@ -244,7 +244,11 @@ def join_similar(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id, in their own columns."""
+    """``docs`` with one document of each class, that of the smallest id, in their own columns.
+
+    Rows of one id stay or go together: if one of them is in the class of a smaller id, all go. Null
+    ids stay.
+    """
     gone = join_similar(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 

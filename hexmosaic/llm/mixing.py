@@ -51,7 +51,7 @@ def mix(
     epochs: int = 3,
     seed: str = "mix-1",
 ) -> DataFrame:
-    """Words taken from each document: doc_id, source, size, source_size, target, taken.
+    """Words taken from each document: doc_id, source, text_key, size, source_size, target, taken.
 
     ``docs`` needs doc_id, text and source; other columns are ignored. The size of a null or empty
     text is 0, and such rows get 0 words. A null source is a source of its own; a null id is an id
@@ -63,7 +63,7 @@ def mix(
     """
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     group = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    rows = stored(docs.select("doc_id", "source", word_count("text").alias("size"), key.alias("key"), group.alias("group")), "mix-sizes")
+    rows = stored(docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), word_count("text").alias("size"), key.alias("key"), group.alias("group")), "mix-sizes")
     digits = max(1, ceil(log2(max(1, rows.count() / ROWS_PER_RANGE)) / 4 + 0.5))
     rows = rows.withColumn("range", F.substring("key", 1, digits))
 
@@ -76,22 +76,27 @@ def mix(
     targets = targets.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("group"), "source_size", "target", "budget")
     starts = starts.join(targets, "group")
 
-    inside = Window.partitionBy("group", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("group", "range").orderBy("key", "doc_id", "size", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.join(starts, ["group", "range"])
     rows = rows.withColumn("start", F.col("range_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rounds = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
     rest = F.col("budget") - rounds * F.col("source_size")
     more = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
-    return rows.select("doc_id", "source", "size", "source_size", "target", (rounds * F.col("size") + more).cast("long").alias("taken"))
+    return rows.select("doc_id", "source", "text_key", "size", "source_size", "target", (rounds * F.col("size") + more).cast("long").alias("taken"))
 
 
 def apply_mix(docs: DataFrame, taken: DataFrame) -> DataFrame:
     """The mixed rows themselves: every document as often as it is taken, the cut one shortened.
 
-    Joined by doc_id, which must be unique. Columns of ``docs`` stay; ``n_chars`` follows the text.
+    Rows of equal id, source and text are one document here, with the words taken from all of them,
+    so repeated rows give as many words as they were granted. Columns of ``docs`` stay (of such rows
+    those of one); ``n_chars`` follows a shortened text.
     """
-    share = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken")).where("taken > 0")
-    both = docs.join(share, F.col("doc_id").eqNullSafe(F.col("_id")))
+    share = taken.groupBy("doc_id", "source", "text_key").agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken")).where("_taken > 0")
+    share = share.withColumnsRenamed({"doc_id": "_id", "source": "_source", "text_key": "_key"})
+    once = docs.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_text_key"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_text_key") == F.col("_key"))
+    both = once.join(share, same)
     whole = F.expr("_taken div _size")
     rest = F.col("_taken") % F.col("_size")
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))

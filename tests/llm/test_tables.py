@@ -146,6 +146,16 @@ def test_mixed_rows_hold_the_words_taken(spark, sf):
     assert max(cut.values(), default=0) <= 1
 
 
+def test_mixed_rows_of_repeated_documents(spark):
+    odd = odd_documents(spark)
+    want, got = {}, {}
+    for r in mixing.mix(odd).collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.taken
+    for r in mixing.apply_mix(odd, mixing.mix(odd)).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + len(r.text.encode().split())
+    assert got == {d: n for d, n in want.items() if n}
+
+
 # --- pipeline and registered queries ------------------------------------------------------
 
 
