@@ -237,11 +237,12 @@ def read_some(paths: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
     ``wanted`` has (path, doc_id); only the frames of those documents are read.
     """
 
-    def read(key, b: pd.DataFrame) -> pd.DataFrame:
+    def read(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         fs, _ = filesystem(folder)
         file, want = FileReader(fs, key[0]), set(b["doc_id"])
         at = [k for k, i in enumerate(file.ids) if i in want]
-        return pd.DataFrame({"doc_id": file.ids[at], "tokens": [file.read(k).astype("int64") for k in at]})
+        tokens = pd.Series([file.read(k).tolist() for k in at], dtype=object)  # of an object type if empty, too
+        return pd.DataFrame({"doc_id": file.ids[at], "tokens": tokens})
 
     return paths.join(wanted, "path").groupBy("path").applyInPandas(read, "doc_id long, tokens array<long>")
 
