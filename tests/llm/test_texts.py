@@ -207,6 +207,12 @@ def test_toxicity_on_held_out_documents(spark):
     assert got["score"].between(0, 1).all()
 
 
+def test_toxicity_finds_most_unseen_toxic_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    got = toxicity.op3_toxicity(spark, sf).where("held_out").join(table(spark, sf, "labels").where("toxic = 1"), "doc_id")
+    assert got.agg(F.avg("predicted")).first()[0] > 0.6
+
+
 def toxic_fixture(spark, bad="horrid beastly"):
     rng = random.Random(2)
     plain = "stone river cloud garden window paper little music summer letter".split()
