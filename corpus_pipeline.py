@@ -19,8 +19,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document of the smallest id stays."""
-    return jaccard.keep_first(docs)
+    """Of each class of near copies one row stays, of the smallest id."""
+    return jaccard.keep_first(docs, repeats=False)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

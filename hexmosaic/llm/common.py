@@ -34,6 +34,17 @@ def fold(doc_id: str | Column, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % mod
 
 
+def row_key(*more: Column) -> Column:
+    """Binary key of a row: its doc_id (in order, null last), a digest of its text, and ``more`` longs.
+
+    Without ``more``, only rows equal in id and text share a key. A null text is an empty one.
+    """
+    digits = lambda x: F.lpad(F.hex(x), 16, "0")
+    number = F.concat(F.lit("00"), digits(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))))
+    text = F.md5(F.coalesce("text", F.lit("")))
+    return F.unhex(F.concat(F.coalesce(number, F.lit("01" + "0" * 16)), text, *map(digits, more)))
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """Path of a new folder below the shared one; the caller's writer creates it."""
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"

@@ -14,7 +14,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import stored, table
+from hexmosaic.llm.common import row_key, stored, table
 from hexmosaic.session import bind
 
 WINDOW, SUBSTITUTIONS = 13, 2
@@ -101,8 +101,12 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     columns are ignored; empty tables give an empty result. Only seeds of the benchmark are
     broadcast, a bounded number at once.
     """
+    return held(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items)
+
+
+def held(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``leaks`` of documents whose doc_id is of any type."""
     words, every, masks = benchmark_seeds(items)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     turns = max(1, ceil(every.count() / SEEDS_AT_ONCE))
     found = None
     for turn in range(turns):
@@ -113,9 +117,13 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item, in their own columns."""
-    bad = leaks(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    """``docs`` without the rows that hold a benchmark item, in their own columns.
+
+    Each row goes or stays for its own text, also where its id is null or repeated.
+    """
+    rows = docs.withColumn("_row", row_key())
+    bad = held(rows.select(F.col("_row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_bad")).distinct()
+    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)
 
 
 SQL = r"""

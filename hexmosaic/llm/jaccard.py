@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import documents, stored, table
+from hexmosaic.llm.common import documents, row_key, stored, table
 from hexmosaic.llm.components import components
 from hexmosaic.llm.repeats import gram_hashes, word_hashes
 
@@ -81,11 +81,13 @@ class Forest:
         return key.astype(np.int64)
 
 
-SETS = "doc_id long, node binary, n_grams int, keys array<long>"
+SETS = "node binary, n_grams int, keys array<long>"
 
 
 def signed(docs: DataFrame, n: int, forest: Forest) -> DataFrame:
     """Digest of the set (null without words), number of its n-grams and keys, for every row."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    types = {"doc_id": "Int64"} if kind == "bigint" else {}
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -93,9 +95,9 @@ def signed(docs: DataFrame, n: int, forest: Forest) -> DataFrame:
             for doc_id, text in zip(b["doc_id"].astype("object").where(b["doc_id"].notna(), None), b["text"]):
                 grams = gram_set(text, n)
                 rows.append((doc_id, digest(grams), len(grams), forest.prefixes(grams)) if len(grams) else (doc_id, None, 0, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "node", "n_grams", "keys"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "node", "n_grams", "keys"]).astype(types)
 
-    return docs.mapInPandas(sign, SETS)
+    return docs.mapInPandas(sign, f"doc_id {kind}, {SETS}")
 
 
 def intersections(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
@@ -212,7 +214,11 @@ def join_similar(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     class is null. Rows of one id are documents of their own. Other columns are ignored; an empty
     table gives an empty result. N-grams are compared by 64-bit hashes.
     """
-    docs = documents(docs)
+    return classes_of(documents(docs), n, threshold, recall)
+
+
+def classes_of(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """``join_similar`` of documents (doc_id, text without nulls) whose doc_id is of any ordered type."""
     forest = Forest(TRIES, prefix_length(TRIES, DEPTH, threshold, recall))
     rows = stored(signed(docs, n, forest), "signatures")
     known = rows.where("doc_id is not null and n_grams > 0")
@@ -243,14 +249,17 @@ def join_similar(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD,
     )
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, repeats: bool = True) -> DataFrame:
     """``docs`` with one document of each class, that of the smallest id, in their own columns.
 
-    Rows of one id stay or go together: if one of them is in the class of a smaller id, all go. Null
-    ids stay.
+    Every row is a document of its own, with the class of its own text; a null id comes after all
+    others. Of rows of one id, the one of the smallest text digest is first; those equal to it in id
+    and text stay with it if ``repeats``, else exactly one row of a class stays.
     """
-    gone = join_similar(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = docs.withColumn("_row", row_key()) if repeats else stored(docs.withColumn("_row", row_key(F.monotonically_increasing_id())), "rows")
+    texts = rows.select(F.col("_row").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    gone = classes_of(texts).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone"))
+    return rows.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 SQL = r"""

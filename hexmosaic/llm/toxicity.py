@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,23 +167,27 @@ def fit(docs: DataFrame, labels: DataFrame, held: int = 0) -> tuple[np.ndarray,
     return train(unpacked, y, weights)
 
 
+def scores(texts: Iterable[str], entries: np.ndarray, bias: float) -> np.ndarray:
+    """Score of each text, 0 to 1; one without words gets the bias alone."""
+    words = [words_of(t) for t in texts]
+    every = list(set().union(*words))
+    known = {}
+    if every:
+        ids, owner = subwords(every)
+        known = dict(zip(every, np.bincount(owner, entries[ids], len(every)) / np.bincount(owner, minlength=len(every))))
+    logit = np.array([bias + sum(map(known.__getitem__, w)) / max(1, len(w)) for w in words])
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
 def score(docs: DataFrame, entries: np.ndarray, bias: float) -> DataFrame:
-    """doc_id and score of every text; one without words gets the bias alone."""
+    """doc_id and score of every text."""
     shared = docs.sparkSession.sparkContext.broadcast((entries, bias))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        entries, bias = shared.value
         for b in batches:
             for k in range(0, len(b), CHUNK):
                 part = b.iloc[k : k + CHUNK]
-                words = [words_of(t) for t in part["text"]]
-                every = list(set().union(*words))
-                known = {}
-                if every:
-                    ids, owner = subwords(every)
-                    known = dict(zip(every, np.bincount(owner, entries[ids], len(every)) / np.bincount(owner, minlength=len(every))))
-                logit = np.array([bias + sum(map(known.__getitem__, w)) / max(1, len(w)) for w in words])
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "score": 1 / (1 + np.exp(-np.clip(logit, -30, 30)))})
+                yield pd.DataFrame({"doc_id": part["doc_id"].array, "score": scores(part["text"], *shared.value)})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double")
 
@@ -201,9 +206,22 @@ def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that score 0.5 or more, in their own columns."""
-    bad = detect(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the rows that score 0.5 or more, in their own columns.
+
+    The text of a row decides for that row alone, whatever its id and the other rows of that id.
+    """
+    entries, bias = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast((entries, bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, len(b), CHUNK):
+                part = b.slice(k, CHUNK)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(scores(texts, *shared.value) < 0.5))
+
+    at = docs.columns.index("text")
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_toxicity(spark, sf_dir):

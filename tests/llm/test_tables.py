@@ -6,6 +6,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 from fractions import Fraction
 
 import duckdb
@@ -17,7 +18,7 @@ from hexmosaic.llm import decontaminate, entries, mixing, warc
 from hexmosaic.llm.common import table
 from tests.llm.data import empty_documents, odd_documents
 from tests.llm.test_pairs import brute_join, brute_leaks
-from tests.llm.test_texts import brute_tokens, plain_tokenizer
+from tests.llm.test_texts import brute_tokens, plain_tokenizer, toxic_fixture
 
 # --- WARC ---------------------------------------------------------------------------------
 
@@ -194,6 +195,31 @@ def test_stages_take_odd_rows(spark, sf):
             out.collect()
 
 
+def test_filter_stages_judge_each_row(spark, sf, monkeypatch):
+    rng = random.Random(8)
+    text = lambda n=40: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    same, other, third, item = text(), text(), text(), text(20)
+    far = -(1 << 63)
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    ids = lambda out: sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    rows = [(None, same, 1), (None, same, 2), (7, other, 3), (7, other, 4), (7, third, 5), (None, third, 6), (None, text(), 7), (far, same, 8), (-5, same, 9), (3, None, 10), (3, None, 11)]
+    kept = corpus_pipeline.without_near_copies(spark, frame(rows), sf)
+    assert kept.columns == ["doc_id", "text", "n_chars"]
+    assert ids(kept) == sorted([(far, same), (7, other), (7, third), (None, rows[6][1]), (3, None), (3, None)], key=str)
+
+    rows = [(None, other, 1), (None, f"{text()} {item}", 2), (7, third, 3), (7, f"{item} end", 4), (None, None, 5)]
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert ids(corpus_pipeline.without_leaks(spark, frame(rows), sf)) == sorted([(None, other), (7, third), (None, None)], key=str)
+
+    plain, labels = toxic_fixture(spark)
+    bad, good = "horrid beastly horrid stone", "stone river cloud garden"
+    rows = [(i, t, 0) for i, t in plain] + [(None, bad, 1), (None, good, 2), (7, bad, 3), (7, good, 4), (None, good, 5)]
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    clean = [(r.doc_id, r.text) for r in corpus_pipeline.without_toxic(spark, frame(rows), sf).collect() if r.text in (bad, good)]
+    assert sorted(clean, key=str) == sorted([(None, good), (7, good), (None, good)], key=str)
+
+
 @pytest.mark.parametrize("name", sorted(entries.ORACLES))
 def test_query_equals_its_sql(spark, sf, name):
     con = duckdb.connect()
