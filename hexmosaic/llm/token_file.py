@@ -119,12 +119,18 @@ class Encoder:
 
     def parts(self, word: str, space: str) -> list[str]:
         """What ``space + word`` is made of: texts to encode on their own, and marks."""
-        head, line, tail = word.partition("\n")
-        if line and head and tail:
-            return [*self.parts(head, space), "\n", *self.parts(tail, "")]
-        if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
-            return [space + word[:-1], word[-1]]
-        return [space + word]
+        lines, out = word.split("\n"), []
+        if not all(lines):
+            return [space + word]
+        for k, line in enumerate(lines):
+            if k:
+                out.append("\n")
+                space = ""
+            if len(line) > 1 and line[-1] in ",." and line[-2].isalpha():
+                out += [space + line[:-1], line[-1]]
+            else:
+                out.append(space + line)
+        return out
 
     def learn(self, words: Iterable[str], known: dict[str, bytes], space: str) -> None:
         """Add the tokens of ``space + word`` for each word that is not known yet; one call for all."""

@@ -304,6 +304,16 @@ def test_tokens_equal_the_tokenizer(spark, sf):
     assert token_file.encode_documents(empty_documents(spark)).count() == 0
 
 
+def test_long_word_lists_equal_the_tokenizer():
+    import public_tokenizers
+
+    enc, tokenizer = token_file.Encoder(public_tokenizers.path("byte_bpe_50k.json")), plain_tokenizer()
+    lines = "\n".join(random.Random(6).choices(["word", "Word.", "it's,", "12,", "é,", "."], k=100_000))
+    texts = [lines, "two " + lines, "a\n\nb", "a\n", "\na b", "\n"]
+    for text, got in zip(texts, enc.tokens(texts)):
+        assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_files_are_cut_and_read_by_document(spark, sf, monkeypatch, tmp_path):
     import public_tokenizers
 
