@@ -1,10 +1,11 @@
-"""Similarity join on word n-grams: MinHash LSH forest, then exact verification.
+"""Similarity join on word n-grams: MinHash bands, then exact verification.
 
 1. Texts become sets of word five-grams; texts of equal sets are copies and go on as one.
-2. Each set has a signature for each of several tries. Sets that share a prefix in a trie are
-   candidates. The prefix is shortened from the full depth until a pair at the threshold meets in
-   some trie with the target probability (a more similar pair more surely). A run of the sorted trie
-   links its sets to its smallest one, never all pairs.
+2. Each set has a signature for each of several bands ("tries"). Sets of equal signature in a band
+   are candidates. All bands have one fixed length, the longest with which a pair at the threshold
+   meets in some band with the target probability (a more similar pair more surely): plain banding
+   in place of a forest, whose prefixes would adapt to the data. Sets of one signature are linked
+   to their smallest one, never all pairs.
 3. Within the components of these links all pairs are verified by their exact Jaccard index, as
    products of 0/1 matrices. Components of any size are cut into blocks of bounded size; tasks get
    a block, or two, and give out sums per document and links to a local root.
