@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from hexmosaic.llm import decontaminate, jaccard, language, mixing, pii, repeats, token_file, topk, toxicity, warc
+from hexmosaic.llm import (
+    decontaminate,
+    divergence,
+    filter_audit,
+    jaccard,
+    language,
+    mixing,
+    pii,
+    quality,
+    repeats,
+    token_file,
+    topk,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_mixing": mixing.op9_mixing,
     "op10_topk": topk.op10_topk,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_quality": quality.op12_quality,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLES = {
@@ -24,4 +41,6 @@ ORACLES = {
     "op8_decontaminate": decontaminate.SQL,
     "op9_mixing": mixing.SQL,
     "op10_topk": topk.SQL,
+    "op11_filter_audit": filter_audit.SQL,
+    "op13_divergence": divergence.SQL,
 }
