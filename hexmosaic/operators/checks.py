@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
@@ -22,38 +22,43 @@ POPULATION_TOLERANCE = 0.01
 Limits = dict[str, tuple[float | None, float | None]]
 
 
-def report(stats: DataFrame, limits: Limits) -> DataFrame:
-    """(check, value, low, high, ok): one row per limited column of a one-row table of statistics.
-
-    A bound of None is open. A NULL value is not ok.
-    """
+def _judged(limits: Limits) -> list[Column]:
     number = lambda x: F.lit(x).cast("double")
     rows = []
     for name, (low, high) in limits.items():
         v = F.col(name).cast("double")
         ok = F.coalesce((v >= number(low if low is not None else float("-inf"))) & (v <= number(high if high is not None else float("inf"))), F.lit(False))
         rows.append(F.struct(F.lit(name).alias("check"), v.alias("value"), number(low).alias("low"), number(high).alias("high"), ok.alias("ok")))
-    return stats.select(F.inline(F.array(*rows)))
+    return rows
+
+
+def report(stats: DataFrame, limits: Limits) -> DataFrame:
+    """(check, value, low, high, ok): one row per limited column of a one-row table of statistics.
+
+    A bound of None is open. A NULL value is not ok.
+    """
+    return stats.select(F.inline(F.array(*_judged(limits))))
 
 
 def require(subject: str, stats: DataFrame, limits: Limits) -> dict:
-    """The statistics as a dict, or AssertionError naming every check that failed."""
-    row = stats.first().asDict()
-    fixed = stats.sparkSession.createDataFrame([tuple(row.values())], stats.schema)
-    failed = report(fixed, limits).where("not ok").collect()
+    """The statistics as a dict, or AssertionError naming every check that failed; one job."""
+    row = stats.select("*", F.array(*_judged(limits)).alias("_report")).first().asDict(recursive=True)
+    failed = [r for r in row.pop("_report") if not r["ok"]]
     if failed:
         what = [f"{r['check']} = {r['value']} not in [{r['low']}, {r['high']}]" for r in failed]
         raise AssertionError(f"{subject}: " + "; ".join(what))
     return row
 
 
-def boundary_stats(parts: DataFrame) -> DataFrame:
-    return parts.agg(F.count("*").alias("parts"), F.coalesce(F.sum("area_km2"), F.lit(0.0)).alias("area_km2"))
+def boundary_stats(parts: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Parts and their area; with ``raw`` also the rows they were made from, as a scalar subquery."""
+    stats = parts.agg(F.count("*").alias("parts"), F.coalesce(F.sum("area_km2"), F.lit(0.0)).alias("area_km2"))
+    return stats if raw is None else stats.select("*", raw.agg(F.count("*")).scalar().alias("raw_rows"))
 
 
-def check_boundary(parts: DataFrame, area_range=AREA_RANGE_KM2) -> dict:
+def check_boundary(parts: DataFrame, area_range=AREA_RANGE_KM2, raw: DataFrame | None = None) -> dict:
     """At least one part, total area in range."""
-    return require("boundary", boundary_stats(parts), {"parts": (1, None), "area_km2": area_range})
+    return require("boundary", boundary_stats(parts, raw), {"parts": (1, None), "area_km2": area_range})
 
 
 def grid_stats(grid: DataFrame, res: int) -> DataFrame:

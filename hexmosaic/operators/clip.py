@@ -1,178 +1,164 @@
-"""Exact clip of point tables to polygons, planned as one semi-join on the cell id.
-
-The polygons are turned into a small table of cells. A point in an *interior* cell is inside
-without any geometry. A point in a *border* cell is inside exactly when the straight segment from
-the cell's centre to it crosses an odd number of the cell's own edges and the centre is outside,
-or an even number and the centre is inside. A hexagon is convex, so only edges that meet the cell
-can cross the segment. Points exactly on an edge are inside.
-
-All of it is the join condition of a left semi-join: the wide point table is shuffled once, never
-multiplied, and a point that touches two parts is kept once. Where a centre is too close to an
-edge to be a reference, another point of the cell takes its place. Cells with more edges than fit
-one row are decided by ray parity over latitude bands (``polygons.points_in_parts``) instead.
+"""Exact clip of point tables to polygons by the lattice cells of the polygons.
+
+A point in an *interior* cell is inside without any geometry. A point in a *border* cell is inside
+exactly when the straight segment from a reference point of the cell to it crosses an odd number of
+edges and the reference is outside, or an even number and it is inside. A hexagon is convex, so only
+edges that meet the cell can cross the segment. Points exactly on an edge are inside.
+
+The edges of a border cell lie in chunks: consecutive edges of one ring, CHUNK_EDGES at most. A
+position meets the chunks of its cell, and what their edges give is folded to one parity before
+anything is shuffled. So one plan serves cells of any number of edges, no row grows with them, and
+copies of a position, which one chunk of each cell counts, are decided together.
+
+Sides of reference points come from the fill itself. It says whether a cell's centre is inside;
+from there a path runs along the lattice row to one of a few fixed places and then across the row to
+the reference. Crossings on the first leg are those the fill was made of, crossings on the second
+are counted on the cell's edges, and of the few references the one farthest from all edges is used.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
-from hexmosaic.operators.polyfill import center_cells, edge_cells
-from hexmosaic.operators.polygons import points_in_parts, ring_edges
+from hexmosaic.operators.polyfill import along_row, center_cells, edge_cells, row_crossings
+from hexmosaic.operators.polygons import ring_edges
 from hexmosaic.session import bind, cut_lineage
 
-MAX_LOCAL_EDGES = 2048
-CLEARANCE_DEG = 1e-5
+CHUNK_EDGES = 64
 ATTACH_GROW = 0.01
-EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
+#: References: lattice columns along the row, then circumradii across it.
+SPOTS = [(-0.23, 0.31), (-0.16, -0.27), (-0.09, 0.19), (-0.03, -0.35), (0.04, 0.37), (0.11, -0.22), (0.17, 0.28), (0.22, -0.33)]
+ENDS = ["x1", "y1", "x2", "y2"]
+
 
+def _chunk() -> Column:
+    return F.expr(f"edge_ix div {CHUNK_EDGES}")
 
-def _edge_distance2(e: Column, x: Column, y: Column) -> Column:
-    """Squared distance in degrees from (x, y) to an edge struct."""
-    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    t = ((x - e["x1"]) * dx + (y - e["y1"]) * dy) / (dx * dx + dy * dy)
+
+def _edge_distance2(x: Column, y: Column) -> Column:
+    """Squared distance in degrees from (x, y) to the row's edge."""
+    x1, y1, x2, y2 = (F.col(c) for c in ENDS)
+    dx, dy = x2 - x1, y2 - y1
+    t = ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy)
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-    ex, ey = x - e["x1"] - t * dx, y - e["y1"] - t * dy
+    ex, ey = x - x1 - t * dx, y - y1 - t * dy
     return ex * ex + ey * ey
 
 
-def _clearance(x: Column, y: Column) -> Column:
-    """Smallest squared distance from (x, y) to the row's local edges."""
-    return F.array_min(F.transform("edges", lambda e: _edge_distance2(e, x, y)))
+def _segment_crosses(cx: Column, cy: Column, x: Column, y: Column) -> Column:
+    """True when segment (cx,cy)-(x,y) crosses the row's edge, end points counted half-open.
 
+    The edge is taken from west to east, so a start exactly on a horizontal edge counts as north of
+    it, as it does where the fill compares latitudes.
+    """
+    x1, y1, x2, y2 = (F.col(c) for c in ENDS)
+    sx, sy = x - cx, y - cy
+    side_a = sx * (y1 - cy) - sy * (x1 - cx)
+    side_b = sx * (y2 - cy) - sy * (x2 - cx)
+    turn = F.when(x2 < x1, -1.0).otherwise(1.0)
+    ex, ey = (x2 - x1) * turn, (y2 - y1) * turn
+    from_c = ex * (cy - y1) - ey * (cx - x1)
+    from_p = ex * (y - y1) - ey * (x - x1)
+    return ((side_a >= 0) != (side_b >= 0)) & ((from_c >= 0) != (from_p >= 0))
 
-def _best_spot(res: int) -> Column:
-    """(clear, x, y): of a few fixed points of the row's hexagon, the farthest from its edges."""
-    x, y = hx.cell_xy(F.col("h3"), res)
-    r = 0.5 * hx.circumradius(res)
-    shifts = F.array(
-        *[
-            F.struct(F.lit(r * math.cos(a)).alias("dx"), F.lit(r * math.sin(a)).alias("dy"))
-            for a in (0.2, 1.1, 2.4, 3.5, 4.6, 5.4)
-        ]
-    )
 
-    def spot(d: Column) -> Column:
-        lat, lng = hx.unproject(x + d["dx"], y + d["dy"])
-        return F.struct(lng.alias("x"), lat.alias("y"))
+def _touches(x: Column, y: Column) -> Column:
+    x1, y1, x2, y2 = (F.col(c) for c in ENDS)
+    side = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+    return (side == 0) & x.between(F.least(x1, x2), F.greatest(x1, x2)) & y.between(F.least(y1, y2), F.greatest(y1, y2))
 
-    def rated(p: Column) -> Column:
-        return F.struct(_clearance(p["x"], p["y"]).alias("clear"), p["x"].alias("x"), p["y"].alias("y"))
 
-    return F.array_max(F.transform(F.transform(shifts, spot), rated))
+def _place(res: int, t: Column, s: Column | None = None) -> tuple[Column, Column]:
+    """(lat, lng) of the place t columns along the row of the row's cell, and s radii across it."""
+    q, r = hx.cell_q(F.col("h3")).cast("double"), hx.cell_r(F.col("h3")).cast("double")
+    size = hx.circumradius(res)
+    u, v = F.lit(hx.SQRT3 * size) * (q + t + r / 2), r * F.lit(1.5 * size)
+    if s is not None:
+        v = v + s * F.lit(size)
+    c, n = hx.rotation(res)
+    return hx.unproject(u, v) if res % 2 == 0 else hx.unproject(u * F.lit(c) - v * F.lit(n), u * F.lit(n) + v * F.lit(c))
 
 
-def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> tuple[DataFrame, bool]:
-    """Cell table of a polygon set, (key, h3, kind, cx, cy, ref_in, edges), and whether it has
-    'band' cells.
+def _references(edges: DataFrame, local: DataFrame, res: int, key: str) -> DataFrame:
+    """(key, h3, ref) of border cells; ref has clear, spot, flip (1: the other side than the centre) and
+    lead, the first chunk of the cell.
 
-    ``kind`` is 'interior', 'border' or 'band' (decide by ray parity); (cx, cy) is the reference
-    point of a border cell, ``ref_in`` its side and ``edges`` the local edges.
+    Distances and crossings of all edges of a cell are combined per reference before the shuffle.
     """
-    edges = ring_edges(parts, key)
-    xy = ["x1", "y1", "x2", "y2"]
-    inside = center_cells(edges, res, key).select(key, "h3", F.lit(None).cast(EDGE).alias("e"))
-    # attach whole original edges, a little generously: extra edges do not change parity
-    local = edge_cells(edges.select(key, *xy), res, [key, *xy], grow=ATTACH_GROW)
-    # crowded cells are found by a count with map-side combine and never collected into a row
-    crowded = local.groupBy(key, "h3").agg(F.count("*").alias("n")).where(F.col("n") > MAX_LOCAL_EDGES)
-    few = local.join(crowded, [key, "h3"], "left_anti").select(key, "h3", F.struct(*xy).cast(EDGE).alias("e"))
-    none = F.lit(None).cast("boolean")
-    rows = (
-        inside.select("*", F.lit(True).alias("in"), none.alias("many"))
-        .unionByName(few.select("*", none.alias("in"), none.alias("many")))
-        .unionByName(crowded.select(key, "h3", F.lit(None).cast(EDGE).alias("e"), none.alias("in"), F.lit(True).alias("many")))
-    )
-    cells = rows.groupBy(key, "h3").agg(
-        F.array_distinct(F.collect_list("e")).alias("edges"),
-        F.coalesce(F.max("in"), F.lit(False)).alias("centre_in"),
-        F.coalesce(F.max("many"), F.lit(False)).alias("many"),
-    )
-    lat, lng = hx.cell_latlng(F.col("h3"), res)
-    cells = bind(cells, cells.columns, cx=lng, cy=lat)
-    border = ~F.col("many") & (F.size("edges") > 0)
-    near = border & (_clearance(F.col("cx"), F.col("cy")) < CLEARANCE_DEG**2)
-    cells = cells.withColumn("spot", F.when(near, _best_spot(res)))
-    blocked = F.col("many") | F.coalesce(F.col("spot.clear") < 1e-18, F.lit(False))
-    kind = F.when(blocked, "band").when(F.size("edges") == 0, "interior").otherwise("border")
-    cells = cut_lineage(
-        cells.select(
-            key,
-            "h3",
-            kind.alias("kind"),
-            F.coalesce("spot.x", "cx").alias("cx"),
-            F.coalesce("spot.y", "cy").alias("cy"),
-            "centre_in",
-            F.col("spot").isNotNull().alias("moved"),
-            "edges",
-        )
-    )
-    has = cells.agg(F.max("moved").alias("moved"), F.max(F.col("kind") == "band").alias("band")).first()
-    ref_in = F.col("centre_in")
-    if has["moved"]:
-        pts = cells.where("moved").select("h3", key, F.col("cy").alias("lat"), F.col("cx").alias("lng"))
-        hits = points_in_parts(pts, edges, "h3", key, own_part=True).withColumn("_hit", F.lit(True))
-        cells = cells.join(hits, [key, "h3"], "left")
-        ref_in = F.when(F.col("moved"), F.coalesce("_hit", F.lit(False))).otherwise(ref_in)
-    return cells.select(key, "h3", "kind", "cx", "cy", ref_in.alias("ref_in"), "edges"), bool(has["band"])
-
-
-def _segment_crosses(e: Column, cx: Column, cy: Column, x: Column, y: Column) -> Column:
-    """True when segment (cx,cy)-(x,y) crosses the edge, end points counted half-open."""
-    sx, sy = x - cx, y - cy
-    side_a = sx * (e["y1"] - cy) - sy * (e["x1"] - cx)
-    side_b = sx * (e["y2"] - cy) - sy * (e["x2"] - cx)
-    ex, ey = e["x2"] - e["x1"], e["y2"] - e["y1"]
-    from_c = ex * (cy - e["y1"]) - ey * (cx - e["x1"])
-    from_p = ex * (y - e["y1"]) - ey * (x - e["x1"])
-    return ((side_a >= 0) != (side_b >= 0)) & ((from_c >= 0) != (from_p >= 0))
+    spots = F.inline(F.array(*[F.struct(F.lit(i).alias("spot"), F.lit(t).alias("t"), F.lit(s).alias("s")) for i, (t, s) in enumerate(SPOTS)]))
+    q = F.floor(along_row(F.col("u"), F.col("row")) + 0.5)
+    first = row_crossings(edges, res, key).select(key, "row", q.alias("q"), along_row(F.col("u"), F.col("row")).alias("at"), spots)
+    leg = (F.col("at") < F.col("q") + F.col("t")) != (F.col("at") < F.col("q"))
+    no = F.lit(None).cast("struct<ring_id:int,chunk:bigint>").alias("lead")
+    first = first.where(leg).select(key, hx.make_id(F.col("q"), F.col("row"), res).alias("h3"), "spot", F.lit(None).cast("double").alias("clear"), F.lit(1).alias("flip"), no)
+
+    (ly, lx), (py, px) = _place(res, F.col("t")), _place(res, F.col("t"), F.col("s"))
+    second = local.select(key, "h3", *ENDS, F.struct("ring_id", _chunk().alias("chunk")).alias("lead"), spots)
+    second = bind(second, [key, "h3", *ENDS, "lead", "spot"], lx=lx, ly=ly, px=px, py=py)
+    corner = F.when(F.col("y1") != F.col("y2"), _edge_distance2(F.col("lx"), F.col("ly")))
+    crosses = _segment_crosses(F.col("lx"), F.col("ly"), F.col("px"), F.col("py")).cast("int")
+    second = second.select(key, "h3", "spot", F.least(corner, _edge_distance2(F.col("px"), F.col("py"))).alias("clear"), crosses.alias("flip"), "lead")
+
+    each = first.union(second).groupBy(key, "h3", "spot").agg(F.min("clear").alias("clear"), F.bit_xor("flip").alias("flip"), F.min("lead").alias("lead"))
+    return each.groupBy(key, "h3").agg(F.max(F.struct("clear", "spot", "flip", "lead")).alias("ref"))
+
 
+def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> DataFrame:
+    """(key, h3, ref_in, cx, cy, lead, edges): a row per chunk of a border cell, and one per interior cell.
 
-def _touches(e: Column, x: Column, y: Column) -> Column:
-    side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
-    return (
-        (side == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-    )
-
-
-def inside_by_cell(lat: Column, lng: Column) -> Column:
-    """Inside test of a point against the cell row it is joined with."""
-    cx, cy = F.col("cx"), F.col("cy")
-    odd = F.aggregate(
-        "edges", F.lit(False), lambda s, e: s != _segment_crosses(e, cx, cy, lng, lat)
-    )
-    edge = F.exists("edges", lambda e: _touches(e, lng, lat))
-    local = (F.col("ref_in") != odd) | edge
-    return (F.col("kind") == "interior") | ((F.col("kind") == "border") & local)
-
-
-def clip_points(points: DataFrame, parts: DataFrame, res: int, id_col: str = "source_id") -> DataFrame:
-    """Rows of ``points`` (with lat, lng) inside any part, boundary included."""
-    cells, has_band = clip_cells(parts, res)
-    p = bind(points, points.columns, _cell=hx.cell(F.col("lat"), F.col("lng"), res))
-    test = (F.col("_cell") == F.col("h3")) & inside_by_cell(F.col("lat"), F.col("lng"))
-    kept = p.join(cells, test, "left_semi")
-    if has_band:
-        undecided = cells.where(F.col("kind") == "band").select("h3").distinct()
-        rest = p.join(cells, test, "left_anti")
-        ask = rest.join(undecided, F.col("_cell") == F.col("h3"), "left_semi").select(id_col, "lat", "lng")
-        hits = points_in_parts(ask, ring_edges(parts), id_col).select(id_col)
-        kept = kept.unionByName(rest.join(hits, id_col, "left_semi"))
-    return kept.drop("_cell")
+    ``edges`` is null in interior cells; (cx, cy) is the reference point, ``ref_in`` its side. One row
+    of each (key, h3) is the ``lead``.
+    """
+    edges = ring_edges(parts, key)
+    named = [key, "ring_id", "edge_ix", *ENDS]
+    # whole original edges, a little generously: extra edges do not change parity
+    local = cut_lineage(edge_cells(edges.select(*named), res, named, grow=ATTACH_GROW).distinct())
+    refs = _references(edges, local, res, key)
+    inside = center_cells(edges, res, key).select(key, "h3", F.lit(True).alias("centre_in"), F.lit(None).cast(refs.schema["ref"].dataType).alias("ref"))
+    cells = inside.unionByName(refs.select("*", F.lit(False).alias("centre_in")))
+    cells = cells.groupBy(key, "h3").agg(F.max("centre_in").alias("centre_in"), F.max("ref").alias("ref"))
+    chunks = local.groupBy(key, "h3", "ring_id", _chunk().alias("chunk")).agg(F.collect_list(F.struct(*ENDS)).alias("edges"))
+    t, s = (F.get(F.array(*[F.lit(p[i]) for p in SPOTS]), F.col("ref.spot")) for i in (0, 1))
+    cy, cx = _place(res, t, s)
+    found = bind(cells, [key, "h3", "centre_in", "ref"], cx=cx, cy=cy).join(chunks, [key, "h3"], "left")
+    ref_in = F.col("centre_in") != (F.coalesce("ref.flip", F.lit(0)) == 1)
+    lead = F.coalesce(F.col("ref.lead") == F.struct("ring_id", "chunk"), F.lit(True))
+    return found.select(key, "h3", ref_in.alias("ref_in"), "cx", "cy", lead.alias("lead"), "edges")
+
+
+def meeting(points: DataFrame, cells: DataFrame, res: int, by: list[str], key: str) -> DataFrame:
+    """(by, key, ref_in, cx, cy, lead, edges): points with the rows of their cell in ``cells``."""
+    p = points.select(*by)
+    p = bind(p, p.columns, _cell=hx.cell(F.col("lat"), F.col("lng"), res))
+    return p.join(cells, F.col("_cell") == F.col("h3")).select(*by, key, "ref_in", "cx", "cy", "lead", "edges")
+
+
+def _inside(points: DataFrame, parts: DataFrame, res: int, by: list[str], key: str) -> DataFrame:
+    """Distinct (by, key) of points inside parts; ``by`` holds lat and lng."""
+    rows = meeting(points, clip_cells(parts, res, key), res, by, key)
+    rows = rows.select(*by, key, "ref_in", "cx", "cy", "lead", F.posexplode_outer("edges").alias("pos", "e"))
+    rows = rows.select(*by, key, "ref_in", "cx", "cy", (F.col("lead") & (F.coalesce("pos", F.lit(0)) == 0)).cast("int").alias("copy"), "e.*")
+    lat, lng = F.col("lat"), F.col("lng")
+    crossings = F.sum(F.coalesce(_segment_crosses(F.col("cx"), F.col("cy"), lng, lat), F.lit(False)).cast("int"))
+    touch = F.max(F.coalesce(_touches(lng, lat), F.lit(False)))
+    sides = rows.groupBy(*by, key).agg(crossings.alias("crossings"), F.sum("copy").alias("copies"), touch.alias("touch"), F.max("ref_in").alias("ref_in"))
+    odd = F.expr("crossings div copies") % 2 == 1
+    return sides.where((F.col("ref_in") != odd) | F.col("touch")).select(*by, key)
+
+
+def clip_points(points: DataFrame, parts: DataFrame, res: int, seen: Observation | None = None) -> DataFrame:
+    """Rows of ``points`` (with lat, lng) inside any part, boundary included.
+
+    The rows are written once to the shared folder, as positions are decided apart from them and have
+    to be the same doubles when they meet again; ``seen`` counts that write's ``rows``. The wide rows
+    are then shuffled once, to meet the positions inside.
+    """
+    rows = cut_lineage(points.observe(seen, F.count("*").alias("rows")) if seen else points)
+    return rows.join(_inside(rows, parts, res, ["lat", "lng"], "part_id"), ["lat", "lng"], "left_semi").select(*rows.columns)
 
 
 def locate_points(points: DataFrame, parts: DataFrame, res: int, id_col: str, key: str = "part_id") -> DataFrame:
     """All (id, part) pairs of points inside parts, boundary included: the join form of the clip."""
-    cells, has_band = clip_cells(parts, res, key)
-    p = bind(points.select(id_col, "lat", "lng"), [id_col, "lat", "lng"], _cell=hx.cell(F.col("lat"), F.col("lng"), res))
-    at = F.col("_cell") == F.col("h3")
-    hits = p.join(cells, at & inside_by_cell(F.col("lat"), F.col("lng"))).select(id_col, key)
-    if has_band:
-        ask = p.join(cells.where(F.col("kind") == "band").select("h3", key), at).select(id_col, key, "lat", "lng")
-        hits = hits.unionByName(points_in_parts(ask, ring_edges(parts, key), id_col, key, own_part=True))
-    return hits
+    return _inside(points, parts, res, [id_col, "lat", "lng"], key).select(id_col, key)

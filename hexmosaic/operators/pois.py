@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hexmosaic.config import Params
@@ -128,14 +128,14 @@ def index_points(pois: DataFrame, resolutions: list[int]) -> DataFrame:
     return pois.select("*", *cells)
 
 
-def clip_and_index(staged: DataFrame, grid: DataFrame, parts: DataFrame, params: Params) -> DataFrame:
+def clip_and_index(staged: DataFrame, grid: DataFrame, parts: DataFrame, params: Params, seen: Observation | None = None) -> DataFrame:
     """Staged POIs inside the polygons and the finest grid, with their cells.
 
-    ``grid`` is the grid of the finest resolution. The exact clip runs first because it drops the
-    most rows without a shuffle of its own beyond the one on the cell id.
+    ``grid`` is the grid of the finest resolution; ``seen`` counts the staged rows. The exact clip runs
+    first because it drops the most rows.
     """
     res = max(params.resolutions)
-    inside = clip_points(staged, parts, res)
+    inside = clip_points(staged, parts, res, seen)
     indexed = index_points(inside, params.index_resolutions)
     kept = indexed.join(grid.select(F.col("h3").alias(f"h3_res{res}")), f"h3_res{res}", "left_semi")
     cells = [f"h3_res{r}" for r in params.index_resolutions]

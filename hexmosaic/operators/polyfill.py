@@ -55,7 +55,7 @@ def frame_pieces(edges: DataFrame, res: int, max_len: float | None = None) -> Da
     return bind(e, edges.columns, u1=u1, v1=v1, u2=u2, v2=v2)
 
 
-def _row_crossings(edges: DataFrame, res: int, key: str) -> DataFrame:
+def row_crossings(edges: DataFrame, res: int, key: str) -> DataFrame:
     """(key, row, u): where edges cross the lattice rows, in the lattice frame.
 
     Rows of even resolutions are parallels of latitude, so whole edges are crossed exactly in
@@ -84,10 +84,15 @@ def _row_crossings(edges: DataFrame, res: int, key: str) -> DataFrame:
     return p.select(key, "row", u.alias("u"))
 
 
+def along_row(u: Column, row: Column) -> Column:
+    """Place on a lattice row in columns: whole numbers are cell centres."""
+    return u / F.lit(hx.SQRT3) - row / 2
+
+
 def _runs(edges: DataFrame, res: int, key: str) -> DataFrame:
     """Runs of cells with their centre inside: (key, row, q_from, q_to)."""
-    p = _row_crossings(edges, res, key)
-    first_east = F.floor(F.col("u") / F.lit(hx.SQRT3) - F.col("row") / 2) + 1
+    p = row_crossings(edges, res, key)
+    first_east = F.floor(along_row(F.col("u"), F.col("row"))) + 1
     toggles = (
         p.select(key, "row", first_east.alias("q"))
         .groupBy(key, "row", "q")

@@ -1,7 +1,7 @@
 """Polygons without a geometry type: parts, edge tables, areas and exact point-in-polygon.
 
-Working form of a polygon set is the edge table ``(part_id, ring_id, is_hole, x1, y1, x2, y2)``
-in degrees, one row per non-degenerate edge, rings closed.
+Working form of a polygon set is the edge table ``(part_id, ring_id, edge_ix, is_hole, x1, y1, x2,
+y2)`` in degrees, one row per non-degenerate edge, rings closed.
 """
 
 from __future__ import annotations
@@ -29,10 +29,11 @@ def ring_edges(parts: DataFrame, key: str = "part_id", polygon: str = "polygon")
         F.col("ring"),
         lambda p, i: F.struct(p.alias("a"), F.get(F.col("ring"), F.when(i == last, 0).otherwise(i + 1)).alias("b")),
     )
-    e = rings.where(F.size("ring") > 0).select(key, "ring_id", F.explode(pairs).alias("e"))
+    e = rings.where(F.size("ring") > 0).select(key, "ring_id", F.posexplode(pairs).alias("edge_ix", "e"))
     return e.select(
         key,
         "ring_id",
+        "edge_ix",
         (F.col("ring_id") > 0).alias("is_hole"),
         F.col("e.a.x").alias("x1"),
         F.col("e.a.y").alias("y1"),

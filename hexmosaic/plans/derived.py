@@ -86,7 +86,8 @@ PLACE_LNG = degrees(f"{_plng0} + (c_custkey * 99991) % 29989")
 CONFIDENCE = "CASE WHEN c_nationkey = 7 THEN NULL ELSE CAST(c_custkey % 101 AS DOUBLE) / 1e2 END"
 STATUS = "CASE c_mktsegment WHEN 'MACHINERY' THEN 'closed' WHEN 'BUILDING' THEN NULL ELSE 'open' END"
 
-_slat0, _slng0 = tile("s_suppkey", 33)
+AREAS_PER_TILE = 33
+_slat0, _slng0 = tile("s_suppkey", AREAS_PER_TILE)
 AREA_CY = f"({_slat0} + (s_suppkey * 7919) % 30011)"
 AREA_CX = f"({_slng0} + (s_suppkey * 104729) % 29989)"
 OUTER_R = "(150 + (s_suppkey * 37 + {j} * 53) % 150)"

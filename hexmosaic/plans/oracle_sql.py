@@ -496,6 +496,9 @@ ORACLES: dict[str, str] = {
         SELECT part_id, round(arg_max(lat, xb - x), 6) AS lat, round(arg_max((x + xb) / 2, xb - x), 6) AS lng FROM spans WHERE k % 2 = 1 GROUP BY part_id""",
     "point_in_polygon": f"WITH {NODES}, {EDGES} SELECT id, part_id FROM {inside('nodes', 'id')}",
     "point_in_polygon_bands": f"WITH {CUSTOMER_XY}, {EDGES} SELECT id, part_id FROM {inside('ours', 'id')}",
+    "crowded_cells": f"""WITH {NODES}, {EDGES}, tile_edges AS (SELECT part_id // {2 * d.AREAS_PER_TILE} AS part_id, x1, y1, x2, y2 FROM edges),
+        tile_boxes AS (SELECT part_id, min(x1) AS bx0, max(x1) AS bx1, min(y1) AS by0, max(y1) AS by1 FROM tile_edges GROUP BY part_id)
+        SELECT id, part_id AS tile FROM {inside('nodes', 'id').replace('JOIN boxes', 'JOIN tile_boxes').replace('JOIN edges', 'JOIN tile_edges')}""",
     "polyfill_center": f"WITH {BASE_CTES} SELECT part_id, h3 FROM center",
     "polyfill_center_odd": f"WITH {EDGES}, {lattice(9)}, {CENTER} SELECT part_id, h3 FROM center",
     "polyfill_overlap": f"WITH {GRID_CTES} SELECT part_id, h3 FROM center UNION SELECT part_id, h3 FROM touched",

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from hexmosaic.config import Params
 from hexmosaic.functions import rules
@@ -65,7 +65,7 @@ class Pipeline:
         def run() -> dict:
             parts = boundary_parts(areas, self.params.utm_zone, tie_break)
             sinks.write_table(parts, self.path("boundary"), "part_id")
-            return {**checks.check_boundary(self.table("boundary"), self.area_range), "raw_rows": areas.count()}
+            return checks.check_boundary(self.table("boundary"), self.area_range, areas)
 
         self._stage("boundary", {"areas": version}, ["boundary"], run)
 
@@ -119,10 +119,11 @@ class Pipeline:
         p, res = self.params, max(self.params.resolutions)
 
         def run() -> dict:
-            out = pois.clip_and_index(staged, self.table(f"grid_res{res}"), self.table("boundary"), p)
+            seen = Observation()
+            out = pois.clip_and_index(staged, self.table(f"grid_res{res}"), self.table("boundary"), p, seen)
             sinks.write_table(out, self.path(f"poi_{name}"), "source_id")
             kept = checks.check_pois(self.table(f"poi_{name}"), self.table(f"grid_res{res}"), res, name)
-            return {**kept, "staged": staged.count()}
+            return {**kept, "staged": seen.get["rows"]}
 
         inputs = {
             "source": version,
@@ -141,7 +142,8 @@ class Pipeline:
             union = pois.union_sources([self.table(f"poi_{s}") for s in self.params.use])
             out = dedupe.dedupe_pois(union, list(self.params.use), self.params.poi_index_res)
             sinks.write_table(out, self.path("poi"), "source_id")
-            return {"pois": self.table("poi").count()}
+            res = max(self.params.resolutions)
+            return checks.check_pois(self.table("poi"), self.table(f"grid_res{res}"), res, "all sources")
 
         self._stage("dedupe", {s: self.inputs[f"poi_{s}"] for s in self.params.use}, ["poi"], run)
 

@@ -169,6 +169,13 @@ def point_in_polygon_bands(spark, sf):
     return polygons.points_in_parts(d.ours(spark, sf), polygons.ring_edges(d.parts(spark, sf)), "id")
 
 
+def crowded_cells(spark, sf):
+    """Points against tiles of many rings (inside an odd number of them) by cells that hold hundreds of edges."""
+    tile = F.expr(f"part_id div {2 * d.AREAS_PER_TILE}").alias("tile")
+    rings = d.parts(spark, sf).groupBy(tile).agg(F.flatten(F.collect_list("polygon")).alias("polygon"))
+    return clip.locate_points(node_points(spark, sf), rings, 4, "id", "tile")
+
+
 def polyfill_center(spark, sf):
     return polyfill.part_cells(polygons.ring_edges(d.parts(spark, sf)), RES, "center")
 
@@ -583,6 +590,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         surface_points,
         point_in_polygon,
         point_in_polygon_bands,
+        crowded_cells,
         polyfill_center,
         polyfill_center_odd,
         polyfill_overlap,

@@ -125,13 +125,60 @@ def test_clip_equals_ray_casting(spark, parts, shapes):
     assert ray == want
 
 
-def test_clip_with_too_many_local_edges(spark, parts, shapes, monkeypatch):
-    monkeypatch.setattr(clip, "MAX_LOCAL_EDGES", 3)
+def comb(x0, y0, width, height, teeth):
+    """A ring with many thin teeth: its edges all meet a few cells."""
+    step = width / teeth
+    top = [(x0 + i * step / 2, y0 + (height if i % 2 else height / 10)) for i in range(2 * teeth + 1)]
+    return [(x0, y0), *top, (x0 + width, y0)]
+
+
+@pytest.mark.parametrize("res", [7, 8])
+def test_crowded_cells_take_the_same_path(spark, res, monkeypatch):
+    monkeypatch.setattr(clip, "CHUNK_EDGES", 16)
+    ring = comb(104.9, 11.5, 0.006, 0.005, 700)
+    p = spark.createDataFrame([(1, [ring])], f"part_id int, polygon {geo.POLYGON}")
     rng = np.random.default_rng(2)
-    pts = [(f"n/{i}", float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(11.35, 11.65, 2000), rng.uniform(104.75, 105.05, 2000)))]
-    df = spark.createDataFrame(pts, "source_id string, lat double, lng double")
-    got = [r.source_id for r in clip.clip_points(df, parts, 7).collect()]
-    assert sorted(got) == sorted(i for i, a, b in pts if any(brute_inside(b, a, r) for _, r in shapes))
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(11.498, 11.507, 3000), rng.uniform(104.898, 104.908, 3000)))]
+    s = spark.createDataFrame(pts, "id int, lat double, lng double")
+    assert {r.id for r in clip.clip_points(s, p, res).collect()} == {i for i, a, b in pts if brute_inside(b, a, [ring])}
+
+    cells = clip.clip_cells(p, res).cache()
+    assert cells.agg(F.max(F.size("edges"))).first()[0] <= 16
+    held = cells.where("edges is not null").groupBy("h3").agg(F.sum(F.size("edges")).alias("edges"), F.count("*").alias("rows"))
+    most = held.agg(F.max("edges"), F.max(F.col("rows") - F.col("edges") / 16)).first()
+    assert most[0] > 800 and most[1] < 40
+    pairs = clip.meeting(s, cells, res, ["id", "lat", "lng"], "part_id").groupBy("id").count()
+    # of 1,400 edges a point meets chunks of its own cell, of 16 edges each but where the ring leaves the cell
+    assert pairs.agg(F.max("count")).first()[0] <= held.agg(F.max("rows")).first()[0] < most[0] / 16 + 40
+
+
+@pytest.mark.parametrize("res", [7, 8])
+def test_edges_on_lattice_rows_and_through_centres(spark, res):
+    """Rows, centres and references on edges: a rectangle and a kite of cell centres."""
+    h = spark.range(1).select(hx.cell(F.lit(11.55), F.lit(104.92), res).alias("h"))
+    around = h.select(F.explode(hx.grid_disk(F.col("h"), 3)).alias("h")).select(hx.cell_lat(F.col("h"), res).alias("a"), hx.cell_lng(F.col("h"), res).alias("b"))
+    centres = sorted((r.a, r.b) for r in around.collect())
+    (a0, b0), (a1, b1) = centres[0], centres[-1]
+    west, east = min(b for _, b in centres), max(b for _, b in centres)
+    rings = {1: [(west, a0), (east, a0), (east, a1), (west, a1)], 2: [(b0, a0), (east, a1), (b1, a1), (west, (a0 + a1) / 2)]}
+    p = spark.createDataFrame([(k, [r]) for k, r in rings.items()], f"part_id int, polygon {geo.POLYGON}")
+    rng = np.random.default_rng(4)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(a0 - 0.01, a1 + 0.01, 4000), rng.uniform(west - 0.01, east + 0.01, 4000)))]
+    s = spark.createDataFrame(pts, "id int, lat double, lng double")
+    got = {(r.id, r.part_id) for r in clip.locate_points(s, p, res, "id").collect()}
+    assert got == {(i, k) for i, a, b in pts for k, r in rings.items() if brute_inside(b, a, [r])}
+
+
+def test_clip_keeps_rows_as_they_are(spark, parts, shapes):
+    """Copies of a position, equal ids and clashing names."""
+    inside = next((y, x) for x in np.arange(104.7, 105.1, 0.003) for y in np.arange(11.3, 11.7, 0.003) if any(brute_inside(x, y, r) for _, r in shapes))
+    rows = [("a", *map(float, inside), 1)] * 4 + [("a", 50.0, 50.0, 1), ("b", None, 104.9, 2), ("c", *map(float, inside), None)]
+    s = spark.createDataFrame(rows, "source_id string, lat double, lng double, h3 int").withColumns({"edges": F.lit(1), "_cell": F.lit(2), "part_id": F.lit(3)})
+    got = clip.clip_points(s, parts, 8)
+    assert got.columns == s.columns and sorted(r.source_id for r in got.collect()) == ["a"] * 4 + ["c"]
+    edge = spark.createDataFrame([(k, 11.31 + k / 1e3, 104.7) for k in (1, 1, 2, 2, 2)], "id int, lat double, lng double")
+    where = polygons.points_in_parts(edge.distinct(), polygons.ring_edges(parts), "id").collect()
+    assert sorted(map(tuple, clip.locate_points(edge, parts, 7, "id").collect())) == sorted(map(tuple, where))
 
 
 def test_boundary_points_count_once(spark):
