@@ -47,6 +47,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
         def out() -> Iterator[pd.DataFrame]:
             for (lang, source), (count, docs_of) in held.items():
+                if not count:
+                    continue
                 names = [t.decode("utf-8", "surrogatepass") for t in count]
                 yield pd.DataFrame({"lang": lang, "source": source, "term": names, "count": list(count.values()), "docs": list(docs_of.values())})
             held.clear()
@@ -118,7 +120,7 @@ def index(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Postings (lang, source, term, count, p, q, number, bucket) of kept terms, and the groups' table.
 
     Groups have lang, source, number (from 0 in a lang), terms (V of the lang), base (probability of
-    a term without occurrence, 0 without terms) and buckets. Sums are combined before each shuffle;
+    a term without occurrence, 1 without terms) and buckets. Sums are combined before each shuffle;
     the windows run over the sources of one term or of one lang.
     """
     docs = group_rows(docs)
@@ -137,7 +139,7 @@ def index(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.sum("total").over(one_lang).alias("lang_total"),
         F.ceil(F.sum("postings").over(one_lang) / POSTINGS_PER_BUCKET).cast("long").alias("buckets"),
     )
-    base = F.coalesce(probability(F.lit(0), F.col("total"), F.col("terms")), F.lit(0))
+    base = F.coalesce(probability(F.lit(0), F.col("total"), F.col("terms")), F.lit(1))
     groups = stored(groups.withColumn("base", base.cast("long")), "divergence-groups")
     own = kept.join(groups, ["lang", "source"])
     p = probability(F.col("count"), F.col("total"), F.col("terms")).alias("p")
@@ -152,7 +154,7 @@ def pair_values(postings: DataFrame, groups: DataFrame) -> DataFrame:
     def run(key: tuple, rows: pd.DataFrame, peers: pd.DataFrame) -> pd.DataFrame:
         sums = accumulate(rows, peers.sort_values("peer")["base"].to_numpy())
         a, b = np.nonzero(sums)
-        return pd.DataFrame({"lang": key[0], "a": a, "b": b, "part": sums[a, b]})
+        return pd.DataFrame({"lang": np.full(len(a), key[0], object), "a": a, "b": b, "part": sums[a, b]})
 
     every = F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket")
     peers = groups.where("buckets > 0").select("lang", F.col("number").alias("peer"), "base", every)
@@ -160,7 +162,7 @@ def pair_values(postings: DataFrame, groups: DataFrame) -> DataFrame:
     sums = got.applyInPandas(run, "lang string, a int, b int, part long").groupBy("lang", "a", "b").agg(F.sum("part").alias("part"))
     mine = groups.select("lang", "source", "terms", F.col("number").alias("a"), F.col("base").alias("p"))
     theirs = groups.select("lang", F.col("source").alias("item"), F.col("number").alias("b"), F.col("base").alias("q"))
-    zero = F.coalesce(F.expr("terms * ((p - q) * (p - q) div (p + q))"), F.lit(0))
+    zero = F.expr("terms * ((p - q) * (p - q) div (p + q))")
     both = mine.join(theirs, "lang").where("a <> b").join(sums, ["lang", "a", "b"], "left")
     return both.select("lang", "source", "item", (zero + F.coalesce("part", F.lit(0))).alias("value"))
 
