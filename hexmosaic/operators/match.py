@@ -3,31 +3,42 @@
 A pair is a candidate when its points are within a radius and, optionally, their names are similar
 enough. Candidates are taken closest first and every point at most once.
 
-Equal places are merged before pairs are built: points of one side with the same position (and the
-same name, when names count) are one *site* with a capacity, so a place with millions of copies
-costs one row. A round takes every pair whose outcome is sure: all partners up to its capacity that
-a site is the best choice of, not only its own best one. Pairs are blocked by latitude bands and
-columns that widen with the latitude, so no place on the globe is out of reach.
-
-Where distinct sites are so dense that a radius would list many pairs for each, the radius is
-approached in halves: all pairs within a smaller radius precede the others in the order, so matching
-them first and removing what is used up gives the same result from fewer pairs.
+Equal places are merged first: points of one side with the same position (and the same name, when
+names count) are one *site* with a capacity, so a place with millions of copies costs one row.
+
+A round deals the sites to blocks, each a tile of the globe with the tiles around it, and every block
+decides what its own sites decide (``closest``). Chains of sites that wait for each other are
+followed inside a block, so rounds do not grow with their length but with the tiles they cross; only
+sites a block left undecided enter the next round, whose tiles lie elsewhere. Every round decides at
+least all pairs that are each other's best, so the rounds end.
+
+Blocks have a largest size. Where more sites lie within reach of each other, the radius is approached
+by halves: all pairs within a smaller radius precede the others in the order, so matching those first
+gives the same result from smaller blocks. What is too crowded even then (distinct places that all
+lie far from their partners, but near each other) is decided by joins over all candidate pairs.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import geo, text
 from hexmosaic.functions import hexgrid as hx
+from hexmosaic.operators import closest
 from hexmosaic.operators.polygons import number_rows
 from hexmosaic.session import Rounds, cut_lineage
 
-#: Pairs per site above which the radius is halved first; decides the cost, never the result.
-DENSE = 64
+#: Width of a block's tiles in radii: what a tile's sites may reach within the block.
+REACH = 8
+#: Sites of a block above which the radius is halved first, and smallest radius of that kind in metres.
+BLOCK_SITES = 8192
+LEAST_RADIUS = 0.5
 #: Allowance for rounding in the blocking.
 SLACK = 1 + 1e-6
 
@@ -40,24 +51,26 @@ class Tiles:
     the poles a band is one column. Columns close round the antimeridian.
     """
 
-    def __init__(self, radius_m: float):
+    def __init__(self, radius_m: float, turn: int = 0):
         if not 0 < radius_m < math.pi * geo.EARTH_R / 4:
             raise ValueError("the radius must be above 0 and below an eighth of the globe")
+        # tiles of different turns have different borders
+        self.shift = turn * 0.381966 % 1.0
         self.half = math.sin(radius_m / (2 * geo.EARTH_R)) * SLACK
         self.height = math.degrees(radius_m / geo.EARTH_R) * SLACK
 
     def band(self, lat: Column) -> Column:
-        return F.floor((lat + 90.0) / F.lit(self.height))
+        return F.floor((lat + 90.0) / F.lit(self.height) + F.lit(self.shift))
 
     def columns(self, band: Column) -> Column:
         """Number of columns of a band."""
-        low, high = (band - 1) * self.height - 90.0, (band + 2) * self.height - 90.0
+        low, high = ((band + k - self.shift) * self.height - 90.0 for k in (-1, 2))
         widest = F.cos(F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(90.0)) * geo.RAD)
         width = 2 * F.asin(F.lit(self.half) / widest)  # degrees below
         return F.when(widest > 2 * self.half, F.greatest(F.floor(2 * math.pi / (width * SLACK)), F.lit(1))).otherwise(F.lit(1)).cast("long")
 
     def column(self, lng: Column, n: Column) -> Column:
-        return F.pmod(F.floor((F.pmod(lng + 180.0, F.lit(360.0)) / 360.0) * n).cast("long"), n)
+        return F.pmod(F.floor((F.pmod(lng + 180.0, F.lit(360.0)) / 360.0) * n + F.lit(self.shift)).cast("long"), n)
 
     def own(self, lat: Column, lng: Column) -> Column:
         """(band, column) of a point."""
@@ -97,18 +110,6 @@ def prefix_grams(grams: Column, min_similarity: float) -> Column:
     return F.slice(ordered, 1, n - F.ceil(n * F.lit(min_similarity - 1e-9)).cast("int") + 1)
 
 
-def _estimate(ours: DataFrame, truth: DataFrame, radius_m: float) -> tuple[int, int]:
-    """(candidate pairs by tiles, sites) from counts per tile."""
-    tiles = Tiles(radius_m)
-    lat, lng = F.col("lat"), F.col("lng")
-    a = ours.select(tiles.own(lat, lng).alias("c")).groupBy("c").agg(F.count("*").alias("na"))
-    near = truth.select(F.explode(tiles.around(lat, lng)).alias("c")).groupBy("c").agg(F.count("*").alias("nb"))
-    row = a.join(near, "c", "left").agg(
-        F.sum(F.col("na") * F.coalesce("nb", F.lit(0))).alias("pairs"), F.sum("na").alias("n")
-    ).first()
-    return int(row["pairs"] or 0), int(row["n"] or 0)
-
-
 def candidate_pairs(
     ours: DataFrame, truth: DataFrame, radius_m: float, min_similarity: float | None
 ) -> DataFrame:
@@ -194,6 +195,80 @@ def _members(points: DataFrame, by_name: bool, side: str) -> DataFrame:
     )
 
 
+def _block(radius_m: float, min_similarity: float | None):
+    """Function of one block's rows (home, side, site, lat, lng, cap, grams) for ``applyInPandas``.
+
+    A site is sure if all that lies within the radius of it is in the block: if the box of the home
+    sites, which the tiles around the home tile surround by REACH radii, is near enough.
+    """
+
+    def side_of(rows: pd.DataFrame, box: tuple) -> closest.Side:
+        lat, lng = rows["lat"].to_numpy(), rows["lng"].to_numpy()
+        turned = (lng - box[2] + 180.0) % 360.0 - 180.0  # from the box's first longitude on
+        gap = closest.distance(lat, lng, np.clip(lat, box[0], box[1]), box[2] + np.clip(turned, 0.0, box[3]))
+        return closest.Side(rows["site"].tolist(), lat, lng, rows["cap"].to_numpy(), rows["grams"].tolist(), gap <= (REACH - 1) * radius_m)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        home = rows[rows["home"]]
+        # no partner, no site that could stay undecided
+        if not len(home) or rows["side"].nunique() < 2:
+            return pd.DataFrame({c: [] for c in ("a", "b", "d", "s", "m")})
+        lng = home["lng"].to_numpy()
+        turned = (lng - lng[0] + 180.0) % 360.0 - 180.0
+        box = (home["lat"].min(), home["lat"].max(), lng[0] + turned.min(), turned.max() - turned.min())
+        parts = [rows[rows["side"] == k] for k in "ab"]
+        a, b = (side_of(p, box) for p in parts)
+        taken = closest.decide(a, b, radius_m, min_similarity)
+        out = [(a.ids[i], b.ids[j], d, s, n) for i, j, d, s, n in taken]
+        for k, (part, side) in enumerate(zip(parts, (a, b))):
+            for at in np.flatnonzero(part["home"].to_numpy() & ~side.sure & (side.cap > 0)):
+                out.append((side.ids[at], None, None, None, None) if k == 0 else (None, side.ids[at], None, None, None))
+        frame = pd.DataFrame(out, columns=["a", "b", "d", "s", "m"], dtype=object)
+        return frame.astype({"m": "Int64"})
+
+    return run
+
+
+def _blocks(a: DataFrame, b: DataFrame, radius_m: float, turn: int) -> DataFrame:
+    """Sites of both sides in all blocks they belong to: tile, home, side, site, lat, lng, cap, grams."""
+    tiles = Tiles(REACH * radius_m, turn)
+    lat, lng = F.col("lat"), F.col("lng")
+    both = a.select(F.lit("a").alias("side"), *SITE).union(b.select(F.lit("b").alias("side"), *SITE))
+    both = both.select("*", tiles.own(lat, lng).alias("own"), F.explode(tiles.around(lat, lng)).alias("tile"))
+    return both.withColumn("home", F.col("own") == F.col("tile")).drop("own")
+
+
+SITE = ["site", "lat", "lng", "cap", "grams"]
+
+
+def _decide(a: DataFrame, b: DataFrame, radius_m: float, min_similarity: float | None) -> Iterator[DataFrame]:
+    """Tables (a, b, d, s, m) of matched site pairs within a radius, one per round."""
+    ids = a.schema["site"].dataType.simpleString(), b.schema["site"].dataType.simpleString()
+    schema = f"a {ids[0]}, b {ids[1]}, d double, s double, m long"
+    turn = 0
+    while True:
+        blocks = _blocks(a, b, radius_m, turn)
+        sizes = blocks.groupBy("tile").agg(F.count("*").alias("n"))
+        crowded = sizes.where(F.col("n") > BLOCK_SITES).select("tile")
+        few = blocks.join(crowded, "tile", "left_anti")
+        got = cut_lineage(few.groupBy("tile").applyInPandas(_block(radius_m, min_similarity), schema))
+        # several blocks may decide the same pair, and always alike
+        now = cut_lineage(got.where("m is not null").distinct())
+        yield now
+        open_a = got.where("m is null and a is not null").select(F.col("a").alias("site"))
+        open_b = got.where("m is null and b is not null").select(F.col("b").alias("site"))
+        home = blocks.where("home").join(crowded, "tile", "left_semi")
+        open_a = open_a.union(home.where("side = 'a'").select("site"))
+        open_b = open_b.union(home.where("side = 'b'").select("site"))
+        a, b = _spend(a.join(open_a, "site", "left_semi"), [now], "a"), _spend(b.join(open_b, "site", "left_semi"), [now], "b")
+        if a.isEmpty() or b.isEmpty():
+            return
+        if now.isEmpty():  # only crowded blocks are left
+            yield from _greedy(candidate_pairs(a, b, radius_m, min_similarity))
+            return
+        turn += 1
+
+
 def match_points(
     ours: DataFrame, truth: DataFrame, radius_m: float = 100.0, min_similarity: float | None = None
 ) -> DataFrame:
@@ -201,29 +276,25 @@ def match_points(
 
     Both inputs have id, lat, lng, name. Order: distance, then the more similar name, then ids; of
     equal places the smaller ids go first. A similarity of 0 lets every name pass but still prefers
-    the more similar one. Runs a job per round and writes tables to the shared folder.
+    the more similar one. Runs a few jobs per round and writes tables to the shared folder.
     """
     by_name = min_similarity is not None
     a, b = cut_lineage(_sites(ours, by_name)), cut_lineage(_sites(truth, by_name))
+    copies = not a.select("cap").union(b.select("cap")).where("cap > 1").isEmpty()
     steps = [radius_m]
-    if not min_similarity:  # names that differ would stay candidates at every step
-        pairs, n = _estimate(a, b, radius_m)
-        while pairs > DENSE * n and steps[0] > 1e-6:
-            steps.insert(0, steps[0] / 2)
-            pairs, n = _estimate(a, b, steps[0])
+    while steps[0] > LEAST_RADIUS and not _blocks(a, b, steps[0], 0).groupBy("tile").count().where(F.col("count") > BLOCK_SITES).isEmpty():
+        steps.insert(0, steps[0] / 2)
     taken: list[DataFrame] = []
     for i, step in enumerate(steps):
-        rounds = _greedy(candidate_pairs(a, b, step, min_similarity))
+        rounds = list(_decide(a, b, step, min_similarity))
         taken += rounds
-        if i + 1 < len(steps) and rounds:
+        if i + 1 < len(steps):
             a, b = _spend(a, rounds, "a"), _spend(b, rounds, "b")
-    if not taken:
-        types = [ours.schema["id"].dataType, truth.schema["id"].dataType]
-        empty = ours.sparkSession.createDataFrame([], "a string, b string, distance_m double, similarity double")
-        return empty.select(F.col("a").cast(types[0]).alias("ours_id"), F.col("b").cast(types[1]).alias("truth_id"), "distance_m", "similarity")
     sites = taken[0]
     for t in taken[1:]:
         sites = sites.unionByName(t)
+    if not copies:  # a site is its only point
+        return sites.select(F.col("a").alias("ours_id"), F.col("b").alias("truth_id"), F.col("d").alias("distance_m"), F.col("s").alias("similarity"))
     return _to_points(sites, ours, truth, by_name)
 
 

@@ -2,12 +2,13 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import geo, text
 from hexmosaic.functions import hexgrid as hx
-from hexmosaic.operators import dedupe, match
+from hexmosaic.operators import closest, dedupe, match
 
 SCHEMA = "id long, lat double, lng double, name string"
 
@@ -63,7 +64,7 @@ def test_matching_equals_greedy(spark, min_sim, copies):
 
 @pytest.mark.parametrize("min_sim", [None, 0.0, 0.5])
 def test_dense_places_take_halved_radii(spark, monkeypatch, min_sim):
-    monkeypatch.setattr(match, "DENSE", 1)
+    monkeypatch.setattr(match, "BLOCK_SITES", 40)
     ours, truth = sample(3, 50, True), sample(4, 60, True)
     m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0, min_sim)
     assert {(r.ours_id, r.truth_id) for r in m.collect()} == brute(spark, ours, truth, 100.0, min_sim)
@@ -95,11 +96,96 @@ def test_similarity_of_zero_filters_nothing(spark):
 def test_a_hot_place_takes_all_its_partners_at_once(spark, monkeypatch):
     ours = [(i, 11.5, 104.9, "x") for i in range(400)]
     truth = [(i, 11.5 + (i + 1) * 1e-6, 104.9, "x") for i in range(300)]
-    rounds, real = [], match._greedy
-    monkeypatch.setattr(match, "_greedy", lambda p: rounds.append(real(p)) or rounds[-1])
+    rounds = counted_rounds(monkeypatch)
     m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0)
     assert {(r.ours_id, r.truth_id) for r in m.collect()} == {(i, i) for i in range(300)}
-    assert all(len(r) <= 1 for r in rounds)  # one for each radius at most
+    assert len(rounds) == 1
+
+
+def counted_rounds(monkeypatch):
+    """Rounds of all radii; joins over all pairs are an error."""
+    rounds, real = [], match._decide
+
+    def watched(*args):
+        for t in real(*args):
+            rounds.append(t)
+            yield t
+
+    monkeypatch.setattr(match, "_decide", watched)
+    monkeypatch.setattr(match, "_greedy", lambda p: pytest.fail("all pairs"))
+    return rounds
+
+
+def greedy_near(ours, truth, radius):
+    """Closest-first matching of distinct places, over all pairs in numpy."""
+    x, y = (np.array([[r[1], r[2]] for r in rows]) for rows in (ours, truth))
+    d = closest.distance(x[:, None, 0], x[:, None, 1], y[None, :, 0], y[None, :, 1])
+    used, taken, out = np.zeros(len(x), bool), np.zeros(len(y), bool), set()
+    for k in np.argsort(d, axis=None, kind="stable"):
+        i, j = divmod(int(k), len(y))
+        if d[i, j] > radius:
+            break
+        if not used[i] and not taken[j]:
+            used[i] = taken[j] = True
+            out.add((i, j))
+    return out
+
+
+def test_far_groups_measure_few_of_their_pairs(spark, monkeypatch):
+    rnd = random.Random(5)
+    group = lambda east: [(i, 11.5 + rnd.uniform(0, 9e-5), 104.9 + east + rnd.uniform(0, 9e-5), "x") for i in range(1500)]
+    ours, truth = group(0.0), group(80 / 108_900)
+    rounds = counted_rounds(monkeypatch)
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0)
+    got = {(r.ours_id, r.truth_id) for r in m.collect()}
+    assert got == greedy_near(ours, truth, 100.0) and len(rounds) <= 2
+
+    sides = [closest.Side([r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), np.ones(1500, int), [()] * 1500, np.ones(1500, bool)) for rows in (ours, truth)]
+    closest.Tally.measured = 0
+    assert {(i, j) for i, j, *_ in closest.decide(*sides, 100.0, None)} == got
+    assert closest.Tally.measured < 2_250_000 / 4
+
+
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    """Each place is nearer to the next one than to the one before, so all wait for the last."""
+    ours, truth, lng = [], [], 104.9
+    for i in range(40):
+        (ours, truth)[i % 2].append((i // 2, 11.5, lng, "x"))
+        lng += (95 - i * 0.9) / 108_900
+    rounds = counted_rounds(monkeypatch)
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0)
+    assert {(r.ours_id, r.truth_id) for r in m.collect()} == greedy_near(ours, truth, 100.0)
+    assert len(rounds) <= 6
+
+
+@pytest.mark.parametrize("min_sim", [None, 0.5])
+def test_blocks_agree_at_their_borders(spark, monkeypatch, min_sim):
+    """Points over many blocks, in chains that cross their borders."""
+    rnd = random.Random(12)
+    names = ["North Gate", "north gate", "South Gate", "Gate"]
+    make = lambda n: [(i, 11.5 + rnd.uniform(0, 0.004), 104.9 + rnd.uniform(0, 0.03), rnd.choice(names)) for i in range(n)]
+    ours, truth = make(500), make(450)
+    monkeypatch.setattr(match, "REACH", 2)
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 80.0, min_sim)
+    want = brute(spark, ours, truth, 80.0, min_sim)
+    assert {(r.ours_id, r.truth_id) for r in m.collect()} == want
+
+
+def test_too_crowded_blocks_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(match, "BLOCK_SITES", 3)
+    ours, truth = sample(5, 40, False), sample(6, 40, False)
+    m = match.match_points(spark.createDataFrame(ours, SCHEMA), spark.createDataFrame(truth, SCHEMA), 100.0)
+    assert {(r.ours_id, r.truth_id) for r in m.collect()} == brute(spark, ours, truth, 100.0, None)
+
+
+def test_a_common_stem_gives_few_candidates():
+    n = 400
+    names = [f"  central market {i:03d} " for i in range(n)]
+    grams = [{x[k : k + 3] for k in range(len(x) - 2)} for x in names]
+    sides = [closest.Side(list(range(n)), np.full(n, 11.5) + np.arange(n) * 1e-7 + k * 1e-8, np.full(n, 104.9), np.ones(n, int), grams, np.ones(n, bool)) for k in (0, 1)]
+    closest.Tally.measured = 0
+    assert len(closest.decide(*sides, 100.0, 0.9)) == n
+    assert closest.Tally.measured < n * 45
 
 
 def test_capacities_on_both_sides_equal_greedy(spark):
