@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
@@ -77,8 +78,16 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI, for binary files that tasks write or read themselves."""
-    return pafs.FileSystem.from_uri(uri)
+    """File system and path of a URI, for binary files that tasks write or read themselves.
+
+    Hadoop's names of the S3 scheme, which Spark paths use, are taken as well.
+    """
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
+def kept_whole(docs: DataFrame, **more: Column) -> DataFrame:
+    """Each row in one struct column ``row``, beside ``more``: no name of ``docs`` can clash with theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
 
 
 #: A table that is joined to whole texts is broadcast up to so many rows (each of a few numbers).

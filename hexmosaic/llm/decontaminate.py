@@ -14,7 +14,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import row_key, stored, table
+from hexmosaic.llm.common import kept_whole, row_key, stored, table
 from hexmosaic.session import bind
 
 WINDOW, SUBSTITUTIONS = 13, 2
@@ -30,12 +30,21 @@ def tokens(text: str | Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def seeds(words: Column, mask: str) -> Column:
-    """Hash of the words under the mask at every position where it fits."""
+def seed_at(words: Column, pos: Column, mask: str) -> Column:
+    """Hash of the words under the mask from ``pos`` on; null where it does not fit."""
     at = [i for i, c in enumerate(mask) if c == "1"]
-    n = F.size(words) - len(mask)
-    one = lambda i: F.xxhash64(F.lit(mask), *[F.get(words, i + k) for k in at])
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), one)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(pos + len(mask) <= F.size(words), F.xxhash64(F.lit(mask), *[F.get(words, pos + k) for k in at]))
+
+
+def with_seeds(words: DataFrame, keep: list[str], pos: str, masks: list[str]) -> DataFrame:
+    """``keep``, pos and seed: a row for every position of ``words`` and mask that fits there.
+
+    Positions are rows before they are hashed, so the hashing is generated code, and the words they
+    come from are only referred to.
+    """
+    every = words.where(F.size("words") > 0).select(*keep, F.explode(F.sequence(F.lit(0), F.size("words") - 1)).alias(pos))
+    under = F.array(*[F.struct(seed_at(F.col("words"), F.col(pos), m).alias("seed")) for m in masks])
+    return every.select(*keep, pos, F.inline(under)).where("seed is not null")
 
 
 def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -51,7 +60,7 @@ def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     parts = []
     for mask in masks:
         fits = F.size("words") >= WINDOW if mask in MASKS else F.size("words") == len(mask)
-        parts.append(words.where(fits).select("item_no", F.size("words").alias("item_words"), F.posexplode(seeds(F.col("words"), mask)).alias("at", "seed")))
+        parts.append(with_seeds(words.where(fits), ["item_no", "words"], "at", [mask]).select("item_no", F.size("words").alias("item_words"), "at", "seed"))
     every = parts[0]
     for p in parts[1:]:
         every = every.union(p)
@@ -65,8 +74,7 @@ def alignments(docs: DataFrame, seed_part: DataFrame, masks: list[str]) -> DataF
     few that lie under the item.
     """
     words = bind(docs.where("doc_id is not null").select("doc_id", "text"), ["doc_id"], words=tokens("text"))
-    all_seeds = F.concat(*[F.transform(seeds(F.col("words"), m), lambda h, i: F.struct(i.alias("pos"), h.alias("seed"))) for m in masks])
-    hashed = words.select("doc_id", "words", F.inline(all_seeds))
+    hashed = with_seeds(words, ["doc_id", "words"], "pos", masks)
     hits = hashed.join(F.broadcast(seed_part), "seed")
     shift = F.col("pos") - F.col("at")
     begin = F.greatest(shift, F.lit(0))
@@ -121,9 +129,9 @@ def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Each row goes or stays for its own text, also where its id is null or repeated.
     """
-    rows = docs.withColumn("_row", row_key())
-    bad = held(rows.select(F.col("_row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_bad")).distinct()
-    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)
+    rows = kept_whole(docs, key=row_key(), text=F.col("text"))
+    bad = held(rows.select(F.col("key").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(bad, "key", "left_anti").select("row.*")
 
 
 SQL = r"""
