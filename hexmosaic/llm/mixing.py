@@ -13,7 +13,7 @@ from math import ceil, log2
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import stored, word_count
+from hexmosaic.llm.common import WORD, kept_whole, stored, word_count
 
 ROWS_PER_RANGE = 1024
 
@@ -92,20 +92,21 @@ def apply_mix(docs: DataFrame, taken: DataFrame) -> DataFrame:
     so repeated rows give as many words as they were granted. Columns of ``docs`` stay (of such rows
     those of one); ``n_chars`` follows a shortened text.
     """
-    share = taken.groupBy("doc_id", "source", "text_key").agg(F.max("size").alias("_size"), F.sum("taken").alias("_taken")).where("_taken > 0")
-    share = share.withColumnsRenamed({"doc_id": "_id", "source": "_source", "text_key": "_key"})
-    once = docs.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_text_key"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_text_key") == F.col("_key"))
+    share = taken.groupBy("doc_id", "source", "text_key").agg(F.max("size").alias("size"), F.sum("taken").alias("taken")).where("taken > 0")
+    share = share.withColumnsRenamed({"doc_id": "mixed_id", "source": "mixed_source", "text_key": "mixed_key"})
+    once = kept_whole(docs, doc_id=F.col("doc_id"), source=F.col("source"), text_key=F.xxhash64("text")).dropDuplicates(["doc_id", "source", "text_key"])
+    same = F.col("doc_id").eqNullSafe(F.col("mixed_id")) & F.col("source").eqNullSafe(F.col("mixed_source")) & (F.col("text_key") == F.col("mixed_key"))
     both = once.join(share, same)
-    whole = F.expr("_taken div _size")
-    rest = F.col("_taken") % F.col("_size")
+    whole = F.expr("taken div size")
+    rest = F.col("taken") % F.col("size")
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    rows = both.withColumn("_words", F.explode(copies))
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit("(" + r"[^\x20\x09-\x0D]+" + ")"), 1), F.lit(1), F.col("_words").cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col("_words") < 0, F.col("text")).otherwise(first))
+    rows = both.select("row", F.explode(copies).alias("words"))
+    text = F.col("row.text")
+    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1), F.lit(1), F.col("words").cast("int")), " ")
+    cut = F.col("row").withField("text", first)
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_words") < 0, F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        cut = cut.withField("n_chars", F.char_length(first).cast(docs.schema["n_chars"].dataType))
+    return rows.select(F.when(F.col("words") < 0, F.col("row")).otherwise(cut).alias("row")).select("row.*")
 
 
 SQL = r"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, size int, start int, word string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, size int, start int, word string, _row int, _size int, row int, taken int"
 
 
 def odd_documents(spark, texts=(), lang="en"):
@@ -22,7 +22,7 @@ def odd_documents(spark, texts=(), lang="en"):
         (1, "the quick brown fox jumps over the lazy dog again and again today", "en", "a", 5, "k", 1, 1, "w"),
     ]
     rows += [(100 + i, t, lang, f"s{i % 3}", len(t), "k", 1, 1, "w") for i, t in enumerate(texts)]
-    return spark.createDataFrame(rows, DOCS)
+    return spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], DOCS)
 
 
 def empty_documents(spark):
