@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import documents, fold, stored, table
+from hexmosaic.llm.common import documents, fold, labelled, stored, table
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -78,16 +78,16 @@ def document_row(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at, total[at]
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """Fit vectors and softmax weights together; returns the score of each table entry, and a bias."""
-    seen = np.zeros(BUCKETS, np.int64)
-    for ids, _ in rows:
-        seen[ids] += 1
-    seen = seen >= LEAST_DOCS
-    kept = [seen[ids] for ids, _ in rows]
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [k.sum() for k in kept])
-    ids, x = (np.concatenate([r[i][k] for r, k in zip(rows, kept)]) for i in (0, 1))
-    rows.clear()
+def train(starts: np.ndarray, ids: np.ndarray, x: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
+    """Fit vectors and softmax weights together; returns the score of each table entry, and a bias.
+
+    Document d has the table entries ``ids[starts[d]:starts[d + 1]]`` with weights ``x``, no entry
+    twice; ``x`` is changed in place.
+    """
+    seen = np.bincount(ids, minlength=BUCKETS) >= LEAST_DOCS
+    doc = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(starts))
+    for k in range(0, len(ids), 1 << 20):
+        x[k : k + (1 << 20)] *= seen[ids[k : k + (1 << 20)]]
 
     def summed(by: np.ndarray, n: int, part) -> np.ndarray:
         """Sums of ``part(slice)`` by ``by``, in pieces of bounded size."""
@@ -104,7 +104,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights
     params = [vectors, soft, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     # an entry is a small part of a document; bring the inputs to the order of 1
-    unit = float(np.sqrt(np.dot(x, x) / max(1, len(x)))) or 1.0
+    unit = float(np.sqrt(np.dot(x, x) / max(1, np.count_nonzero(x)))) or 1.0
     x /= np.float32(unit)
     scale = 1.0
     for step in range(1, STEPS + 1):
@@ -122,29 +122,14 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, weights
     return vectors @ (soft[1] - soft[0]) / unit, float(bias[1] - bias[0])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, most: int, folds: int, held: int) -> tuple[DataFrame, dict[int, int]]:
-    """At most ``most`` toxic and ``2 * most`` other documents in an order by hash; the labels' counts.
-
-    A document labelled several times counts once, as toxic if any label says so. Rows of the
-    held-out fold, and null ids or labels, are left out before.
-    """
-    spark = docs.sparkSession
-    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.where(fold("doc_id", folds) != held)
-    counts = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
-    order = F.xxhash64("doc_id", F.lit(17))
-    picked = [known.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(n) for k, n in ((0, 2 * most), (1, most))]
-    ids = spark.createDataFrame(picked[0].union(picked[1]).toPandas(), "doc_id long, toxic int")
-    return docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"), counts
-
-
 def fit(docs: DataFrame, labels: DataFrame, held: int = 0) -> tuple[np.ndarray, float]:
     """Scores of table entries, learnt from labels outside the held-out fold.
 
-    The sample is at most 3 * SAMPLE documents; each returns its table entries, never its text. If
-    no document of one class is labelled, all entries are 0 and the bias says the known class.
+    The sample is at most 3 * SAMPLE documents; each returns its table entries, never its text. One
+    task reads them into arrays of known size and trains, so the driver sees the model alone. If no
+    document of one class is labelled, all entries are 0 and the bias says the known class.
     """
-    sample, counts = labelled(documents(docs), labels, SAMPLE, FOLDS, held)
+    sample, counts = labelled(documents(docs), labels, "toxic", {0: 2 * SAMPLE, 1: SAMPLE}, FOLDS, held)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -153,18 +138,30 @@ def fit(docs: DataFrame, labels: DataFrame, held: int = 0) -> tuple[np.ndarray,
                 yield pd.DataFrame({"doc_id": [doc_id], "toxic": [toxic], "ids": [ids.astype("<i4").tobytes()], "x": [x.astype("<f4").tobytes()]})
 
     got = stored(sample.mapInPandas(rows, "doc_id long, toxic int, ids binary, x binary"), "toxicity-sample")
-    # one at a time: the driver holds the sample as plain arrays and nothing else
-    got = [(r[0], r[1], np.frombuffer(bytes(r[2]), "<i4"), np.frombuffer(bytes(r[3]), "<f4")) for r in got.toLocalIterator()]
-    got.sort(key=lambda r: (r[0], len(r[2])))
-    y = np.array([r[1] for r in got], float)
-    if not len(y) or y.min() == y.max():
-        return np.zeros(BUCKETS), -5.0 if not len(y) or y[0] == 0 else 5.0
-    share = np.array([counts[0], counts[1]]) / sum(counts.values())
-    in_sample = np.array([(y == 0).mean(), (y == 1).mean()])
-    weights = (share / in_sample)[y.astype(int)]
-    unpacked = [r[2:] for r in got]
-    del got
-    return train(unpacked, y, weights)
+    in_sample, entries = {0: 0, 1: 0}, 0
+    for toxic, n, size in got.groupBy("toxic").agg(F.count("*"), F.sum(F.length("ids"))).collect():
+        in_sample[toxic], entries = n, entries + size // 4
+    total = sum(in_sample.values())
+    if not in_sample[0] or not in_sample[1]:
+        return np.zeros(BUCKETS), 5.0 if in_sample[1] else -5.0
+    share = [counts[k] / sum(counts.values()) / (in_sample[k] / total) for k in (0, 1)]
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, labels = np.zeros(total + 1, np.int64), np.zeros(total)
+        ids, x = np.empty(entries, np.int32), np.empty(entries, np.float32)
+        d = 0
+        for b in batches:
+            for toxic, entry, weight in zip(*(b.column(c) for c in ("toxic", "ids", "x"))):
+                part = np.frombuffer(entry.as_buffer(), "<i4")
+                starts[d + 1], labels[d] = starts[d] + len(part), toxic.as_py()
+                ids[starts[d] : starts[d + 1]], x[starts[d] : starts[d + 1]] = part, np.frombuffer(weight.as_buffer(), "<f4")
+                d += 1
+        model, bias = train(starts, ids, x, labels, np.array(share)[labels.astype(int)])
+        yield pa.RecordBatch.from_pydict({"entries": [model.tobytes()], "bias": [bias]})
+
+    in_order = got.repartition(1).sortWithinPartitions("doc_id", F.length("ids"), "ids")
+    model = in_order.mapInArrow(learn, "entries binary, bias double").first()
+    return np.frombuffer(bytes(model["entries"])), model["bias"]
 
 
 def scores(texts: Iterable[str], entries: np.ndarray, bias: float) -> np.ndarray:
