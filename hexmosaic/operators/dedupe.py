@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import text
-from hexmosaic.operators.match import prefix_grams
 from hexmosaic.session import Rounds, cut_lineage
 
 
@@ -61,28 +60,45 @@ def duplicate_sites(pois: DataFrame, index_res: int = 11) -> DataFrame:
     return s.select("*", text.trigrams(F.col("name")).alias("grams"))
 
 
-def duplicate_pairs(sites: DataFrame, min_similarity: float = 0.5) -> DataFrame:
-    """(a, b) sites of different sources in the same or a neighbouring cell with similar names.
+def rare_first(sites: DataFrame) -> DataFrame:
+    """Sites with ``ordered``: their grams from the rarest of all sites to the most common one.
 
-    Blocked by cell and by the grams that similar names cannot both miss, so a crowded cell does
-    not pair everything with everything.
+    Counts combine before the shuffle and meet each gram once; a common gram is one key of a join with
+    a unique side.
     """
-    sites = sites.withColumn("first", prefix_grams(F.col("grams"), min_similarity))
-    gram = F.explode("first").alias("g")
-    a = sites.select("site", "source", "cell", "grams", "first", gram)
-    b = sites.select(
-        F.col("site").alias("site_b"),
-        F.col("source").alias("source_b"),
-        F.col("grams").alias("grams_b"),
-        F.col("first").alias("first_b"),
-        gram,
-        F.col("cell").alias("cell0"),
-    )
-    b = b.select("*", F.explode(hx.grid_disk(F.col("cell0"), 1)).alias("cell"))
-    hit = a.join(b, ["cell", "g"]).where(F.col("source") < F.col("source_b"))
-    once = F.get(F.array_intersect("first", "first_b"), 0) == F.col("g")  # of all shared grams one tells
-    similar = text.jaccard(F.col("grams"), F.col("grams_b")) >= min_similarity
-    return hit.where(once & similar).select(F.col("site").alias("a"), F.col("site_b").alias("b"))
+    each = sites.select("site", F.explode("grams").alias("g"))
+    counts = each.groupBy("g").agg(F.count("*").alias("n"))
+    ordered = each.join(counts, "g").groupBy("site").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("by_count"))
+    return sites.join(ordered, "site").select("*", F.col("by_count.g").alias("ordered")).drop("by_count")
+
+
+def gram_candidates(sites: DataFrame, min_similarity: float = 0.5) -> DataFrame:
+    """(a, b, grams_a, grams_b): pairs of sites of different sources, in the same or a neighbouring cell, that may be similar.
+
+    Similar names share one of their first grams in any common order, and in the order from the
+    rarest on a common stem comes last. A pair is told by the first gram both share there; sizes too
+    different, or too few grams after that one, rule it out before the sets are compared.
+    """
+    t = min_similarity - 1e-9
+    size = F.size("ordered")
+    sites = sites.select("site", "source", "cell", "ordered", size.alias("n"), F.posexplode(F.slice("ordered", 1, size - F.ceil(size * F.lit(t)).cast("int") + 1)).alias("pos", "g"))
+    a = sites.withColumnsRenamed({"site": "a", "source": "source_a", "ordered": "grams_a", "n": "na", "pos": "pa"})
+    b = sites.withColumnsRenamed({"site": "b", "source": "source_b", "ordered": "grams_b", "n": "nb", "pos": "pb", "cell": "cell0"})
+    b = b.select("*", F.explode(hx.grid_disk(F.col("cell0"), 1)).alias("cell")).drop("cell0")
+    hit = a.join(b, ["cell", "g"]).where(F.col("source_a") < F.col("source_b"))
+    lengths = F.col("nb").between(F.col("na") * t, F.col("na") / t)
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))  # this gram and those after it
+    enough = left >= F.ceil((F.col("na") + F.col("nb")) * F.lit(t / (1 + t)) - 1e-6)
+    hit = hit.where(lengths & enough)
+    # told once: no earlier gram of a is among b's earlier ones
+    first = F.size(F.array_intersect(F.slice("grams_a", 1, F.col("pa")), F.slice("grams_b", 1, F.col("pb")))) == 0
+    return hit.where(first).select("a", "b", "grams_a", "grams_b")
+
+
+def duplicate_pairs(sites: DataFrame, min_similarity: float = 0.5) -> DataFrame:
+    """(a, b) sites of different sources in the same or a neighbouring cell with similar names."""
+    hit = gram_candidates(rare_first(sites), min_similarity)
+    return hit.where(text.jaccard(F.col("grams_a"), F.col("grams_b")) >= min_similarity).select("a", "b")
 
 
 def duplicate_groups(pois: DataFrame, index_res: int = 11, min_similarity: float = 0.5) -> DataFrame:

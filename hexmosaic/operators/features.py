@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import rules
-from hexmosaic.operators.polygons import number_rows
 from hexmosaic.session import cut_lineage
 
 # Upper bounds and labels of the manual classes of n_poi.
@@ -157,20 +156,44 @@ def manual_class(n_poi: Column) -> Column:
     return out
 
 
+def _holding(bins: DataFrame, by: list[str], order: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Bins (n rows each) that hold wanted ranks, with the rank inside the bin; ``by`` names the bins' parent.
+
+    Without ``wanted`` the ranks are in the column ``ranks`` of the bins.
+    """
+    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = bins.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    asked = placed.select("*", F.inline("ranks")).drop("ranks") if wanted is None else placed.join(wanted, by)
+    return asked.where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n"))).withColumn("rank", F.col("rank") - F.col("before"))
+
+
 def quantile_breaks(features: DataFrame, column: str = "population", classes: int = 7) -> DataFrame:
     """(class, lower, upper) of equal-count classes over positive values, linearly interpolated.
 
-    Exact and distributed: the values are numbered by a range-partitioned sort, and only the rows
-    at the break positions are read back.
+    Exact selection by refining histograms: counts per fine step of the logarithm, then per 1/65536 of
+    the few steps that hold a break, then per value of what is left of those. Counts combine before
+    they are shuffled and the values are neither sorted nor written; a step is one row, of which there
+    are at most some two million whatever the values, and the broadcast tables have two rows a break.
     """
-    values = features.where(F.col(column) > 0).select(F.col(column).cast("double").alias("v"), "h3")
-    ranked = number_rows(values, [F.asc("v"), F.asc("h3")], "rank")
-    probs = F.array(*[F.lit(i / classes) for i in range(classes + 1)])
-    at = ranked.agg(F.max("rank").alias("n")).select("n", F.posexplode(probs).alias("i", "p"))
-    at = at.select("i", (F.col("p") * (F.col("n") - 1) + 1).alias("pos"))
-    at = at.select("i", "pos", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos")))).alias("rank"))
-    weight = F.lit(1.0) - F.abs(F.col("pos") - F.col("rank"))
-    cuts = at.join(ranked, "rank").groupBy("i").agg(F.sum(F.col("v") * weight).alias("v"))
+    values = features.where(F.col(column) > 0).select(F.col(column).cast("double").alias("v"))
+    values = values.select("v", F.floor(F.log2("v") * 1024).alias("step"))
+    steps = values.groupBy("step").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    total = F.sum("n").over(Window.partitionBy())
+    positions = [(F.lit(i), F.lit(i / classes) * (total - 1) + 1) for i in range(classes + 1)]
+    asked = [F.struct(i.alias("i"), pos.alias("pos"), side(pos).cast("long").alias("rank")) for i, pos in positions for side in (F.floor, F.ceil)]
+    steps = _holding(steps.withColumn("ranks", F.array_distinct(F.array(*asked))), [], "step").drop("n", "before")
+
+    part = F.floor(F.coalesce((F.col("v") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)), F.lit(0.0)) * 65536)
+    near = values.join(F.broadcast(steps.select("step", "low", "high").distinct()), "step").select("step", part.alias("part"), "v")
+    parts = near.groupBy("step", "part").agg(F.count("*").alias("n"))
+    parts = _holding(parts, ["step"], "part", steps.select("step", "i", "pos", "rank")).drop("n", "before")
+
+    nearest = near.join(F.broadcast(parts.select("step", "part").distinct()), ["step", "part"])
+    exact = nearest.groupBy("step", "part", "v").agg(F.count("*").alias("n"))
+    found = _holding(exact, ["step", "part"], "v", parts)
+    # a break between two ranks lies between their values, the smaller first
+    ends = found.groupBy("i", "pos").agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    cuts = ends.select("i", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos"))).alias("v"))
     w = Window.orderBy("i")  # classes + 1 rows
     return (
         cuts.select(F.col("i").alias("class"), F.lag("v").over(w).alias("lower"), F.col("v").alias("upper"))

@@ -32,7 +32,7 @@ from hexmosaic.functions import geo, text
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators import closest
 from hexmosaic.operators.polygons import number_rows
-from hexmosaic.session import Rounds, cut_lineage
+from hexmosaic.session import Rounds, bind, cut_lineage
 
 #: Width of a block's tiles in radii: what a tile's sites may reach within the block.
 REACH = 8
@@ -195,47 +195,65 @@ def _members(points: DataFrame, by_name: bool, side: str) -> DataFrame:
     )
 
 
-def _block(radius_m: float, min_similarity: float | None):
-    """Function of one block's rows (home, side, site, lat, lng, cap, grams) for ``applyInPandas``.
+def _side(rows: pd.DataFrame, box: tuple, radius_m: float) -> closest.Side:
+    """Sites of one side of a block; ``box`` holds the home sites: south, north, west, width.
 
-    A site is sure if all that lies within the radius of it is in the block: if the box of the home
-    sites, which the tiles around the home tile surround by REACH radii, is near enough.
+    A site is sure if all that lies within the radius of it is in the block: if the box, which the
+    tiles around the home tile surround by REACH radii, is near enough.
     """
-
-    def side_of(rows: pd.DataFrame, box: tuple) -> closest.Side:
-        lat, lng = rows["lat"].to_numpy(), rows["lng"].to_numpy()
-        turned = (lng - box[2] + 180.0) % 360.0 - 180.0  # from the box's first longitude on
-        gap = closest.distance(lat, lng, np.clip(lat, box[0], box[1]), box[2] + np.clip(turned, 0.0, box[3]))
-        return closest.Side(rows["site"].tolist(), lat, lng, rows["cap"].to_numpy(), rows["grams"].tolist(), gap <= (REACH - 1) * radius_m)
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        home = rows[rows["home"]]
-        # no partner, no site that could stay undecided
-        if not len(home) or rows["side"].nunique() < 2:
-            return pd.DataFrame({c: [] for c in ("a", "b", "d", "s", "m")})
-        lng = home["lng"].to_numpy()
-        turned = (lng - lng[0] + 180.0) % 360.0 - 180.0
-        box = (home["lat"].min(), home["lat"].max(), lng[0] + turned.min(), turned.max() - turned.min())
-        parts = [rows[rows["side"] == k] for k in "ab"]
-        a, b = (side_of(p, box) for p in parts)
-        taken = closest.decide(a, b, radius_m, min_similarity)
-        out = [(a.ids[i], b.ids[j], d, s, n) for i, j, d, s, n in taken]
-        for k, (part, side) in enumerate(zip(parts, (a, b))):
-            for at in np.flatnonzero(part["home"].to_numpy() & ~side.sure & (side.cap > 0)):
-                out.append((side.ids[at], None, None, None, None) if k == 0 else (None, side.ids[at], None, None, None))
-        frame = pd.DataFrame(out, columns=["a", "b", "d", "s", "m"], dtype=object)
-        return frame.astype({"m": "Int64"})
+    lat, lng = rows["lat"].to_numpy(), rows["lng"].to_numpy()
+    turned = (lng - box[2] + 180.0) % 360.0 - 180.0
+    gap = closest.distance(lat, lng, np.clip(lat, box[0], box[1]), box[2] + np.clip(turned, 0.0, box[3]))
+    return closest.Side(rows["site"].tolist(), lat, lng, rows["cap"].to_numpy(), rows["grams"].tolist(), gap <= (REACH - 1) * radius_m)
+
+
+def _block(rows: pd.DataFrame, radius_m: float, min_similarity: float | None) -> list[tuple]:
+    """(a, b, d, s, m) of the pairs a block decides, and (site, null) or (null, site) of home sites it leaves open."""
+    home, of_a = rows["home"].to_numpy(), (rows["side"] == "a").to_numpy()
+    lat, lng = rows["lat"].to_numpy()[home], rows["lng"].to_numpy()[home]
+    turned = (lng - lng[0] + 180.0) % 360.0 - 180.0
+    box = (lat.min(), lat.max(), lng[0] + turned.min(), turned.max() - turned.min())
+    a, b = (_side(rows[of], box, radius_m) for of in (of_a, ~of_a))
+    out = [(a.ids[i], b.ids[j], d, s, n) for i, j, d, s, n in closest.decide(a, b, radius_m, min_similarity)]
+    out += [(a.ids[k], None, None, None, None) for k in np.flatnonzero(home[of_a] & ~a.sure & (a.cap > 0))]
+    return out + [(None, b.ids[k], None, None, None) for k in np.flatnonzero(home[~of_a] & ~b.sure & (b.cap > 0))]
+
+
+def _each_block(radius_m: float, min_similarity: float | None):
+    """Function for ``mapInPandas`` over rows in the order of their blocks; a block may span batches."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            tile = rows["tile"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist()]
+            rest = rows.iloc[cuts[-1] :]
+            yield _frame([x for begin, end in zip(cuts, cuts[1:]) for x in _block(rows.iloc[begin:end], radius_m, min_similarity)])
+        if rest is not None and len(rest):
+            yield _frame(_block(rest, radius_m, min_similarity))
 
     return run
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["a", "b", "d", "s", "m"], dtype=object).astype({"m": "Int64"})
+
+
 def _blocks(a: DataFrame, b: DataFrame, radius_m: float, turn: int) -> DataFrame:
-    """Sites of both sides in all blocks they belong to: tile, home, side, site, lat, lng, cap, grams."""
+    """Sites of both sides in all blocks they belong to: side, site, lat, lng, cap, grams, tile, home."""
     tiles = Tiles(REACH * radius_m, turn)
     lat, lng = F.col("lat"), F.col("lng")
     both = a.select(F.lit("a").alias("side"), *SITE).union(b.select(F.lit("b").alias("side"), *SITE))
-    both = both.select("*", tiles.own(lat, lng).alias("own"), F.explode(tiles.around(lat, lng)).alias("tile"))
-    return both.withColumn("home", F.col("own") == F.col("tile")).drop("own")
+    keep = both.columns
+    both = bind(both, keep, band=tiles.band(lat))
+    both = both.select(*keep, F.col("band").alias("home_band"), F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
+    both = bind(both, [*keep, "home_band", "band"], columns=tiles.columns(F.col("band")))
+    both = bind(both, [*keep, "home_band", "band", "columns"], col=tiles.column(lng, F.col("columns")))
+    near = F.array_distinct(F.array(*[F.pmod(F.col("col") + k, F.col("columns")) for k in (-1, 0, 1)]))
+    both = both.select(*keep, "band", "home_band", "col", F.explode(near).alias("near"))
+    home = (F.col("band") == F.col("home_band")) & (F.col("near") == F.col("col"))
+    return both.select(*keep, (F.col("band") * (1 << 32) + F.col("near")).alias("tile"), home.alias("home"))
 
 
 SITE = ["site", "lat", "lng", "cap", "grams"]
@@ -248,10 +266,13 @@ def _decide(a: DataFrame, b: DataFrame, radius_m: float, min_similarity: float |
     turn = 0
     while True:
         blocks = _blocks(a, b, radius_m, turn)
-        sizes = blocks.groupBy("tile").agg(F.count("*").alias("n"))
+        # of tiles without sites of their own, or with one side only, nothing is to be decided
+        sizes = blocks.groupBy("tile").agg(F.count("*").alias("n"), F.max("home").alias("home"), (F.min("side") < F.max("side")).alias("both"))
+        sizes = cut_lineage(sizes.where("home and both").select("tile", "n"))
         crowded = sizes.where(F.col("n") > BLOCK_SITES).select("tile")
-        few = blocks.join(crowded, "tile", "left_anti")
-        got = cut_lineage(few.groupBy("tile").applyInPandas(_block(radius_m, min_similarity), schema))
+        few = blocks.join(sizes.where(F.col("n") <= BLOCK_SITES).select("tile"), "tile", "left_semi")
+        few = few.repartition("tile").sortWithinPartitions("tile")
+        got = cut_lineage(few.mapInPandas(_each_block(radius_m, min_similarity), schema))
         # several blocks may decide the same pair, and always alike
         now = cut_lineage(got.where("m is not null").distinct())
         yield now

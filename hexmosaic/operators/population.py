@@ -53,11 +53,17 @@ def raster_total(blocks: DataFrame, nodata: float | None = None) -> DataFrame:
     return raster_cells(blocks, nodata).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))
 
 
-def raster_window(cells: DataFrame, affine: Affine, bbox: dict) -> DataFrame:
-    """Cells of the rows and columns a bbox spans (edges truncated to whole cells)."""
+def raster_window(blocks: DataFrame, affine: Affine, bbox: dict, block: tuple[int, int], nodata: float | None = None) -> DataFrame:
+    """Cells of the rows and columns a bbox spans (edges truncated to whole cells).
+
+    ``block`` is the largest height and width of a block. Blocks that lie outside are ruled out by
+    their corner, a filter that reaches the scan, before any block is taken apart.
+    """
     c0, c1 = int((bbox["xmin"] - affine.c) / affine.a), int((bbox["xmax"] - affine.c) / affine.a)
     r0, r1 = int((bbox["ymax"] - affine.f) / affine.e), int((bbox["ymin"] - affine.f) / affine.e)
-    return cells.where(
+    row0, col0 = F.col("row0"), F.col("col0")
+    near = blocks.where((row0 > r0 - block[0]) & (row0 < r1) & (col0 > c0 - block[1]) & (col0 < c1))
+    return raster_cells(near, nodata).where(
         (F.col("row") >= r0) & (F.col("row") < r1) & (F.col("col") >= c0) & (F.col("col") < c1)
     )
 

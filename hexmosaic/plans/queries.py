@@ -225,8 +225,10 @@ def raster_block_sum(spark, sf):
 
 
 def raster_window(spark, sf):
-    cells = population.raster_cells(d.raster_blocks(spark, sf), d.NODATA)
-    return population.raster_window(cells, d.AFFINE, BOX)
+    """Blocks written as a table and read back by the block reader, with the window pushed to the scan."""
+    path = new_path(spark, "blocks")
+    d.raster_blocks(spark, sf).write.parquet(path)
+    return population.raster_window(readers.read_raster_blocks(spark, path), d.AFFINE, BOX, (2, 3), d.NODATA)
 
 
 def population_by_cell(spark, sf):

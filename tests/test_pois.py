@@ -125,12 +125,13 @@ def test_cells_keep_total_at_each_res(spark):
 
 def test_block_sum_and_window(spark):
     arr = np.arange(23 * 17, dtype="float32").reshape(23, 17)
-    cells = population.raster_cells(_blocks(spark, arr))
+    blocks = _blocks(spark, arr)
+    cells = population.raster_cells(blocks)
     got = {(r.block_row, r.block_col): r.value for r in population.raster_block_sum(cells, 5, 23, 17).collect()}
     want = arr[:20, :15].reshape(4, 5, 3, 5).sum(axis=(1, 3))
     assert got == {(i, j): want[i, j] for i in range(4) for j in range(3)}
     box = {"xmin": 104.90 + 2.5 / 1200, "xmax": 104.90 + 6.5 / 1200, "ymax": 11.60 - 3.5 / 1200, "ymin": 11.60 - 9.5 / 1200}
-    sub = population.raster_window(cells, AFFINE, box)
+    sub = population.raster_window(blocks, AFFINE, box, arr.shape)
     assert sub.agg(F.sum("value")).first()[0] == arr[3:9, 2:6].sum()
 
 
