@@ -195,25 +195,25 @@ def _members(points: DataFrame, by_name: bool, side: str) -> DataFrame:
     )
 
 
-def _side(rows: pd.DataFrame, box: tuple, radius_m: float) -> closest.Side:
+def _side(rows: pd.DataFrame, box: tuple, sure_m: float) -> closest.Side:
     """Sites of one side of a block; ``box`` holds the home sites: south, north, west, width.
 
     A site is sure if all that lies within the radius of it is in the block: if the box, which the
-    tiles around the home tile surround by REACH radii, is near enough.
+    tiles around the home tile surround by REACH radii, is ``sure_m`` away at most.
     """
     lat, lng = rows["lat"].to_numpy(), rows["lng"].to_numpy()
     turned = (lng - box[2] + 180.0) % 360.0 - 180.0
     gap = closest.distance(lat, lng, np.clip(lat, box[0], box[1]), box[2] + np.clip(turned, 0.0, box[3]))
-    return closest.Side(rows["site"].tolist(), lat, lng, rows["cap"].to_numpy(), rows["grams"].tolist(), gap <= (REACH - 1) * radius_m)
+    return closest.Side(rows["site"].tolist(), lat, lng, rows["cap"].to_numpy(), rows["grams"].tolist(), gap <= sure_m)
 
 
-def _block(rows: pd.DataFrame, radius_m: float, min_similarity: float | None) -> list[tuple]:
+def _block(rows: pd.DataFrame, radius_m: float, sure_m: float, min_similarity: float | None) -> list[tuple]:
     """(a, b, d, s, m) of the pairs a block decides, and (site, null) or (null, site) of home sites it leaves open."""
     home, of_a = rows["home"].to_numpy(), (rows["side"] == "a").to_numpy()
     lat, lng = rows["lat"].to_numpy()[home], rows["lng"].to_numpy()[home]
     turned = (lng - lng[0] + 180.0) % 360.0 - 180.0
     box = (lat.min(), lat.max(), lng[0] + turned.min(), turned.max() - turned.min())
-    a, b = (_side(rows[of], box, radius_m) for of in (of_a, ~of_a))
+    a, b = (_side(rows[of], box, sure_m) for of in (of_a, ~of_a))
     out = [(a.ids[i], b.ids[j], d, s, n) for i, j, d, s, n in closest.decide(a, b, radius_m, min_similarity)]
     out += [(a.ids[k], None, None, None, None) for k in np.flatnonzero(home[of_a] & ~a.sure & (a.cap > 0))]
     return out + [(None, b.ids[k], None, None, None) for k in np.flatnonzero(home[~of_a] & ~b.sure & (b.cap > 0))]
@@ -221,6 +221,7 @@ def _block(rows: pd.DataFrame, radius_m: float, min_similarity: float | None) ->
 
 def _each_block(radius_m: float, min_similarity: float | None):
     """Function for ``mapInPandas`` over rows in the order of their blocks; a block may span batches."""
+    sure_m = (REACH - 1) * radius_m
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -229,9 +230,9 @@ def _each_block(radius_m: float, min_similarity: float | None):
             tile = rows["tile"].to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist()]
             rest = rows.iloc[cuts[-1] :]
-            yield _frame([x for begin, end in zip(cuts, cuts[1:]) for x in _block(rows.iloc[begin:end], radius_m, min_similarity)])
+            yield _frame([x for begin, end in zip(cuts, cuts[1:]) for x in _block(rows.iloc[begin:end], radius_m, sure_m, min_similarity)])
         if rest is not None and len(rest):
-            yield _frame(_block(rest, radius_m, min_similarity))
+            yield _frame(_block(rest, radius_m, sure_m, min_similarity))
 
     return run
 
