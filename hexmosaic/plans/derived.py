@@ -50,6 +50,22 @@ TAGS = [
 TAXONOMY = ["hospital", "school", "bank", "hotel", "restaurant", "temple", "shop", "park"]
 DIRECTIONS = [(10, 0), (7, 7), (0, 10), (-7, 7), (-10, 0), (-7, -7), (0, -10), (7, -7)]
 
+# Text columns of the given tables; embeddings and labels have none.
+TEXT_COLUMNS = {
+    "region": ["r_name"],
+    "nation": ["n_name"],
+    "customer": ["c_name", "c_mktsegment"],
+    "supplier": ["s_name"],
+    "part": ["p_name", "p_brand", "p_type"],
+    "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"],
+    "events": ["event_type", "props"],
+    "documents": ["text", "lang", "source"],
+    "pages": ["url", "html"],
+    "benchmark": ["text"],
+    "conversations": ["role", "text"],
+}
+
 NODATA = -99999.0
 AFFINE = Affine(a=1e-4, b=0.0, c=102.4, d=0.0, e=-1e-4, f=14.65)
 RASTER_ROWS, RASTER_COLS = 15 * 3100, 16 * 3100

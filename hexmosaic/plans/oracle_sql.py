@@ -617,8 +617,8 @@ ORACLES: dict[str, str] = {
         {2 + 1 + len(NAMES) + 2 + 1 + 2 * (2 + len(NAMES))} AS n_fields, count(*) AS cells FROM point_grid""",
     "checksums": " UNION ALL ".join(
         f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, coalesce(sum(('0x' || substr(sha256({c}), 1, 8))::BIGINT), 0)::BIGINT AS checksum FROM {t}"""
-        for t, c in [("customer", "c_name"), ("customer", "c_mktsegment"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus"),
-                     ("documents", "text"), ("documents", "lang"), ("documents", "source")]
+        for t, columns in d.TEXT_COLUMNS.items()
+        for c in columns
     ),
     "biggest_differences": f"""WITH RECURSIVE {CUSTOMER_XY}, {matching(100.0, 0.5)}, {COMPARE}
         SELECT h3, ours, ground_truth, gt_minus_ours FROM cmp ORDER BY abs(gt_minus_ours) DESC, h3 LIMIT 20""",

@@ -492,9 +492,8 @@ def geojson_sample(spark, sf):
 
 
 def checksums(spark, sf):
-    """Order-free checksum of every text column of three tables."""
-    columns = {"customer": ["c_name", "c_mktsegment"], "orders": ["o_orderpriority", "o_orderstatus"], "documents": ["text", "lang", "source"]}
-    parts = [readers.table_checksum(d.table(spark, sf, t), c).withColumn("table", F.lit(t)) for t, c in columns.items()]
+    """Order-free checksum of every text column of all tables."""
+    parts = [readers.table_checksum(d.table(spark, sf, t), c).withColumn("table", F.lit(t)) for t, c in d.TEXT_COLUMNS.items()]
     return pois.union_sources(parts)
 
 

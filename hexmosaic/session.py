@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """A session for tests and benchmarks on one machine; clusters bring their own."""
+def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "12g", folder: str | None = None) -> SparkSession:
+    """A session for tests and benchmarks on one machine; clusters bring their own.
+
+    Intermediate tables go to ``folder``; without it to what the installation sets, else to a temporary
+    folder of the application.
+    """
+    own = {"spark.checkpoint.dir": folder} if folder else {}
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hexmosaic")
@@ -20,20 +25,28 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config(map=own)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+#: Temporary folders of local applications that set none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's checkpoint folder, read from the session."""
+    """Folder for intermediate tables: the cluster's checkpoint folder, read from the session.
+
+    Only a local session that sets none gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="hexmosaic-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _LOCAL[app] = _LOCAL.get(app) or tempfile.mkdtemp(prefix="hexmosaic-")
     return folder.rstrip("/")
 
 

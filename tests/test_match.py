@@ -276,3 +276,19 @@ def test_copies_of_one_source_stay_together(spark, twin, kept):
     p = p.withColumn("h3_res11", hx.cell(F.lit(11.5), F.lit(104.9), 11))
     got = {(r.source, r.source_id) for r in dedupe.dedupe_pois(p, ["x", "y"]).collect()}
     assert {("x", "1"), ("x", "2")} <= got and len(got) == kept
+
+
+def test_a_common_stem_gives_few_duplicate_candidates(spark):
+    """Names of one stem in one cell: the rarest grams tell them apart before sets are compared."""
+    rows = [(k, f"{k}{i}", f"Central Market Phnom Penh {i * 37 % 1000:03d}", 0.5) for k in ("x", "y") for i in range(300)]
+    p = spark.createDataFrame(rows, "source string, source_id string, name string, confidence double")
+    p = p.withColumn("h3_res11", hx.cell(F.lit(11.5), F.lit(104.9), 11))
+    sites = dedupe.duplicate_sites(p).cache()
+    for least in (0.9, 0.97):
+        links = dedupe.duplicate_pairs(sites, least).collect()
+        pairs = sites.alias("a").join(sites.alias("b"), F.col("a.source") < F.col("b.source"))
+        want = pairs.where(text.jaccard(F.col("a.grams"), F.col("b.grams")) >= least).select("a.site", "b.site")
+        assert sorted(map(tuple, links)) == sorted(map(tuple, want.collect())) and len(links) >= 300
+    # of 90,000 pairs, at the stricter similarity only those that share a rare gram are looked at
+    asked = dedupe.gram_candidates(dedupe.rare_first(sites), 0.97).count()
+    assert asked <= 5 * len(links)

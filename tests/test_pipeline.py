@@ -33,7 +33,8 @@ def test_every_query_has_an_oracle():
     "name",
     ["stage_osm", "stage_places", "polyfill_overlap", "clip_and_index", "hex_features", "match_points", "dedupe_pois", "quantile_breaks",
      "checksums", "source_catalogue", "ledger_rows", "truth_round_trip", "wkt_round_trip", "grid_coverage", "population_difference",
-     "parts_without_cell", "match_far_north", "biggest_differences", "match_inspection"],
+     "parts_without_cell", "match_far_north", "biggest_differences", "match_inspection", "crowded_cells", "point_in_polygon", "raster_window",
+     "quantile_classes", "match_distance_only"],
 )
 def test_query_equals_oracle(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
@@ -80,3 +81,29 @@ def test_plans_stay_in_the_jvm_and_join_on_keys(spark, sf):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_raster_window_reaches_the_scan(spark, sf):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = QUERIES["raster_window"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters")[1].split("]")[0]
+    assert all(f in pushed for f in ("GreaterThan(row0", "LessThan(row0", "GreaterThan(col0", "LessThan(col0"))
+
+
+def test_quantiles_neither_sort_nor_write_the_values(spark, sf):
+    df = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("h3"), F.col("c_acctbal").alias("population"))
+    from hexmosaic.operators import features
+
+    out = features.quantile_breaks(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    lines = plan.splitlines()
+    # what is shuffled are counts of bins, never values
+    assert all("v#" not in x.split("hashpartitioning(")[1].split(")")[0] or "Aggregate" in lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning(" in x)
+    values = sorted(r.population for r in df.where("population > 0").collect())
+    for r in out.collect():
+        pos = r["class"] / 7 * (len(values) - 1)
+        low = values[int(pos)]
+        high = values[min(int(pos) + 1, len(values) - 1)]
+        assert abs(r.upper - (low + (high - low) * (pos - int(pos)))) < 1e-9
