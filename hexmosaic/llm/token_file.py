@@ -8,11 +8,12 @@ reader fetches the end of the file, then only the frames it wants, and checks ea
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,8 @@ NO_ID = -(1 << 63)
 LEVEL = 3
 #: A file is closed after so many documents or bytes.
 FILE_DOCS, FILE_BYTES = 1 << 17, 256 << 20
-#: Pieces of text whose tokens a worker remembers.
-CACHE = 1_500_000
+#: Characters of text pieces whose tokens a worker remembers.
+CACHE = 12_000_000
 #: Texts encoded at once.
 TEXTS = 500
 
@@ -91,13 +92,17 @@ class FileReader:
         return np.frombuffer(raw, f"<u{self.width}")
 
 
+#: White space that is not one character between two others.
+_ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
+
+
 class Encoder:
-    """Tokens of whole texts, remembering those of pieces between single spaces.
+    """Tokens of whole texts, remembering those of words.
 
-    The byte-level rule never joins a space with what stands before it, so a text without adjacent
-    white space falls into its pieces, each but the first with its leading space; a comma or full
-    stop after a letter and a line feed between two other characters are tokens of their own. Any
-    other text is encoded at once.
+    The byte-level rule never joins white space with what stands before it, so a text without adjacent
+    white space falls into lines, and a line into words, each but the first with its leading space; a
+    comma or full stop after a letter at a word's end is a token of its own. Any other text, and one
+    that holds the string of a special token, is encoded at once.
     """
 
     def __init__(self, path: str):
@@ -105,11 +110,14 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
+        self.remembered = 0
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.marks = {c: self.encode(c) for c in ",.\n"}  # equal texts, so also for parts of that name
+        tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
+        self.tab = tab[0] if len(tab) == 1 else None
+        self.line, self.marks = self.encode("\n"), {c: self.encode(c) for c in ",."}
 
     def packed(self, ids: list[int]) -> bytes:
         return array("H" if self.width == 2 else "I", ids).tobytes()
@@ -117,43 +125,43 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def parts(self, word: str, space: str) -> list[str]:
-        """What ``space + word`` is made of: texts to encode on their own, and marks."""
-        lines, out = word.split("\n"), []
-        if not all(lines):
-            return [space + word]
-        for k, line in enumerate(lines):
-            if k:
-                out.append("\n")
-                space = ""
-            if len(line) > 1 and line[-1] in ",." and line[-2].isalpha():
-                out += [space + line[:-1], line[-1]]
-            else:
-                out.append(space + line)
-        return out
-
-    def learn(self, words: Iterable[str], known: dict[str, bytes], space: str) -> None:
-        """Add the tokens of ``space + word`` for each word that is not known yet; one call for all."""
-        if len(known) > CACHE:
-            known.clear()
-        new = {w: self.parts(w, space) for w in words if w not in known}
-        texts = list({t for parts in new.values() for t in parts} - self.marks.keys())
-        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        made = dict(zip(texts, map(self.packed, ids))) | self.marks
-        known.update((w, b"".join([made[t] for t in parts])) for w, parts in new.items())
+    def learn(self, words: set[str], known: dict[str, bytes], space: str) -> None:
+        """Add the tokens of ``space + word`` for each word that is not known yet.
+
+        Words are encoded in one text with a tab between two, which is a token of its own there.
+        """
+        marked = [w for w in words.difference(known) if w.endswith((",", ".")) and w[-2:-1].isalpha()]
+        new = words.difference(known, marked).union(w[:-1] for w in marked).difference(known)
+        self.remembered += sum(map(len, new)) + sum(map(len, marked))
+        plain = [w for w in new if "\t" not in w]
+        ids = np.array(self.tokenizer.encode_batch_fast([space + f"\t{space}".join(plain)], add_special_tokens=False)[0].ids if plain else [], f"<u{self.width}")
+        tabs = np.flatnonzero(ids == self.tab)
+        if self.tab is None or len(tabs) != len(plain) - 1:
+            plain, tabs = [], tabs[:0]
+        raw, ends = ids.tobytes(), ((tabs + 1) * self.width).tolist()
+        for w, begin, end in zip(plain, [0, *ends], [*ends, len(raw) + self.width]):
+            known[w] = raw[begin : end - self.width]
+        for w in new if not plain else (w for w in new if "\t" in w):
+            known[w] = self.encode(space + w)
+        for w in marked:
+            known[w] = known[w[:-1]] + self.marks[w[-1]]
 
     def tokens(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Tokens of each text, in order."""
+        if self.remembered > CACHE:
+            self.pieces.clear()
+            self.first.clear()
+            self.remembered = 0
         split = []
         for text in texts:
-            words = text.split()
-            alone = len(text) - sum(map(len, words)) == len(words) - 1
-            split.append(text.split(" ") if alone else None)
-        self.learn({w[0] for w in split if w}, self.first, "")
-        self.learn(set().union(*(w[1:] for w in split if w)), self.pieces, " ")
-        for text, words in zip(texts, split):
-            if words:
-                raw = self.first[words[0]] + b"".join(map(self.pieces.__getitem__, words[1:]))
+            alone = text and not _ODD_SPACE.search(text)
+            split.append([line.split(" ") for line in text.split("\n")] if alone and not any(t in text for t in self.special) else None)
+        lines = [line for one in split if one for line in one]
+        self.learn({line[0] for line in lines}, self.first, "")
+        self.learn(set().union(*(line[1:] for line in lines)), self.pieces, " ")
+        for text, one in zip(texts, split):
+            if one:
+                raw = self.line.join([self.first[line[0]] + b"".join(map(self.pieces.__getitem__, line[1:])) for line in one])
             else:
                 raw = self.encode(text) if text else b""
             yield np.frombuffer(raw, f"<u{self.width}")
@@ -204,7 +212,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0)
             rows.append((part, len(rows), path, len(file.ids), n))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in MANIFEST.split(", ")])
 
-    ordered = documents(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # a digest sets rows of one id apart, so that they fall into several ranges
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = documents(docs).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return stored(ordered.mapInPandas(write, MANIFEST), "token-manifest")
 
 
@@ -256,8 +266,9 @@ def read_some(paths: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
     """Write ``docs`` (doc_id, text) as token files in the shared folder and read them all back.
 
-    A null text is an empty one: its frame holds the end id only. Null ids come first; repeated ids
-    are ordered by text; other columns are ignored. An empty table writes no file and gives no row.
+    A null text is an empty one: its frame holds the end id only. Null ids come first; rows of one id
+    are ordered by a digest of their text; other columns are ignored. The string of a special token
+    in a text is that token, as the tokenizer has it. An empty table writes no file and gives no row.
     """
     if vocabulary is None:
         import public_tokenizers

@@ -279,9 +279,7 @@ def plain_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def brute_tokens(rows, tokenizer):
@@ -309,7 +307,8 @@ def test_long_word_lists_equal_the_tokenizer():
 
     enc, tokenizer = token_file.Encoder(public_tokenizers.path("byte_bpe_50k.json")), plain_tokenizer()
     lines = "\n".join(random.Random(6).choices(["word", "Word.", "it's,", "12,", "é,", "."], k=100_000))
-    texts = [lines, "two " + lines, "a\n\nb", "a\n", "\na b", "\n"]
+    texts = [lines, "two " + lines, "a\n\nb", "a\n", "\na b", "\n", "a <|endoftext|> b", "x<|endoftext|>y z"]
+    assert 50256 in tokenizer.encode(texts[-1], add_special_tokens=False).ids
     for text, got in zip(texts, enc.tokens(texts)):
         assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
