@@ -257,10 +257,9 @@ def keep_first(docs: DataFrame, repeats: bool = True) -> DataFrame:
     others. Of rows of one id, the one of the smallest text digest is first; those equal to it in id
     and text stay with it if ``repeats``, else exactly one row of a class stays.
     """
-    rows = kept_whole(docs, key=row_key(), text=F.coalesce("text", F.lit("")))
-    if not repeats:
-        rows = stored(kept_whole(docs, key=row_key(F.monotonically_increasing_id()), text=F.coalesce("text", F.lit(""))), "rows")
-    gone = classes_of(rows.select(F.col("key").alias("doc_id"), "text")).where("doc_id <> class_id").select(F.col("doc_id").alias("key"))
+    rows = kept_whole(docs, key=row_key()) if repeats else stored(kept_whole(docs, key=row_key(F.monotonically_increasing_id())), "rows")
+    texts = rows.select(F.col("key").alias("doc_id"), F.coalesce("row.text", F.lit("")).alias("text"))
+    gone = classes_of(texts).where("doc_id <> class_id").select(F.col("doc_id").alias("key"))
     return rows.join(gone, "key", "left_anti").select("row.*")
 
 
