@@ -98,6 +98,30 @@ def test_trees_add_spans_that_look_like_accepted_ones(spark):
     assert all("card" not in got[i].spans for i in range(0, 600, 2)), "refused serial numbers stay out"
 
 
+def test_disguised_spans_are_added(spark):
+    rng = random.Random(2)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    texts = []
+    for i in range(400):
+        user, host = name(), name()
+        mail = f"write to {user}@{host}.com now" if i % 2 else f"rate of {user}@{host}: low"
+        ip = f"server {rng.randint(1, 255)}.{rng.randint(1, 255)}.{rng.randint(1, 255)}.7 is up" if i % 2 else f"version={rng.randint(300, 999)}.1.2.3x"
+        texts.append(f"{mail} and {ip}")
+    hidden = ["write to jane (at) acme (dot) com now", "write to joe[at]corp[dot]org now", "the server 10,20,30,7 is up"]
+    docs = spark.createDataFrame(list(enumerate(texts + hidden)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    check_base(got.values(), dict(enumerate(texts + hidden)))
+    assert [got[400 + i].spans for i in range(3)] == ["email:9:33", "email:9:28", "ip:11:21"]
+    assert all("ip" not in got[i].spans and "email" not in got[i].spans for i in range(0, 400, 2)), "what fails the checks stays out"
+
+
+@pytest.mark.parametrize("texts", [["write to a@b.com"], ["no span"], ["a@b", "1.2.3.4", None]])
+def test_few_spans_still_give_a_model(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert (pii.train(docs) is None) == (texts == ["no span"])
+    check_base(pii.find(docs).collect(), dict(enumerate(texts)))
+
+
 def test_tree_expression_equals_the_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
