@@ -31,10 +31,10 @@ NO_ID = -(1 << 63)
 LEVEL = 3
 #: A file is closed after so many documents or bytes.
 FILE_DOCS, FILE_BYTES = 1 << 17, 256 << 20
-#: Characters of text pieces whose tokens a worker remembers.
-CACHE = 12_000_000
-#: Texts encoded at once.
-TEXTS = 500
+#: Characters of text pieces whose tokens a worker remembers, between tasks too (about 25 bytes each).
+CACHE = 4_000_000
+#: Texts encoded at once, and words of them that the tokenizer takes at once.
+TEXTS, WORDS_AT_ONCE = 500, 8_192
 
 
 class FileWriter:
@@ -134,14 +134,18 @@ class Encoder:
         new = words.difference(known, marked).union(w[:-1] for w in marked).difference(known)
         self.remembered += sum(map(len, new)) + sum(map(len, marked))
         plain = [w for w in new if "\t" not in w]
-        ids = np.array(self.tokenizer.encode_batch_fast([space + f"\t{space}".join(plain)], add_special_tokens=False)[0].ids if plain else [], f"<u{self.width}")
-        tabs = np.flatnonzero(ids == self.tab)
-        if self.tab is None or len(tabs) != len(plain) - 1:
-            plain, tabs = [], tabs[:0]
-        raw, ends = ids.tobytes(), ((tabs + 1) * self.width).tolist()
-        for w, begin, end in zip(plain, [0, *ends], [*ends, len(raw) + self.width]):
-            known[w] = raw[begin : end - self.width]
-        for w in new if not plain else (w for w in new if "\t" in w):
+        alone = [w for w in new if "\t" in w]
+        for k in range(0, len(plain), WORDS_AT_ONCE):
+            part = plain[k : k + WORDS_AT_ONCE]
+            raw = np.array(self.tokenizer.encode_batch_fast([space + f"\t{space}".join(part)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            tabs = np.flatnonzero(raw == self.tab)
+            if self.tab is None or len(tabs) != len(part) - 1:
+                alone += part
+                continue
+            raw, ends = raw.tobytes(), ((tabs + 1) * self.width).tolist()
+            for w, begin, end in zip(part, [0, *ends], [*ends, len(raw) + self.width]):
+                known[w] = raw[begin : end - self.width]
+        for w in alone:
             known[w] = self.encode(space + w)
         for w in marked:
             known[w] = known[w[:-1]] + self.marks[w[-1]]
