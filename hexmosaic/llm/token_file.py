@@ -32,7 +32,7 @@ LEVEL = 3
 #: A file is closed after so many documents or bytes.
 FILE_DOCS, FILE_BYTES = 1 << 17, 256 << 20
 #: Characters of text pieces whose tokens a worker remembers, between tasks too (about 25 bytes each).
-CACHE = 4_000_000
+CACHE = 12_000_000
 #: Texts encoded at once, and words of them that the tokenizer takes at once.
 TEXTS, WORDS_AT_ONCE = 500, 8_192
 
@@ -113,7 +113,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
-        self.remembered = 0
+        self.remembered, self.most = 0, CACHE
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
         self.tab = tab[0] if len(tab) == 1 else None
@@ -152,7 +152,7 @@ class Encoder:
 
     def tokens(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Tokens of each text, in order."""
-        if self.remembered > CACHE:
+        if self.remembered > self.most:
             self.pieces.clear()
             self.first.clear()
             self.remembered = 0
@@ -184,17 +184,19 @@ def encoder(path: str) -> Encoder:
 MANIFEST = "part int, file int, path string, n_docs long, n_tokens long"
 
 
-def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0, remember: int = CACHE) -> DataFrame:
     """Encode ``docs`` in ascending doc_id order into files below ``folder``; returns the manifest.
 
     The manifest is a written table with a row per file. A repeated attempt writes files of its own
-    and only those of the attempt that counts are listed.
+    and only those of the attempt that counts are listed. Workers remember the tokens of ``remember``
+    characters of words, also between tasks: fewer take less memory beside other work, and more time.
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = filesystem(folder)
         fs.create_dir(base, recursive=True)
         enc, part, file, rows = encoder(vocabulary), TaskContext.get().partitionId(), None, []
+        enc.most = remember
         end = np.array([end_id], f"<u{enc.width}")
         for b in batches:
             ids = b["doc_id"].astype("object").where(b["doc_id"].notna(), None)
@@ -267,7 +269,7 @@ def read_some(paths: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
     return paths.join(wanted, "path").groupBy("path").applyInPandas(read, "doc_id long, tokens array<long>")
 
 
-def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, remember: int = CACHE) -> DataFrame:
     """Write ``docs`` (doc_id, text) as token files in the shared folder and read them all back.
 
     A null text is an empty one: its frame holds the end id only. Null ids come first; rows of one id
@@ -279,7 +281,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int
 
         vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     folder = new_folder(docs.sparkSession, "tokens")
-    return read_digests(write_tokens(docs, folder, vocabulary, end_id), folder)
+    return read_digests(write_tokens(docs, folder, vocabulary, end_id, remember), folder)
 
 
 def op5_token_file(spark, sf_dir):
