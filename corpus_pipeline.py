@@ -33,9 +33,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_mix(docs, mixing.mix(docs))
 
 
+#: Word tokens that workers remember, in characters: they outlive the stage beside the memory of others.
+REMEMBER = 4_000_000
+
+
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back: doc_id, start, n_tokens, ids_crc32."""
-    return token_file.encode_documents(docs)
+    return token_file.encode_documents(docs, remember=REMEMBER)
 
 
 STAGES = [
