@@ -530,6 +530,9 @@ ORACLES: dict[str, str] = {
         SELECT b.h3, sum(nb.population) FILTER (WHERE ring <= 1) AS population_k1, sum(nb.n_pixels) FILTER (WHERE ring <= 1)::INT AS n_pixels_k1,
           sum(nb.population) AS population_k2, sum(nb.n_pixels)::INT AS n_pixels_k2
         FROM pop b, dsk JOIN pop nb ON nb.h3 = b.h3 + dsk.o GROUP BY b.h3""",
+    "neighbour_sums_wide": f"""{QPOP}, dsk(o, ring) AS (VALUES {disk(20)})
+        SELECT b.h3, round(sum(nb.population), 6) AS population_k20, sum(nb.n_pixels)::INT AS n_pixels_k20
+        FROM pop b, dsk JOIN pop nb ON nb.h3 = b.h3 + dsk.o GROUP BY b.h3""",
     "hex_features": f"""WITH {ELEMENT_CTES}, {GRID_CTES}, {RASTER}, ins AS (SELECT DISTINCT source_id FROM {inside('staged', 'source_id')}),
         clipped AS (SELECT * FROM staged WHERE source_id IN (FROM ins)), {features('grid', 'clipped')} SELECT {FEATURE_COLS} FROM feats""",
     "data_gap": f"""WITH {ELEMENT_CTES}, {RASTER}, {POINT_GRID}, {features('point_grid')}

@@ -255,6 +255,12 @@ def neighbour_sums(spark, sf):
     return grid.select("h3").join(sums, "h3", "left").na.fill(0)
 
 
+def neighbour_sums_wide(spark, sf):
+    pop = population.population_by_cell(pixels(spark, sf), point_grid(spark, sf), RES)
+    sums = features.wide_sums(pop.select("h3", "population", "n_pixels"), ["population", "n_pixels"], 20)
+    return sums.select("h3", r6("population_k20"), "n_pixels_k20")
+
+
 def _rounded(f: DataFrame) -> DataFrame:
     digits = {"lat", "lng", "population", "poi_category_entropy", "poi_per_1k_pop"}
     return f.select(*[r6(c) if c in digits or c.startswith("population_k") else F.col(c) for c in f.columns])
@@ -607,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         group_counts,
         category_entropy,
         neighbour_sums,
+        neighbour_sums_wide,
         hex_features,
         data_gap,
         service_gaps,

@@ -98,3 +98,19 @@ def test_neighbour_sums_of_any_numbers(spark):
     assert got[c] == got[c + 1] == (-3, 1.75) and got[c - 1] == (-5, -1.5)
     one = {r.h3: r.x_k1 for r in features.neighbour_sums(df, ["x"], [1]).collect()}
     assert one[c] == 1.75
+
+
+def test_wide_sums_equal_scattered_ones(spark):
+    k, rows = 6, []
+    start = spark.range(1).select(hx.cell(F.lit(11.5), F.lit(104.9), 8)).first()[0]
+    for i, r in enumerate(spark.range(1).select(F.explode(hx.grid_disk(F.lit(start), 9)).alias("h3")).collect()):
+        rows.append((r.h3, [0, None, i, -i][i % 4], [0.0, i / 7, None, -0.1][i % 4 if i % 3 else 0]))
+    df = spark.createDataFrame(rows, "h3 long, n int, x double")
+    got = {r.h3: (r.n_k6, r.x_k6) for r in features.wide_sums(df, ["n", "x"], k).collect()}
+    want = {r.h3: (r.n_k6, r.x_k6) for r in features.neighbour_sums(df, ["n", "x"], [k]).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for h, (n, x) in got.items():
+        assert n == (want[h][0] or 0) and abs(x - (want[h][1] or 0)) < 1e-6
+    filled = sum(1 for r in rows if r[1] or r[2])
+    assert features.row_ends(df, ["n", "x"], k).count() == filled * 2 * (2 * k + 1)
+    assert features.wide_sums(df.limit(0), ["n", "x"], k).count() == 0

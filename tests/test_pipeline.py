@@ -75,7 +75,7 @@ def test_pipeline_end_to_end_and_freshness(spark, sf, tmp_path):
 
 def test_plans_stay_in_the_jvm_and_join_on_keys(spark, sf):
     for name in (
-        "stage_osm", "population_by_cell", "group_counts", "polyfill_overlap", "neighbour_sums", "admin_tags",
+        "stage_osm", "population_by_cell", "group_counts", "polyfill_overlap", "neighbour_sums", "neighbour_sums_wide", "admin_tags",
         "clip_and_index", "hex_features", "match_points", "dedupe_pois", "utm_area", "checksums", "match_far_north",
     ):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
