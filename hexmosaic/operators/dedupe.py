@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import text
-from hexmosaic.session import Rounds, cut_lineage
+from hexmosaic.session import Rounds, cut_lineage, unsent
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -26,10 +26,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while now != before:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(unsent(low), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
+        small = large.join(unsent(low), "u").select(
             F.inline(
                 F.array(
                     F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
@@ -69,30 +69,32 @@ def rare_first(sites: DataFrame) -> DataFrame:
     each = sites.select("site", F.explode("grams").alias("g"))
     counts = each.groupBy("g").agg(F.count("*").alias("n"))
     ordered = each.join(counts, "g").groupBy("site").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("by_count"))
-    return sites.join(ordered, "site").select("*", F.col("by_count.g").alias("ordered")).drop("by_count")
+    return sites.join(unsent(ordered), "site").select("*", F.col("by_count.g").alias("ordered")).drop("by_count")
 
 
 def gram_candidates(sites: DataFrame, min_similarity: float = 0.5) -> DataFrame:
     """(a, b, grams_a, grams_b): pairs of sites of different sources, in the same or a neighbouring cell, that may be similar.
 
     Similar names share one of their first grams in any common order, and in the order from the
-    rarest on a common stem comes last. A pair is told by the first gram both share there; sizes too
-    different, or too few grams after that one, rule it out before the sets are compared.
+    rarest on a common stem comes last. Sizes too different, or too few grams after the shared one, rule
+    a pair out before the sets are compared. Rows that meet are repeated by gram and cell, so they hold
+    no sets; these join the pairs that are left.
     """
     t = min_similarity - 1e-9
     size = F.size("ordered")
-    sites = sites.select("site", "source", "cell", "ordered", size.alias("n"), F.posexplode(F.slice("ordered", 1, size - F.ceil(size * F.lit(t)).cast("int") + 1)).alias("pos", "g"))
-    a = sites.withColumnsRenamed({"site": "a", "source": "source_a", "ordered": "grams_a", "n": "na", "pos": "pa"})
-    b = sites.withColumnsRenamed({"site": "b", "source": "source_b", "ordered": "grams_b", "n": "nb", "pos": "pb", "cell": "cell0"})
+    first = sites.select("site", "source", "cell", size.alias("n"), F.posexplode(F.slice("ordered", 1, size - F.ceil(size * F.lit(t)).cast("int") + 1)).alias("pos", "g"))
+    a = first.withColumnsRenamed({"site": "a", "source": "source_a", "n": "na", "pos": "pa"})
+    b = first.withColumnsRenamed({"site": "b", "source": "source_b", "n": "nb", "pos": "pb", "cell": "cell0"})
     b = b.select("*", F.explode(hx.grid_disk(F.col("cell0"), 1)).alias("cell")).drop("cell0")
-    hit = a.join(b, ["cell", "g"]).where(F.col("source_a") < F.col("source_b"))
+    hit = a.join(unsent(b), ["cell", "g"]).where(F.col("source_a") < F.col("source_b"))
     lengths = F.col("nb").between(F.col("na") * t, F.col("na") / t)
     left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))  # this gram and those after it
     enough = left >= F.ceil((F.col("na") + F.col("nb")) * F.lit(t / (1 + t)) - 1e-6)
-    hit = hit.where(lengths & enough)
-    # told once: no earlier gram of a is among b's earlier ones
-    first = F.size(F.array_intersect(F.slice("grams_a", 1, F.col("pa")), F.slice("grams_b", 1, F.col("pb")))) == 0
-    return hit.where(first).select("a", "b", "grams_a", "grams_b")
+    # the first gram leaves the most, so a later one lets no other pair through
+    told = hit.where(lengths & enough).select("a", "b").distinct()
+    sets = sites.select("site", "ordered").distinct()
+    told = told.join(unsent(sets.withColumnsRenamed({"site": "a", "ordered": "grams_a"})), "a")
+    return told.join(unsent(sets.withColumnsRenamed({"site": "b", "ordered": "grams_b"})), "b").select("a", "b", "grams_a", "grams_b")
 
 
 def duplicate_pairs(sites: DataFrame, min_similarity: float = 0.5) -> DataFrame:
@@ -105,13 +107,13 @@ def duplicate_groups(pois: DataFrame, index_res: int = 11, min_similarity: float
     """POIs with ``dup_group_id``: records joined by chains of duplicates share one."""
     sites = cut_lineage(duplicate_sites(pois, index_res))
     comp = connected_components(duplicate_pairs(sites, min_similarity))
-    named = sites.join(comp.withColumnRenamed("node", "site"), "site").select(
+    named = sites.join(unsent(comp.withColumnRenamed("node", "site")), "site").select(
         "source", F.col("cell").alias(f"h3_res{index_res}"), F.col("name").alias("_norm"), "component"
     )
     keyed = pois.withColumn("_norm", text.normalise_name(F.coalesce("name", F.lit(""))))
     own = F.concat_ws("|", "source", "source_id")
     return (
-        keyed.join(named, ["source", f"h3_res{index_res}", "_norm"], "left")
+        keyed.join(unsent(named), ["source", f"h3_res{index_res}", "_norm"], "left")
         .withColumn("dup_group_id", F.coalesce("component", own))
         .select(*pois.columns, "dup_group_id")
     )
@@ -139,4 +141,4 @@ def dedupe_pois(
         (-F.coalesce("confidence", F.lit(-1.0))).alias("conf"), rank.alias("src"), F.col("source_id").alias("sid")
     )
     best = grouped.groupBy("dup_group_id").agg(F.min_by("source", order).alias("_best"))
-    return grouped.join(cut_lineage(best), "dup_group_id").where(F.col("source") == F.col("_best")).select(*grouped.columns)
+    return grouped.join(unsent(cut_lineage(best)), "dup_group_id").where(F.col("source") == F.col("_best")).select(*grouped.columns)

@@ -13,7 +13,7 @@ from hexmosaic.functions import geo, rules, text
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators import admin, catalog, checks, clip, dedupe, features, match, polyfill, polygons, pois, population
 from hexmosaic.plans import derived as d
-from hexmosaic.session import cut_lineage, new_path
+from hexmosaic.session import cut_lineage, new_path, unsent
 from hexmosaic.sources import readers, sinks
 
 RES = 8
@@ -395,18 +395,16 @@ def agreement(spark, sf):
 def _two_sources(spark, sf) -> DataFrame:
     """Places and a second source telling of the same customers a few metres away."""
     a = pois.stage_places(d.places(spark, sf), 0.0)
-    t = d.places(spark, sf).drop("lat", "lng").join(
-        d.truth(spark, sf).select(
-            F.concat(F.lit("p"), F.col("id").cast("string")).alias("id"),
-            F.col("name").alias("other"),
-            F.lit(0.1).alias("w"),
-            F.col("lat").alias("tlat"),
-            F.col("lng").alias("tlng"),
-        ),
-        "id",
+    told = d.truth(spark, sf).select(
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("id"),
+        F.col("name").alias("other"),
+        F.lit(0.1).alias("w"),
+        F.col("lat").alias("tlat"),
+        F.col("lng").alias("tlng"),
     )
+    t = d.places(spark, sf).drop("lat", "lng").join(unsent(told), "id")
     near = d.places(spark, sf).select("id", F.col("lat").alias("plat"), F.col("lng").alias("plng"))
-    t = t.join(near, "id").select(
+    t = t.join(unsent(near), "id").select(
         *[c for c in t.columns if c not in ("names", "other", "w", "tlat", "tlng")],
         F.struct(F.col("other").alias("primary"), F.col("names.common").alias("common")).alias("names"),
         (F.col("plat") + (F.col("tlat") - F.col("plat")) * F.col("w")).alias("lat"),

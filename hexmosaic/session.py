@@ -68,6 +68,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that Spark sorts and never broadcasts.
+
+    For sides that grow with the input: their files, or the rows before an explode, can be a hundred
+    times smaller than what a broadcast would hold in the driver's memory.
+    """
+    return df.hint("merge")
+
+
 class Rounds:
     """Lineage cuts of a loop, in two tables that take turns, so storage does not grow with rounds.
 

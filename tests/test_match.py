@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hexmosaic.functions import geo, text
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators import closest, dedupe, match
+from hexmosaic.session import cut_lineage
 
 SCHEMA = "id long, lat double, lng double, name string"
 
@@ -292,3 +293,12 @@ def test_a_common_stem_gives_few_duplicate_candidates(spark):
     # of 90,000 pairs, at the stricter similarity only those that share a rare gram are looked at
     asked = dedupe.gram_candidates(dedupe.rare_first(sites), 0.97).count()
     assert asked <= 5 * len(links)
+
+
+def test_duplicate_candidates_are_not_broadcast(spark):
+    # rows repeated by gram and cell, however small the files of the sites are, stay out of the driver's memory
+    rows = [(s, f"{s}{i}", f"stem {i}", 7) for s in ("a", "b") for i in range(20)]
+    p = spark.createDataFrame(rows, "source string, source_id string, name string, h3_res11 long")
+    sites = cut_lineage(dedupe.duplicate_sites(p))
+    plan = dedupe.gram_candidates(sites.withColumn("ordered", F.sort_array("grams")), 0.9)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
