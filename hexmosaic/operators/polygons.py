@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import geo
-from hexmosaic.session import bind, cut_lineage
+from hexmosaic.session import bind, cut_lineage, unsent
 
 BAND_DEG = 0.01
+#: Columns of its level that a part spans at most, but for one more at its border.
+COLUMNS = 8
 
 
 def dump_parts(areas: DataFrame, geometry: str = "geometry") -> DataFrame:
@@ -115,20 +117,18 @@ def points_in_parts(
 ) -> DataFrame:
     """Exact point-in-polygon by ray parity: distinct ``(key, part)`` pairs, boundary included.
 
-    Equi-join on the latitude band, so each point meets only the edges of its band; with
-    ``own_part`` the points name the one part they are tested against. The parity aggregate has a
-    map-side combine that folds a point's edges before the shuffle. Large point sets go through
-    ``clip.clip_points``, which tests only the few edges of a point's own cell.
+    Equi-join on the latitude band and a column, so each point meets only the edges of its band that
+    belong to parts around its column and do not lie west of that. A level of columns holds parts of
+    about one width, which span COLUMNS of them at most; a part whose extent leaves a point out has
+    an even number of crossings. With ``own_part`` the points name the one part they are tested
+    against. The parity aggregate has a map-side combine that folds a point's edges before the
+    shuffle. Large point sets go through ``clip.clip_points``, which tests only the few edges of a
+    point's own cell.
     """
-    lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
-    e = edges.select(part, "x1", "y1", "x2", "y2", F.explode(F.sequence(band(lo), band(hi))).alias("band"))
-    on = ["band", part] if own_part else ["band"]
-    p = points.select(key, "lat", "lng", band(F.col("lat")).alias("band"), *on[1:])
     lat, lng = F.col("lat"), F.col("lng")
-    east = lng <= F.greatest("x1", "x2")
-    hits = p.join(e, on).where(east & lat.between(lo, hi))
     return (
-        hits.groupBy(key, "lat", "lng", part)
+        edges_met(points, edges, key, part, own_part)
+        .groupBy(key, "lat", "lng", part)
         .agg(
             F.sum(crosses_ray(lat, lng).cast("int")).alias("n"),
             F.max(on_edge(lat, lng)).alias("edge"),
@@ -139,6 +139,26 @@ def points_in_parts(
     )
 
 
+def edges_met(points: DataFrame, edges: DataFrame, key: str, part: str, own_part: bool = False) -> DataFrame:
+    """Points with the edges of their band that reach their latitude, not west of them, of parts around their column."""
+    lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
+    extents = edges.groupBy(part).agg(F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east"))
+    level = F.greatest(F.ceil(F.log2((F.col("east") - F.col("west")) / F.lit(BAND_DEG * COLUMNS))), F.lit(0)).cast("int")
+    extents = extents.select(F.col(part).alias("_part"), "west", F.coalesce(level, F.lit(0)).alias("level"))
+    column = lambda x: F.floor(x / (F.lit(BAND_DEG) * F.pow(F.lit(2.0), F.col("level"))))
+    e = edges.select(part, "x1", "y1", "x2", "y2").join(unsent(extents), F.col(part).eqNullSafe(F.col("_part")))
+    e = e.select(part, "x1", "y1", "x2", "y2", "level", F.explode(F.sequence(column(F.col("west")), column(F.greatest("x1", "x2")))).alias("column"))
+    e = e.select("*", F.explode(F.sequence(band(lo), band(hi))).alias("band"))
+    on = ["band", "column", "level", part] if own_part else ["band", "column", "level"]
+    # a level for each power of two of widths, so never more than a few rows
+    levels = F.broadcast(extents.select("level").distinct())
+    p = points.select(key, "lat", "lng", band(F.col("lat")).alias("band"), *on[3:]).crossJoin(levels)
+    p = p.withColumn("column", column(F.col("lng")))
+    lat, lng = F.col("lat"), F.col("lng")
+    east = lng <= F.greatest("x1", "x2")
+    return p.join(unsent(e), on).where(east & lat.between(lo, hi))
+
+
 def surface_points(edges: DataFrame, part: str = "part_id") -> DataFrame:
     """(part, lat, lng) of a point inside every polygon: the middle of the widest interval that
     the polygon cuts from its middle parallel."""

@@ -251,3 +251,56 @@ def test_empty_and_broken_wkt(spark):
     got = [r[0] for r in df.select(geo.multipolygon_from_wkt(F.col("t"))).collect()]
     assert got[0] == [] and got[1] == [] and got[2] is None and got[4] is None
     assert got[3][0][0][0]["x"] is None and got[5][0][0][1]["x"] == 1.0
+
+
+def squares(n, at, apart, side):
+    """Squares in a row, with their part ids."""
+    x, y = at
+    ring = lambda a: [(a, y), (a + side, y), (a + side, y + side), (a, y + side)]
+    return [(i, [ring(x + i * apart)]) for i in range(n)]
+
+
+def test_points_meet_the_edges_around_them_only(spark):
+    """Parts side by side in one latitude band, and one below all of them: a point meets few of their edges."""
+    shapes = squares(80, (103.0, 11.501), 0.05, 0.008) + [(99, [[(102.0, 11.4), (108.0, 11.4), (108.0, 11.505), (102.0, 11.505)]])]
+    parts = spark.createDataFrame(shapes, f"part_id int, polygon {geo.POLYGON}")
+    pts = [(i, 11.50303 + 0.0001 * (i % 50), 103.0013 + 0.0125 * i) for i in range(320)] + [(400, 11.501, 103.0), (401, None, 103.0)]
+    p = spark.createDataFrame(pts, "id int, lat double, lng double")
+    e = polygons.ring_edges(parts)
+    got = sorted(map(tuple, polygons.points_in_parts(p, e, "id").collect()))
+    want = {(i, k) for i, a, b in pts[:-2] for k, r in shapes if brute_inside(b, a, r)} | {(400, 0), (400, 99)}
+    assert got == sorted(want)
+    own = p.select("*", (F.col("id") % 80).cast("int").alias("part_id"))
+    kept = polygons.points_in_parts(own, e, "id", own_part=True).collect()
+    assert sorted(map(tuple, kept)) == sorted(x for x in want if x[1] == x[0] % 80)
+    assert polygons.edges_met(p, e, "id", "part_id").count() <= 6 * len(pts)
+
+
+def test_crowded_parts_get_finer_cells(spark):
+    """A position meets few edges however coarse the cells asked for are."""
+    ring = comb(104.9, 11.5, 0.3, 0.25, 300)
+    plain = [(103.0, 11.0), (104.0, 11.0), (104.0, 12.0), (103.0, 12.0)]
+    p = spark.createDataFrame([(1, [ring]), (2, [plain])], f"part_id int, polygon {geo.POLYGON}")
+    steps = [(r, c.select("part_id", "h3", F.size("edges").alias("n")).collect()) for r, c in clip.levels(p, 4)]
+    assert {x.part_id for x in steps[0][1]} == {2} and {x.part_id for r, c in steps[1:] for x in c} == {1}
+    sizes = [x.n for x in steps[-1][1] if x.n and x.n > 0]
+    assert sum(sizes) <= 64 * len(sizes)
+    rng = np.random.default_rng(3)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(11.4, 11.8, 600), rng.uniform(103.8, 105.3, 600)))]
+    s = spark.createDataFrame(pts + pts[:50], "id int, lat double, lng double")
+    want = [(i, k) for i, a, b in pts for k, r in ((1, ring), (2, plain)) if brute_inside(b, a, [r])]
+    assert sorted(map(tuple, clip.locate_points(s, p, 4, "id").collect())) == sorted(want)
+    ids = {i for i, _ in want}
+    assert sorted(r.id for r in clip.clip_points(s, p, 4).collect()) == sorted([i for i in ids] + [i for i in ids if i < 50])
+
+
+def test_rows_in_interior_cells_are_not_shuffled(spark, monkeypatch):
+    big = [(104.0, 11.0), (105.0, 11.0), (105.0, 12.0), (104.0, 12.0)]
+    small = [(104.5, 11.5), (104.52, 11.5), (104.52, 11.52), (104.5, 11.52)]
+    p = spark.createDataFrame([(1, [big]), (2, [small])], f"part_id int, polygon {geo.POLYGON}")
+    pts = [(i, 11.49 + 0.0004 * (i % 100), 104.49 + 0.0005 * i) for i in range(100)]
+    asked = []
+    inside = clip._inside
+    monkeypatch.setattr(clip, "_inside", lambda points, *a: asked.append(points.count()) or inside(points, *a))
+    got = clip.clip_points(spark.createDataFrame(pts, "id int, lat double, lng double"), p, 8)
+    assert sorted(r.id for r in got.collect()) == list(range(100)) and asked == [0]
