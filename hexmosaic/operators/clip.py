@@ -8,7 +8,9 @@ edges that meet the cell can cross the segment. Points exactly on an edge are in
 The edges of a border cell lie in chunks: consecutive edges of one ring, CHUNK_EDGES at most. A
 position meets the chunks of its cell, and what their edges give is folded to one parity before
 anything is shuffled. So one plan serves cells of any number of edges, no row grows with them, and
-copies of a position, which one chunk of each cell counts, are decided together.
+copies of a position, which one chunk of each cell counts, are decided together. A polygon whose border
+cells hold many edges on average is cut to smaller cells first, so a position meets few edges however
+coarse the cells asked for are; where it meets an interior cell of any polygon, a clip keeps it at once.
 
 Sides of reference points come from the fill itself. It says whether a cell's centre is inside;
 from there a path runs along the lattice row to one of a few fixed places and then across the row to
@@ -18,15 +20,20 @@ are counted on the cell's edges, and of the few references the one farthest from
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators.polyfill import along_row, center_cells, edge_cells, row_crossings
 from hexmosaic.operators.polygons import ring_edges
-from hexmosaic.session import bind, cut_lineage
+from hexmosaic.session import bind, cut_lineage, unsent
 
 CHUNK_EDGES = 64
+#: Edges of a border cell, on average over a polygon, above which its cells get finer, and the finest of them.
+CROWDED, FINEST = 64, 14
 ATTACH_GROW = 0.01
 #: References: lattice columns along the row, then circumradii across it.
 SPOTS = [(-0.23, 0.31), (-0.16, -0.27), (-0.09, 0.19), (-0.03, -0.35), (0.04, 0.37), (0.11, -0.22), (0.17, 0.28), (0.22, -0.33)]
@@ -105,16 +112,38 @@ def _references(edges: DataFrame, local: DataFrame, res: int, key: str) -> DataF
     return each.groupBy(key, "h3").agg(F.max(F.struct("clear", "spot", "flip", "lead")).alias("ref"))
 
 
-def clip_cells(parts: DataFrame, res: int, key: str = "part_id") -> DataFrame:
+def _local(edges: DataFrame, res: int, key: str) -> DataFrame:
+    """Whole original edges with the cells they meet, a little generously: extra edges do not change parity."""
+    named = [key, "ring_id", "edge_ix", *ENDS]
+    return cut_lineage(edge_cells(edges.select(*named), res, named, grow=ATTACH_GROW).distinct())
+
+
+def levels(parts: DataFrame, res: int, key: str = "part_id") -> Iterator[tuple[int, DataFrame]]:
+    """(resolution, ``clip_cells`` of some parts at it): parts with crowded border cells go on to finer cells.
+
+    A part has more than CROWDED edges for each of its border cells, so finer border cells are not more
+    than its edges are.
+    """
+    while True:
+        local = _local(ring_edges(parts, key), res, key)
+        cells = local.groupBy(key, "h3").agg(F.count("*").alias("n")).groupBy(key).agg(F.avg("n").alias("n"))
+        crowded = cut_lineage(cells.where(F.col("n") > CROWDED).select(F.col(key).alias("_crowded")))
+        if res + 2 > FINEST or crowded.isEmpty():
+            yield res, clip_cells(parts, res, key, local)
+            return
+        same = F.col(key) == F.col("_crowded")
+        yield res, clip_cells(parts.join(crowded, same, "left_anti"), res, key, local.join(crowded, same, "left_anti"))
+        parts, res = cut_lineage(parts.join(crowded, same, "left_semi")), res + 2
+
+
+def clip_cells(parts: DataFrame, res: int, key: str = "part_id", local: DataFrame | None = None) -> DataFrame:
     """(key, h3, ref_in, cx, cy, lead, edges): a row per chunk of a border cell, and one per interior cell.
 
     ``edges`` is null in interior cells; (cx, cy) is the reference point, ``ref_in`` its side. One row
     of each (key, h3) is the ``lead``.
     """
     edges = ring_edges(parts, key)
-    named = [key, "ring_id", "edge_ix", *ENDS]
-    # whole original edges, a little generously: extra edges do not change parity
-    local = cut_lineage(edge_cells(edges.select(*named), res, named, grow=ATTACH_GROW).distinct())
+    local = _local(edges, res, key) if local is None else local
     refs = _references(edges, local, res, key)
     inside = center_cells(edges, res, key).select(key, "h3", F.lit(True).alias("centre_in"), F.lit(None).cast(refs.schema["ref"].dataType).alias("ref"))
     cells = inside.unionByName(refs.select("*", F.lit(False).alias("centre_in")))
@@ -132,12 +161,12 @@ def meeting(points: DataFrame, cells: DataFrame, res: int, by: list[str], key: s
     """(by, key, ref_in, cx, cy, lead, edges): points with the rows of their cell in ``cells``."""
     p = points.select(*by)
     p = bind(p, p.columns, _cell=hx.cell(F.col("lat"), F.col("lng"), res))
-    return p.join(cells, F.col("_cell") == F.col("h3")).select(*by, key, "ref_in", "cx", "cy", "lead", "edges")
+    return p.join(unsent(cells), F.col("_cell") == F.col("h3")).select(*by, key, "ref_in", "cx", "cy", "lead", "edges")
 
 
-def _inside(points: DataFrame, parts: DataFrame, res: int, by: list[str], key: str) -> DataFrame:
-    """Distinct (by, key) of points inside parts; ``by`` holds lat and lng."""
-    rows = meeting(points, clip_cells(parts, res, key), res, by, key)
+def _inside(points: DataFrame, cells: DataFrame, res: int, by: list[str], key: str) -> DataFrame:
+    """Distinct (by, key) of points inside parts, by the parts' cells; ``by`` holds lat and lng."""
+    rows = meeting(points, cells, res, by, key)
     rows = rows.select(*by, key, "ref_in", "cx", "cy", "lead", F.posexplode_outer("edges").alias("pos", "e"))
     rows = rows.select(*by, key, "ref_in", "cx", "cy", (F.col("lead") & (F.coalesce("pos", F.lit(0)) == 0)).cast("int").alias("copy"), "e.*")
     lat, lng = F.col("lat"), F.col("lng")
@@ -152,13 +181,29 @@ def clip_points(points: DataFrame, parts: DataFrame, res: int, seen: Observation
     """Rows of ``points`` (with lat, lng) inside any part, boundary included.
 
     The rows are written once to the shared folder, as positions are decided apart from them and have
-    to be the same doubles when they meet again; ``seen`` counts that write's ``rows``. The wide rows
-    are then shuffled once, to meet the positions inside.
+    to be the same doubles when they meet again; ``seen`` counts that write's ``rows``. Rows in an
+    interior cell of any part stay as they are; only the others are shuffled, to meet the positions
+    inside.
     """
     rows = cut_lineage(points.observe(seen, F.count("*").alias("rows")) if seen else points)
-    return rows.join(_inside(rows, parts, res, ["lat", "lng"], "part_id"), ["lat", "lng"], "left_semi").select(*rows.columns)
+    out, steps = [], list(levels(parts, res))
+    for k, (level, cells) in enumerate(steps):
+        cells = cut_lineage(cells)
+        whole = cells.where("edges is null").select(F.col("h3").alias("_whole")).distinct()
+        border = cells.where("edges is not null").join(whole, F.col("h3") == F.col("_whole"), "left_anti")
+        placed = bind(rows, rows.columns, _cell=hx.cell(F.col("lat"), F.col("lng"), level))
+        out.append(placed.join(whole, F.col("_cell") == F.col("_whole"), "left_semi").select(*points.columns))
+        left = placed.join(whole, F.col("_cell") == F.col("_whole"), "left_anti").select(*points.columns)
+        inside = _inside(left, border, level, ["lat", "lng"], "part_id")
+        if k + 1 < len(steps):
+            inside = cut_lineage(inside)
+        out.append(left.join(inside, ["lat", "lng"], "left_semi").select(*points.columns))
+        rows = left.join(inside, ["lat", "lng"], "left_anti").select(*points.columns)
+    return reduce(DataFrame.unionByName, out)
 
 
 def locate_points(points: DataFrame, parts: DataFrame, res: int, id_col: str, key: str = "part_id") -> DataFrame:
     """All (id, part) pairs of points inside parts, boundary included: the join form of the clip."""
-    return _inside(points, parts, res, [id_col, "lat", "lng"], key).select(id_col, key)
+    by = [id_col, "lat", "lng"]
+    every = [_inside(points, cells, level, by, key) for level, cells in levels(parts, res, key)]
+    return reduce(DataFrame.unionByName, every).select(id_col, key)
