@@ -374,3 +374,10 @@ def test_a_damaged_frame_is_found(tmp_path):
 def test_stored_tables_are_read_back(spark):
     df = stored(spark.range(5), "test")
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_all_proposed_spans_train(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "stored", lambda df, kind: seen.append(df.count()) or df.where("false"))
+    docs = spark.range(12_000).selectExpr("id as doc_id", "concat('write to a', id, '@b.com now') as text")
+    assert pii.train(docs) is None and seen == [12_000]
