@@ -36,15 +36,27 @@ def fold(doc_id: str | Column, mod: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % mod
 
 
+def _known(labels: DataFrame, label: str, kinds: tuple[int, ...], folds: int, held: int) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, label) of all labelled ids outside the held-out fold, each with its greatest label; counts by label."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    known = known.agg(F.max(label).cast("int").alias(label)).where(fold("doc_id", folds) != held)
+    return known, {k: 0 for k in kinds} | {r[0]: r[1] for r in known.groupBy(label).count().collect()}
+
+
+def all_labelled(docs: DataFrame, labels: DataFrame, label: str, kinds: tuple[int, ...], folds: int, held: int) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, text and label of every document with a label of ``kinds``; counts of labels. Rows as in ``labelled``."""
+    known, counts = _known(labels, label, kinds, folds, held)
+    ids = small_side(known.where(F.col(label).isin(*kinds)), sum(counts[k] for k in kinds))
+    return docs.join(ids, "doc_id").select("doc_id", "text", label), counts
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int], folds: int, held: int) -> tuple[DataFrame, dict[int, int]]:
     """doc_id, text and label of at most ``most[k]`` documents of each label k, by hash; all labels' counts.
 
     A document labelled several times counts once, with its greatest label. Rows of the held-out
     fold, and null ids or labels, are left out before.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    known = known.agg(F.max(label).cast("int").alias(label)).where(fold("doc_id", folds) != held)
-    counts = {k: 0 for k in most} | {r[0]: r[1] for r in known.groupBy(label).count().collect()}
+    known, counts = _known(labels, label, tuple(most), folds, held)
     order = F.xxhash64("doc_id", F.lit(17))
     picked = [known.where(F.col(label) == k).orderBy(order, "doc_id").limit(n) for k, n in most.items()]
     ids = docs.sparkSession.createDataFrame(reduce(DataFrame.union, picked).toPandas(), f"doc_id long, {label} int")

@@ -5,6 +5,10 @@ in a document's features, and the chance that it beats another one is the logist
 difference; the weights minimise the logistic loss over such pairs. Only differences count in
 training, so the cut comes from a quantile of scores: that of the share of labels 0, taken on
 scores of documents that the scoring half of the model has not seen.
+
+All labelled documents train. What is more than a task takes is dealt to blocks by a hash of the id; each
+block ranks its own documents, the model is the mean of the blocks' weights, and the cut the mean of the
+blocks' quantiles, on scores by the blocks of the other half of the documents.
 """
 
 from __future__ import annotations
@@ -15,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexmosaic.llm.common import documents, fold, labelled, stored, table
+from hexmosaic.llm.common import all_labelled, documents, fold, stored, table
 
-#: Documents of each label that training reads at most.
-SAMPLE = 2000
+#: Documents that one task ranks, and documents of the rarer label that each block gets at least, if there are so many.
+BLOCK = 4000
+LEAST = 1000
 FOLDS = 5
 #: Pairs in which a document of the rarer side of a pairing takes part, at least.
 PAIRS = 16
@@ -95,12 +100,17 @@ def cut_of(scores: np.ndarray, labels: np.ndarray, low_share: float) -> float:
     return float((low + high) / 2)
 
 
-def learn(x: np.ndarray, labels: np.ndarray, low_share: float) -> tuple[np.ndarray, float]:
-    """Weights of raw features and the cut. Ranks of two halves place the cut, of all rows the scores."""
+def _standard(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Standardised columns, their mean and spread."""
     mean, spread = x.mean(0), x.std(0)
-    # what hardly varies in the sample is not blown up
+    # what hardly varies is not blown up
     spread = np.maximum(spread, max(1e-4, float(np.median(spread))) * 0.1)
-    x = (x - mean) / spread
+    return (x - mean) / spread, mean, spread
+
+
+def learn(x: np.ndarray, labels: np.ndarray, low_share: float) -> tuple[np.ndarray, float]:
+    """Weights of raw features and the cut. Ranks of two halves place the cut, of all rows the scores."""
+    x, mean, spread = _standard(x)
     half = np.zeros(len(x), int)
     for k in (0, 1):
         at = np.flatnonzero(labels == k)
@@ -117,31 +127,103 @@ def learn(x: np.ndarray, labels: np.ndarray, low_share: float) -> tuple[np.ndarr
     return whole / spread, cut + float(whole @ (mean / spread))
 
 
+def block_cut(x: np.ndarray, labels: np.ndarray, whole: np.ndarray, other: np.ndarray, low_share: float) -> float:
+    """Cut of the whole model's scores, from scores by weights that have not seen these rows."""
+    own, unseen = x @ whole, x @ other
+    scale = own.std() / (unseen.std() or 1.0)
+    return cut_of((unseen - unseen.mean()) * scale + own.mean(), labels, low_share)
+
+
+def _matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of stored rows."""
+    return np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), -1), rows["quality"].to_numpy()
+
+
+def _mean(value: str) -> Column:
+    """Mean over the blocks, added in their order, so that reruns agree to the last bit."""
+    ordered = F.array_sort(F.collect_list(F.struct("block", value)))
+    return F.aggregate(ordered, F.lit(0.0), lambda s, v: s + v[value]) / F.count("*")
+
+
+def blocks(got: DataFrame, sizes: dict[tuple[int, int], int]) -> tuple[DataFrame, int]:
+    """Rows (doc_id, quality, x, block) of all documents, and the number of halves.
+
+    ``sizes`` are rows by (half, quality). Block k is of half k % halves. A block holds about BLOCK
+    rows; rows of the rarer label go to as many blocks of their half as it takes to give each LEAST
+    of them, or all there are.
+    """
+    halves = 2 if all(sizes.get((h, k)) for h in (0, 1) for k in (0, 1)) else 1
+    n = {(h, k): sum(v for (g, c), v in sizes.items() if c == k and g % halves == h) for h in range(halves) for k in (0, 1)}
+    each = max(1, -(-max(n[h, 0] + n[h, 1] for h in range(halves)) // BLOCK))
+    half = F.col("half") % halves
+    copies = F.lit(1)
+    for (h, k), rows in n.items():
+        copies = F.when((half == h) & (F.col("quality") == k), min(each, max(1, -(-LEAST * each // max(1, rows))))).otherwise(copies)
+    dealt = got.select("doc_id", "quality", "x", "salt", half.alias("half"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    at = F.pmod(F.pmod(F.xxhash64("doc_id", "x", "salt"), F.lit(each)) + F.col("copy"), F.lit(each))
+    dealt = dealt.select("doc_id", "quality", "x", (at * halves + F.col("half")).cast("int").alias("block"))
+    return dealt.repartition(each * halves, "block"), halves
+
+
+def fit_blocks(got: DataFrame, sizes: dict[tuple[int, int], int], low_share: float) -> tuple[np.ndarray, float]:
+    """Weights and cut of more documents than one task takes."""
+    dealt, halves = blocks(got, sizes)
+
+    def train(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = _matrix(rows.sort_values(["doc_id", "x"]))
+        if not (y == 0).any() or not (y == 1).any():
+            return pd.DataFrame({"block": [], "i": [], "w": []})
+        x, _, spread = _standard(x)
+        return pd.DataFrame({"block": rows["block"].iloc[0], "i": np.arange(WIDTH), "w": rank(x, y) / spread})
+
+    ranked = stored(dealt.groupBy("block").applyInPandas(train, "block int, i int, w double"), "quality-weights")
+    means = ranked.groupBy((F.col("block") % halves).alias("half"), "i").agg(_mean("w").alias("w"), F.count("*").alias("n")).toPandas()
+    means = means.sort_values(["half", "i"])
+    w, n = (means[c].to_numpy().reshape(-1, WIDTH) for c in ("w", "n"))
+    whole = (w * n).sum(0) / n.sum(0)
+
+    def place(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = _matrix(rows.sort_values(["doc_id", "x"]))
+        if not (y == 0).any() or not (y == 1).any():
+            return pd.DataFrame({"block": [], "cut": []})
+        block = rows["block"].iloc[0]
+        return pd.DataFrame({"block": [block], "cut": [block_cut(x, y, whole, w[(block + 1) % halves], low_share)]})
+
+    cuts = dealt.groupBy("block").applyInPandas(place, "block int, cut double")
+    return whole, cuts.agg(_mean("cut").alias("cut")).first()["cut"]
+
+
 def fit(docs: DataFrame, labels: DataFrame, held: int = 0) -> tuple[np.ndarray, float]:
-    """Weights and cut, from labels outside the held-out fold; at most SAMPLE documents of each label.
+    """Weights and cut, from all labels outside the held-out fold.
 
-    Training runs in one task on the features of that sample, so the driver sees the model alone. If
+    Up to BLOCK documents are ranked in one task, more in blocks; the driver sees the model alone. If
     one label is missing, weights are 0 and every score says the other label.
     """
-    sample, counts = labelled(documents(docs), labels, "quality", {0: SAMPLE, 1: SAMPLE}, FOLDS, held)
+    known, counts = all_labelled(documents(docs), labels, "quality", (0, 1), FOLDS, held)
     low_share = counts[0] / max(1, counts[0] + counts[1])
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "quality": b["quality"], "x": [features(t).tobytes() for t in b["text"]]})
+            # very many rows of one id are dealt by hundreds
+            salt = b.groupby("doc_id").cumcount() // 100
+            yield pd.DataFrame({"doc_id": b["doc_id"], "quality": b["quality"], "x": [features(t).tobytes() for t in b["text"]], "salt": salt})
+
+    got = stored(known.mapInPandas(rows, "doc_id long, quality int, x binary, salt int"), "quality-features")
+    got = got.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(2)).cast("int"))
+    sizes = {(r[0], r[1]): r[2] for r in got.groupBy("half", "quality").count().collect()}
+    good, bad = (sum(n for (_, k), n in sizes.items() if k == c) for c in (1, 0))
+    if not good or not bad:
+        return np.zeros(WIDTH), -9.0 if good else 9.0
+    if good + bad > BLOCK:
+        return fit_blocks(got, sizes, low_share)
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = [(b["quality"].to_numpy(), np.frombuffer(b"".join(b["x"]), np.float32).reshape(len(b), -1)) for b in batches if len(b)]
-        y = np.concatenate([g[0] for g in got]) if got else np.zeros(0, int)
-        w, cut = np.zeros(WIDTH), 9.0 if not (y == 1).any() else -9.0
-        if (y == 0).any() and (y == 1).any():
-            w, cut = learn(np.concatenate([g[1] for g in got]), y, low_share)
+        w, cut = learn(*_matrix(pd.concat(batches)), low_share)
         yield pd.DataFrame({"w": [w.tobytes()], "cut": [cut]})
 
-    got = stored(sample.mapInPandas(rows, "doc_id long, quality int, x binary"), "quality-sample")
-    model = got.repartition(1).sortWithinPartitions("doc_id", "x").mapInPandas(train, "w binary, cut double").first()
-    # an empty sample has no task to train in
-    return (np.frombuffer(bytes(model["w"])), model["cut"]) if model else (np.zeros(WIDTH), 9.0)
+    one = got.select("doc_id", "quality", "x").repartition(1).sortWithinPartitions("doc_id", "x")
+    model = one.mapInPandas(train, "w binary, cut double").first()
+    return np.frombuffer(bytes(model["w"])), model["cut"]
 
 
 def scores(texts: pd.Series, weights: np.ndarray, cut: float) -> np.ndarray:

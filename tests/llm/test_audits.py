@@ -10,6 +10,7 @@ from itertools import permutations
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hexmosaic.llm import divergence, filter_audit, quality
@@ -149,6 +150,35 @@ def test_cut_is_a_quantile_of_weighted_scores():
     assert quality.cut_of(scores[::-1], np.array([1, 1, 0, 0, 1, 0]), 0.25) == 2.5
 
 
+def test_quality_learns_from_every_label(spark):
+    """What only the last 600 of 2,600 low labels show, in the order of a hash of the id, is learnt."""
+    ids = spark.range(6_500).where(quality.fold("id", 5) != 0).select("id", (F.col("id") % 2).alias("good"))
+    order = Window.partitionBy("good").orderBy(F.xxhash64("id", F.lit(17)))
+    ids = ids.withColumn("k", F.row_number().over(order))
+    kind = F.when(F.col("good") == 1, "some words of a text").when(F.col("k") <= 2_000, "12 34 567 890").otherwise("some words of a tune")
+    docs = ids.select(F.col("id").alias("doc_id"), F.concat_ws(" ", kind, kind, F.col("id").cast("string")).alias("text"))
+    unseen = next(d for d in range(6_500, 9_999) if zlib.crc32(str(d).encode()) % 5 == 0)
+    docs = docs.union(spark.createDataFrame([(unseen, f"some words of a tune some words of a tune {unseen}")], docs.schema))
+    labels = ids.select(F.col("id").alias("doc_id"), F.col("good").cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    got = quality.assess(docs, labels).where("held_out").collect()
+    assert len(got) == 1 and got[0].predicted == 0
+
+
+def test_blocks_hold_every_document_and_both_labels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK", 100)
+    monkeypatch.setattr(quality, "LEAST", 20)
+    rows = spark.range(1_000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 != 0).cast("int").alias("quality"), F.lit(b"x").alias("x"), F.lit(0).alias("salt"))
+    rows = rows.withColumn("half", (F.col("doc_id") % 4 == 0).cast("int"))
+    sizes = {(r[0], r[1]): r[2] for r in rows.groupBy("half", "quality").count().collect()}
+    dealt, halves = quality.blocks(rows, sizes)
+    got = dealt.groupBy("block").agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"), F.min(F.col("doc_id") % 4).alias("low")).collect()
+    assert halves == 2 and len(got) == 16 and sum(r.good for r in got) == 980 and all(r.bad == 10 for r in got)
+    assert all((r.low == 0) == (r.block % 2 == 1) for r in got) and dealt.select("doc_id").distinct().count() == 1_000
+    # with one document of a label there are no halves, and every block gets it
+    dealt, halves = quality.blocks(rows.where("quality = 1 or doc_id = 0"), {(0, 1): 735, (1, 1): 245, (1, 0): 1})
+    assert halves == 1 and dealt.where("doc_id = 0").count() == dealt.select("block").distinct().count() == 10
+
+
 def test_quality_of_odd_rows(spark):
     odd = odd_documents(spark, [f"plain words {i} in a row" if i % 2 else f"## $$ {i} %% ##" for i in range(60)])
     odd = odd.withColumns({"quality": F.lit(1), "score": F.lit(0.5), "x": F.lit("x")})
