@@ -4,7 +4,7 @@ Numpy helper of ``match``: a block is a tile of the globe with the tiles around
 Candidate pairs come one by one in their order. By place, they come from a queue of pairs of tree
 nodes with lower bounds of their distance: a pair of boxes is opened only when nothing closer is
 left, and boxes without open sites are dropped, so far groups do not list all their pairs. By name,
-they come from an index of the rarest grams that similar names cannot both miss.
+they come from an index of cells and of the rarest grams that similar names cannot both miss.
 
 A site whose partners may lie beyond the block is *unsure*: a pair with an unsure site can be
 neither taken nor refused, and makes its other site unsure for all later pairs. Everything else is
@@ -141,19 +141,29 @@ def near(a: Side, b: Side, radius: float) -> Iterator[tuple]:
 
 
 def alike(a: Side, b: Side, radius: float, least: float) -> Iterator[tuple]:
-    """The same for pairs with a similarity of ``least`` or more, by their rarest grams."""
+    """The same for pairs with a similarity of ``least`` or more, by cells of the radius and their rarest grams."""
     counts = Counter(g for s in (a, b) for x in s.grams for g in x)
 
     def prefix(x: frozenset) -> list[str]:
         return sorted(x, key=lambda g: (counts[g], g))[: len(x) - math.ceil(len(x) * (least - 1e-9)) + 1]
 
-    held = defaultdict(list)
+    side = 2 * math.sin(radius / (2 * EARTH_R)) * 1.000001
+    cells: list[list[tuple]] = [[*map(tuple, np.floor(s.xyz / side).astype(int).tolist())] for s in (a, b)]
+    steps = [(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)]
+    used, held = {(c[0] + x, c[1] + y, c[2] + z) for c in {*cells[0]} for x, y, z in steps}, {}
     for j, x in enumerate(b.grams):
-        for g in prefix(x):
-            held[g].append(j)
+        if cells[1][j] in used:
+            at = held.setdefault(cells[1][j], defaultdict(list))
+            for g in prefix(x):
+                at[g].append(j)
     found = []
     for i, x in enumerate(a.grams):
-        some = {j for g in prefix(x) for j in held.get(g, ())}
+        c = cells[0][i]
+        near_by = [at for s in steps if (at := held.get((c[0] + s[0], c[1] + s[1], c[2] + s[2])))]
+        if not near_by:
+            continue
+        first = prefix(x)
+        some = {j for at in near_by for g in first for j in at.get(g, ())}
         # sets too different in size cannot be similar
         j = np.array([k for k in some if len(x) * (least - 1e-9) <= len(b.grams[k]) <= len(x) / (least - 1e-9)], int)
         if len(j):

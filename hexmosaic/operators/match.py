@@ -6,7 +6,7 @@ enough. Candidates are taken closest first and every point at most once.
 Equal places are merged first: points of one side with the same position (and the same name, when
 names count) are one *site* with a capacity, so a place with millions of copies costs one row.
 
-A round deals the sites to blocks, each a tile of the globe with the tiles around it, and every block
+A round deals the sites to blocks, each a tile of the globe with what lies around it, and every block
 decides what its own sites decide (``closest``). Chains of sites that wait for each other are
 followed inside a block, so rounds do not grow with their length but with the tiles they cross; only
 sites a block left undecided enter the next round, whose tiles lie elsewhere. Every round decides at
@@ -34,8 +34,10 @@ from hexmosaic.operators import closest
 from hexmosaic.operators.polygons import number_rows
 from hexmosaic.session import Rounds, bind, cut_lineage
 
-#: Width of a block's tiles in radii: what a tile's sites may reach within the block.
+#: How far a block goes beyond its tile, in radii: what a tile's sites may reach within the block.
 REACH = 8
+#: Widths of tiles in radii, the widest first: wide tiles repeat fewer sites in the blocks around them.
+WIDTHS = (64, 24, REACH)
 #: Sites of a block above which the radius is halved first, and smallest radius of that kind in metres.
 BLOCK_SITES = 8192
 LEAST_RADIUS = 0.5
@@ -62,15 +64,37 @@ class Tiles:
     def band(self, lat: Column) -> Column:
         return F.floor((lat + 90.0) / F.lit(self.height) + F.lit(self.shift))
 
+    def up(self, lat: Column) -> Column:
+        """Place of a latitude in its band, 0 to 1."""
+        at = (lat + 90.0) / F.lit(self.height) + F.lit(self.shift)
+        return at - F.floor(at)
+
+    def _cosine(self, band: Column) -> Column:
+        """Smallest cosine of a latitude in a band and the two beside it."""
+        low, high = ((band + k - self.shift) * self.height - 90.0 for k in (-1, 2))
+        return F.cos(F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(90.0)) * geo.RAD)
+
     def columns(self, band: Column) -> Column:
         """Number of columns of a band."""
-        low, high = ((band + k - self.shift) * self.height - 90.0 for k in (-1, 2))
-        widest = F.cos(F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(90.0)) * geo.RAD)
+        widest = self._cosine(band)
         width = 2 * F.asin(F.lit(self.half) / widest)  # degrees below
         return F.when(widest > 2 * self.half, F.greatest(F.floor(2 * math.pi / (width * SLACK)), F.lit(1))).otherwise(F.lit(1)).cast("long")
 
+    def rim(self, band: Column, half: float) -> Column:
+        """Largest difference in longitude, as a share of the globe, of a point in a band and one that ``half`` reaches."""
+        widest = self._cosine(band)
+        return F.when(widest > 2 * half, F.asin(F.lit(half) / widest) / math.pi * SLACK).otherwise(F.lit(1.0))
+
+    def _at(self, lng: Column, n: Column) -> Column:
+        return (F.pmod(lng + 180.0, F.lit(360.0)) / 360.0) * n + F.lit(self.shift)
+
     def column(self, lng: Column, n: Column) -> Column:
-        return F.pmod(F.floor((F.pmod(lng + 180.0, F.lit(360.0)) / 360.0) * n + F.lit(self.shift)).cast("long"), n)
+        return F.pmod(F.floor(self._at(lng, n)).cast("long"), n)
+
+    def along(self, lng: Column, n: Column) -> Column:
+        """Place of a longitude in its column, 0 to 1."""
+        at = self._at(lng, n)
+        return at - F.floor(at)
 
     def own(self, lat: Column, lng: Column) -> Column:
         """(band, column) of a point."""
@@ -198,8 +222,8 @@ def _members(points: DataFrame, by_name: bool, side: str) -> DataFrame:
 def _side(rows: pd.DataFrame, box: tuple, sure_m: float) -> closest.Side:
     """Sites of one side of a block; ``box`` holds the home sites: south, north, west, width.
 
-    A site is sure if all that lies within the radius of it is in the block: if the box, which the
-    tiles around the home tile surround by REACH radii, is ``sure_m`` away at most.
+    A site is sure if all that lies within the radius of it is in the block: if the box, around which
+    the block goes on for REACH radii, is ``sure_m`` away at most.
     """
     lat, lng = rows["lat"].to_numpy(), rows["lng"].to_numpy()
     turned = (lng - box[2] + 180.0) % 360.0 - 180.0
@@ -241,22 +265,43 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["a", "b", "d", "s", "m"], dtype=object).astype({"m": "Int64"})
 
 
-def _blocks(a: DataFrame, b: DataFrame, radius_m: float, turn: int) -> DataFrame:
-    """Sites of both sides in all blocks they belong to: side, site, lat, lng, cap, grams, tile, home."""
-    tiles = Tiles(REACH * radius_m, turn)
+def _blocks(a: DataFrame, b: DataFrame, radius_m: float, turn: int, width: int = REACH) -> DataFrame:
+    """Sites of both sides in all blocks they belong to: side, site, lat, lng, cap, grams, tile, home.
+
+    A block holds its tile, ``width`` radii wide, and all sites up to REACH radii around it.
+    """
+    tiles, halo = Tiles(width * radius_m, turn), Tiles(REACH * radius_m)
     lat, lng = F.col("lat"), F.col("lng")
     both = a.select(F.lit("a").alias("side"), *SITE).union(b.select(F.lit("b").alias("side"), *SITE))
     keep = both.columns
-    both = bind(both, keep, band=tiles.band(lat))
-    both = both.select(*keep, F.col("band").alias("home_band"), F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
-    both = bind(both, [*keep, "home_band", "band"], columns=tiles.columns(F.col("band")))
-    both = bind(both, [*keep, "home_band", "band", "columns"], col=tiles.column(lng, F.col("columns")))
-    near = F.array_distinct(F.array(*[F.pmod(F.col("col") + k, F.col("columns")) for k in (-1, 0, 1)]))
+    both = bind(both, keep, band=tiles.band(lat), up=tiles.up(lat))
+    rim = F.lit(halo.height / tiles.height * SLACK)
+    bands = F.filter(F.array(*[F.when(near, F.col("band") + k) for k, near in _sides(F.col("up"), rim)]), lambda x: x.isNotNull())
+    both = both.select(*keep, F.col("band").alias("home_band"), F.explode(bands).alias("band"))
+    both = bind(both, [*keep, "home_band", "band"], columns=tiles.columns(F.col("band")), rim=tiles.rim(F.col("band"), halo.half))
+    both = bind(both, [*keep, "home_band", "band", "columns", "rim"], col=tiles.column(lng, F.col("columns")), along=tiles.along(lng, F.col("columns")))
+    near = F.array(*[F.when(near, F.pmod(F.col("col") + k, F.col("columns"))) for k, near in _sides(F.col("along"), F.col("rim") * F.col("columns"))])
+    near = F.array_distinct(F.filter(near, lambda x: x.isNotNull()))
     both = both.select(*keep, "band", "home_band", "col", F.explode(near).alias("near"))
     home = (F.col("band") == F.col("home_band")) & (F.col("near") == F.col("col"))
     return both.select(*keep, (F.col("band") * (1 << 32) + F.col("near")).alias("tile"), home.alias("home"))
 
 
+def _sides(at: Column, rim: Column) -> list[tuple[int, Column]]:
+    """Steps to the tiles before, at and after a place in its tile (0 to 1), and whether they lie within ``rim`` of it."""
+    return [(-1, at <= rim), (0, F.lit(True)), (1, 1 - at <= rim)]
+
+
+def _width(a: DataFrame, b: DataFrame, radius_m: float) -> int:
+    """The widest tiles whose blocks all keep to BLOCK_SITES; the narrowest if there are none."""
+    for width in WIDTHS[:-1]:
+        if width * radius_m >= math.pi * geo.EARTH_R / 4:
+            continue
+        if _blocks(a, b, radius_m, 0, width).groupBy("tile").count().where(F.col("count") > BLOCK_SITES).isEmpty():
+            return width
+    return WIDTHS[-1]
+
+
 SITE = ["site", "lat", "lng", "cap", "grams"]
 
 
@@ -264,9 +309,9 @@ def _decide(a: DataFrame, b: DataFrame, radius_m: float, min_similarity: float |
     """Tables (a, b, d, s, m) of matched site pairs within a radius, one per round."""
     ids = a.schema["site"].dataType.simpleString(), b.schema["site"].dataType.simpleString()
     schema = f"a {ids[0]}, b {ids[1]}, d double, s double, m long"
-    turn = 0
+    turn, width = 0, _width(a, b, radius_m)
     while True:
-        blocks = _blocks(a, b, radius_m, turn)
+        blocks = _blocks(a, b, radius_m, turn, width)
         # of tiles without sites of their own, or with one side only, nothing is to be decided
         sizes = blocks.groupBy("tile").agg(F.count("*").alias("n"), F.max("home").alias("home"), (F.min("side") < F.max("side")).alias("both"))
         sizes = cut_lineage(sizes.where("home and both").select("tile", "n"))

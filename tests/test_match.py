@@ -302,3 +302,35 @@ def test_duplicate_candidates_are_not_broadcast(spark):
     sites = cut_lineage(dedupe.duplicate_sites(p))
     plan = dedupe.gram_candidates(sites.withColumn("ordered", F.sort_array("grams")), 0.9)._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_wide_tiles_hold_what_lies_around_and_repeat_few_sites(spark):
+    """High in the north across the antimeridian, with tiles of the first and a later round."""
+    rng = random.Random(11)
+    rows = [(i, 72 + rng.random() * 0.3, (179.4 + rng.random() * 1.2 + 180) % 360 - 180, 1, [f"g{i}"]) for i in range(600)]
+    sites = spark.createDataFrame(rows, "site long, lat double, lng double, cap long, grams array<string>")
+    width = match._width(sites, sites, 100.0)
+    assert width == match.WIDTHS[0]
+    at = {r[0]: (r[1], r[2]) for r in rows}
+    for turn in (0, 1):
+        got = match._blocks(sites, sites.limit(0), 100.0, turn, width).collect()
+        assert len(got) < 2 * len(rows) and sorted(r.site for r in got if r.home) == sorted(at)
+        held, homes = {}, {}
+        for r in got:
+            held.setdefault(r.tile, set()).add(r.site)
+            if r.home:
+                homes.setdefault(r.tile, []).append(r.site)
+        lat, lng = (np.array([at[i][k] for i in range(600)]) for k in (0, 1))
+        for tile, own in homes.items():
+            d = closest.distance(lat[own][:, None], lng[own][:, None], lat[None], lng[None])
+            assert set(np.flatnonzero((d <= match.REACH * 100.0).any(0)).tolist()) <= held[tile]
+
+
+def test_names_far_apart_are_not_measured():
+    n = 20
+    lat, lng = (x.ravel() for x in np.meshgrid(11 + np.arange(n) * 0.01, 104 + np.arange(n) * 0.01))
+    grams = [["cus", "ust", "sto", "tom", "ome", "mer", f"x{i}", f"y{i}"] for i in range(n * n)]
+    side = lambda k: closest.Side(list(range(n * n)), lat + k, lng, np.ones(n * n, int), grams, np.ones(n * n, bool))
+    before = closest.Tally.measured
+    got = closest.decide(side(0.0), side(0.0005), 100.0, 0.5)
+    assert sorted((i, j) for i, j, *_ in got) == [(i, i) for i in range(n * n)] and closest.Tally.measured - before <= 4 * n * n
