@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators.polygons import ring_edges
-from hexmosaic.session import bind
+from hexmosaic.session import bind, spread
 
 MAX_EDGE_DEG = 0.005
+#: Half a piece of an edge in circumradii, at most (pieces of ``max_len`` 0.9).
+HALF_PIECE = 0.65
 HALF_WIDTH = hx.SQRT3 / 2
 # unit normals of the three pairs of hexagon sides in the lattice frame
 NORMALS = [(1.0, 0.0), (0.5, HALF_WIDTH), (-0.5, HALF_WIDTH)]
@@ -191,17 +193,18 @@ def buffered_cells(edges: DataFrame, res: int, mode: str, buffer_m: float, key:
     equal-area plane, whose scale differs from true metres by under 1 % in the default country.
     """
     reach = buffer_m / hx.circumradius(res)
-    rings = int(reach / 1.5) + 2
+    # centres lie that far from the middle of a piece, which lies within 1 of its own cell's centre;
+    # those beyond ring k are at least 1.5 (k + 1) away
+    far = reach if mode == "center" else reach + 1.0
+    rings = int((far + HALF_PIECE + 1.0) / 1.5) - 1
     p = frame_pieces(edges.select(key, "x1", "y1", "x2", "y2"), res, max_len=0.9)
     near = _near_cells(p, [key], rings)
     u1, v1, u2, v2, cu, cv = (F.col(c) for c in ("u1", "v1", "u2", "v2", "cu", "cv"))
     near = bind(near, near.columns, gap2=_segment_distance2(cu, cv, u1, v1, u2, v2))
-    if mode == "center":
-        keep = F.col("gap2") <= F.lit(reach * reach)
-    else:
-        # the incircle decides most cells, the circumcircle rules most others out
+    near = near.where(F.col("gap2") <= F.lit(far * far))
+    if mode == "overlap":
+        # the circumcircle has ruled most cells out, the incircle decides most others
         sure = F.col("gap2") <= F.lit((reach + HALF_WIDTH) ** 2)
-        maybe = F.col("gap2") <= F.lit((reach + 1.0) ** 2)
         corners = [(math.cos(math.radians(60 * i + 30)), math.sin(math.radians(60 * i + 30))) for i in range(6)]
         sides = F.array(
             *[
@@ -219,17 +222,17 @@ def buffered_cells(edges: DataFrame, res: int, mode: str, buffer_m: float, key:
             )
             return nearest <= F.lit(reach * reach)
 
-        touching = piece_meets_hexagon(near, near.columns)
-        near, keep = touching, sure | (maybe & (F.col("meets") | F.exists(sides, close)))
-    return near.where(keep).select(key, hx.make_id(F.col("q"), F.col("r"), res).alias("h3"))
+        near = piece_meets_hexagon(near, near.columns).where(sure | F.col("meets") | F.exists(sides, close))
+    return near.select(key, hx.make_id(F.col("q"), F.col("r"), res).alias("h3"))
 
 
 def part_cells(
     edges: DataFrame, res: int, mode: str = "overlap", buffer_m: float = 0.0, key: str = "part_id"
 ) -> DataFrame:
-    """Distinct (key, h3) cells of every polygon."""
+    """Distinct (key, h3) cells of every polygon; an edge becomes many pieces and cells, so edges are spread first."""
     if mode not in ("center", "overlap"):
         raise ValueError("mode must be 'center' or 'overlap'")
+    edges = spread(edges.select(key, "x1", "y1", "x2", "y2"))
     cells = center_cells(edges, res, key)
     if buffer_m > 0:
         cells = cells.unionByName(buffered_cells(edges, res, mode, buffer_m, key))

@@ -77,6 +77,15 @@ def unsent(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to all tasks of a shuffle, whatever its files.
+
+    For rows that stand for far more work than their bytes say: a small file is a single task, and so
+    would be everything up to the next shuffle. The fixed number keeps Spark from merging the parts.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 class Rounds:
     """Lineage cuts of a loop, in two tables that take turns, so storage does not grow with rounds.
 

@@ -304,3 +304,19 @@ def test_rows_in_interior_cells_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(clip, "_inside", lambda points, *a: asked.append(points.count()) or inside(points, *a))
     got = clip.clip_points(spark.createDataFrame(pts, "id int, lat double, lng double"), p, 8)
     assert sorted(r.id for r in got.collect()) == list(range(100)) and asked == [0]
+
+
+def test_buffered_cells_are_found_by_many_tasks_among_few(spark, monkeypatch):
+    """Edges of one file are dealt out, few cells that are too far are tested, and none that is near is missed."""
+    ring = comb(104.9, 11.5, 0.1, 0.08, 6)
+    p = spark.createDataFrame([(1, [ring]), (None, [[(105.2, 11.5), (105.23, 11.53), (105.2, 11.53)]])], f"part_id int, polygon {geo.POLYGON}")
+    e = polygons.ring_edges(p).coalesce(1)
+    meets, near, tested = polyfill.piece_meets_hexagon, polyfill._near_cells, []
+    monkeypatch.setattr(polyfill, "piece_meets_hexagon", lambda df, *a: tested.append(df) or meets(df, *a))
+    got = {(m, b, r): polyfill.part_cells(e, r, m, b).collect() for m in ("center", "overlap") for b, r in ((40.0, 8), (500.0, 8), (900.0, 7))}
+    pieces = polyfill.frame_pieces(e, 8, 0.9).count()
+    assert tested[1].rdd.getNumPartitions() > 1 and tested[1].count() <= 8 * pieces
+    monkeypatch.setattr(polyfill, "_near_cells", lambda df, cols, rings: near(df, cols, rings + 3))
+    for (m, b, r), rows in got.items():
+        assert sorted(map(str, rows)) == sorted(map(str, polyfill.part_cells(e, r, m, b).collect()))
+        assert len(rows) > 0
