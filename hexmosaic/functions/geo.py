@@ -33,22 +33,26 @@ def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
     return F.asin(F.least(F.sqrt(h), F.lit(1.0))) * F.lit(2.0 * EARTH_R)
 
 
-def utm_forward(lat: Column, lng: Column, zone: int) -> tuple[Column, Column]:
-    """UTM easting and northing (northern form) in metres: Krueger series to third order."""
-    n = WGS84_F / (2 - WGS84_F)
+def _utm_tangent(sin_phi: Column) -> Column:
+    """Tangent of the conformal latitude from the sine of the latitude."""
     ecc = math.sqrt(WGS84_F * (2 - WGS84_F))
+    return F.sinh(F.atanh(sin_phi) - F.lit(ecc) * F.atanh(F.lit(ecc) * sin_phi))
+
+
+def _utm_sphere(t: Column, lam: Column) -> tuple[Column, Column]:
+    """Transverse Mercator angles (xi, eta) of the conformal sphere."""
+    return F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
+
+
+def _utm_plane(xi: Column, eta: Column) -> tuple[Column, Column]:
+    """Easting and northing in metres."""
+    n = WGS84_F / (2 - WGS84_F)
     big_a = WGS84_A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = [
         n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16,
         13 * n**2 / 48 - 3 * n**3 / 5,
         61 * n**3 / 240,
     ]
-    phi = lat * F.lit(RAD)
-    lam = (lng - F.lit(6.0 * zone - 183.0)) * F.lit(RAD)
-    sin_phi = F.sin(phi)
-    t = F.sinh(F.atanh(sin_phi) - F.lit(ecc) * F.atanh(F.lit(ecc) * sin_phi))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
     east, north = eta, xi
     for j, a in enumerate(alpha, start=1):
         east = east + F.lit(a) * F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j))
@@ -57,6 +61,29 @@ def utm_forward(lat: Column, lng: Column, zone: int) -> tuple[Column, Column]:
     return F.lit(500000.0) + scale * east, scale * north
 
 
+def _meridian(zone: int) -> Column:
+    return F.lit(6.0 * zone - 183.0)
+
+
+def utm_forward(lat: Column, lng: Column, zone: int) -> tuple[Column, Column]:
+    """UTM easting and northing (northern form) in metres: Krueger series to third order."""
+    t = _utm_tangent(F.sin(lat * F.lit(RAD)))
+    return _utm_plane(*_utm_sphere(t, (lng - _meridian(zone)) * F.lit(RAD)))
+
+
+def utm_ring(ring: Column, zone: int) -> Column:
+    """A ring in UTM metres, by the steps of ``utm_forward``.
+
+    Lambdas are interpreted and share nothing, so each step's result is kept in an array and
+    evaluated once per vertex instead of wherever the next step needs it.
+    """
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    steps = F.transform(ring, lambda p: pair((p["x"] - _meridian(zone)) * F.lit(RAD), F.sin(p["y"] * F.lit(RAD))))
+    steps = F.transform(steps, lambda p: pair(p["x"], _utm_tangent(p["y"])))
+    steps = F.transform(steps, lambda p: pair(*_utm_sphere(p["y"], p["x"])))
+    return F.transform(steps, lambda p: pair(*_utm_plane(p["x"], p["y"])))
+
+
 def _num(c: Column, digits: int) -> Column:
     return F.round(c, digits).cast("string")
 

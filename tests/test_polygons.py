@@ -320,3 +320,18 @@ def test_buffered_cells_are_found_by_many_tasks_among_few(spark, monkeypatch):
     for (m, b, r), rows in got.items():
         assert sorted(map(str, rows)) == sorted(map(str, polyfill.part_cells(e, r, m, b).collect()))
         assert len(rows) > 0
+
+
+def test_boundary_parts_are_measured_by_many_tasks(spark, monkeypatch):
+    """Areas of one file are dealt out, and the range partitioning does not carry the UTM projection."""
+    s = squares(40, (104.0, 11.0), 0.05, 0.01)
+    rows = [(f"{i}", "country", "land", [[[(x + 0.0001 * i * (x > r[0][0]), y) for x, y in r]], [r]]) for i, [r] in s] + [(None, "country", "land", None)]
+    a = spark.createDataFrame(rows, f"id string, subtype string, class string, geometry {geo.MULTIPOLYGON}").coalesce(1)
+    number, seen = polygons.number_rows, []
+    monkeypatch.setattr(polygons, "number_rows", lambda df, *x: seen.append(df) or number(df, *x))
+    got = polygons.boundary_parts(a, 48, ("id",))
+    assert seen[0].rdd.getNumPartitions() > 1 and "area_km2" not in seen[0].columns
+    want = polygons.utm_areas(polygons.ring_edges(got), 48)
+    rows = got.join(want.withColumnRenamed("area_km2", "km2"), "part_id").collect()
+    assert sorted(r.part_id for r in rows) == list(range(1, 81))
+    assert all(r.area_km2 == pytest.approx(r.km2, rel=1e-9) for r in rows)
