@@ -7,8 +7,10 @@ reader fetches the end of the file, then only the frames it wants, and checks ea
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
@@ -17,6 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -33,8 +37,8 @@ LEVEL = 3
 FILE_DOCS, FILE_BYTES = 1 << 17, 256 << 20
 #: Characters of text pieces whose tokens a worker remembers, between tasks too (about 25 bytes each).
 CACHE = 12_000_000
-#: Texts encoded at once, and words of them that the tokenizer takes at once.
-TEXTS, WORDS_AT_ONCE = 500, 8_192
+#: Texts and characters (one text more) encoded at once, and words of them that the tokenizer takes at once.
+TEXTS, CHARACTERS, WORDS_AT_ONCE = 1_000, 4_000_000, 8_192
 
 
 class FileWriter:
@@ -94,15 +98,19 @@ class FileReader:
 
 #: White space that is not one character between two others.
 _ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
+_SPACE = re.compile(r"\s")
+#: Punctuation that may end a word.
+MARKS = string.punctuation
 
 
 class Encoder:
     """Tokens of whole texts, remembering those of words.
 
     The byte-level rule never joins white space with what stands before it, so a text without adjacent
-    white space falls into lines, and a line into words, each but the first with its leading space; a
-    comma or full stop after a letter at a word's end is a token of its own. Any other text, and one
-    that holds the string of a special token, is encoded at once.
+    white space falls into lines, and a line into words, each but the first with its leading space;
+    punctuation that ends a word of letters has tokens of its own. Any other text, and one that
+    holds the string of a special token, is encoded at once. Words are cut and numbered by Arrow, so
+    that only the different words of some texts are looked up, and their tokens gathered by numpy.
     """
 
     def __init__(self, path: str):
@@ -111,13 +119,16 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes | None] = {}
         self.remembered, self.most = 0, CACHE
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
         self.tab = tab[0] if len(tab) == 1 else None
-        self.line, self.marks = self.encode("\n"), {c: self.encode(c) for c in ",."}
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens with a leading space
+        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.line, self.marks = self.encode("\n"), {}
 
     def packed(self, ids: list[int]) -> bytes:
         return array("H" if self.width == 2 else "I", ids).tobytes()
@@ -125,50 +136,115 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def learn(self, words: set[str], known: dict[str, bytes], space: str) -> None:
-        """Add the tokens of ``space + word`` for each word that is not known yet.
+    def learn(self, words: list[str], known: dict[str, bytes | None], space: str) -> None:
+        """Add the tokens of ``space + word`` for each of the words; None if its white space is odd.
 
-        Words are encoded in one text with a tab between two, which is a token of its own there.
+        Words are encoded in one text, where each begins with the one token that has a leading space,
+        or, without spaces, with a tab between two, which is a token of its own there.
         """
-        marked = [w for w in words.difference(known) if w.endswith((",", ".")) and w[-2:-1].isalpha()]
-        new = words.difference(known, marked).union(w[:-1] for w in marked).difference(known)
-        self.remembered += sum(map(len, new)) + sum(map(len, marked))
-        plain = [w for w in new if "\t" not in w]
-        alone = [w for w in new if "\t" in w]
+        self.remembered += sum(map(len, words))
+        plain = set(filter(str.isalpha, words))
+        marked, alone = [], []
+        for w in itertools.filterfalse(str.isalpha, words):
+            stem = w.rstrip(MARKS)
+            if stem.isalpha() and stem != w:
+                marked.append((w, stem, w[len(stem) :]))
+            elif not w or _ODD_SPACE.search(w):
+                known[w] = None
+            elif _SPACE.search(w):
+                alone.append(w)
+            else:
+                plain.add(w)
+        plain.update([stem for _, stem, _ in marked if stem not in known])
+        for marks in {marks for _, _, marks in marked}.difference(self.marks):
+            self.marks[marks] = self.encode(marks)
+        plain = list(plain)
         for k in range(0, len(plain), WORDS_AT_ONCE):
             part = plain[k : k + WORDS_AT_ONCE]
-            raw = np.array(self.tokenizer.encode_batch_fast([space + f"\t{space}".join(part)], add_special_tokens=False)[0].ids, f"<u{self.width}")
-            tabs = np.flatnonzero(raw == self.tab)
-            if self.tab is None or len(tabs) != len(part) - 1:
+            text = space + (space or "\t").join(part)
+            raw = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            at = np.flatnonzero(self.begins[raw] if space else raw == self.tab)
+            if len(at) != len(part) - (not space) or (not space and self.tab is None):
                 alone += part
                 continue
-            raw, ends = raw.tobytes(), ((tabs + 1) * self.width).tolist()
-            for w, begin, end in zip(part, [0, *ends], [*ends, len(raw) + self.width]):
-                known[w] = raw[begin : end - self.width]
+            begins, ends = (at, np.append(at[1:], len(raw))) if space else (np.append(0, at + 1), np.append(at, len(raw)))
+            raw = raw.tobytes()
+            known.update(zip(part, map(raw.__getitem__, map(slice, (begins * self.width).tolist(), (ends * self.width).tolist()))))
         for w in alone:
             known[w] = self.encode(space + w)
-        for w in marked:
-            known[w] = known[w[:-1]] + self.marks[w[-1]]
+        for w, stem, marks in marked:
+            known[w] = known[stem] + self.marks[marks]
+
+    def known(self, words: list[str], known: dict[str, bytes | None], space: str) -> list[bytes | None]:
+        """What is known of each word, which is learned if it is not."""
+        found = list(map(known.get, words))
+        new = [k for k, raw in enumerate(found) if raw is None]
+        self.learn([w for w in map(words.__getitem__, new) if w not in known], known, space)
+        for k in new:
+            found[k] = known[words[k]]
+        return found
 
     def tokens(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Tokens of each text, in order."""
         if self.remembered > self.most:
             self.pieces.clear()
             self.first.clear()
+            self.marks.clear()
             self.remembered = 0
-        split = []
+        lines, ends = [], [0]
         for text in texts:
-            alone = text and not _ODD_SPACE.search(text)
-            split.append([line.split(" ") for line in text.split("\n")] if alone and not any(t in text for t in self.special) else None)
-        lines = [line for one in split if one for line in one]
-        self.learn({line[0] for line in lines}, self.first, "")
-        self.learn(set().union(*(line[1:] for line in lines)), self.pieces, " ")
-        for text, one in zip(texts, split):
-            if one:
-                raw = self.line.join([self.first[line[0]] + b"".join(map(self.pieces.__getitem__, line[1:])) for line in one])
-            else:
-                raw = self.encode(text) if text else b""
-            yield np.frombuffer(raw, f"<u{self.width}")
+            if text and not any(t in text for t in self.special):
+                lines += text.split("\n")
+            ends.append(len(lines))
+        found = self.gathered(lines, np.array(ends)) if lines else [None] * len(texts)
+        for text, k, tokens in zip(texts, range(len(texts)), found):
+            if ends[k] == ends[k + 1] or tokens is None:
+                tokens = np.frombuffer(self.encode(text) if text else b"", f"<u{self.width}")
+            yield tokens
+
+    def gathered(self, lines: list[str], ends: np.ndarray) -> Iterator[np.ndarray | None]:
+        """Tokens of the lines ``ends[k]`` to ``ends[k + 1]`` as one text; None where white space is odd."""
+        split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        at, words = split.offsets.to_numpy(), split.flatten().dictionary_encode()
+        code, different = words.indices.to_numpy(), words.dictionary
+        opens = at[:-1]
+        opening = np.zeros(len(code), bool)
+        opening[opens] = True
+        distinct = lambda x: np.flatnonzero(np.bincount(x, minlength=len(different)))
+        rest, first = distinct(code[~opening]), distinct(code[opens])
+        after_space, at_line = (self.known(different.take(pa.array(ids)).to_pylist(), *how) for ids, how in ((rest, (self.pieces, " ")), (first, (self.first, ""))))
+        # entries: words after a space, words at a text's beginning, words after a line feed
+        entries = after_space + at_line + [None if raw is None else self.line + raw for raw in at_line]
+        place = np.zeros(len(different), np.int64)
+        place[rest] = np.arange(len(rest))
+        entry = place[code]
+        place[first] = np.arange(len(first)) + len(rest) + len(first)
+        entry[opens] = place[code[opens]]
+        entry[at[ends[:-1][ends[:-1] < ends[1:]]]] -= len(first)
+        bad = None
+        if None in entries:
+            odd = np.fromiter((raw is None for raw in entries), bool, len(entries))
+            bad = np.append(0, np.cumsum(odd[entry]))
+            entries = [raw or b"" for raw in entries]
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
+        pool = np.frombuffer(b"".join(entries), f"<u{self.width}")
+        size, begin = sizes[entry], (np.cumsum(sizes) - sizes)[entry]
+        after = np.append(0, np.cumsum(size))
+        tokens = pool[np.repeat(begin - after[:-1], size) + np.arange(after[-1])]
+        edges = at[ends]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            yield tokens[after[a] : after[b]] if bad is None or bad[a] == bad[b] else None
+
+
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts that are encoded at once."""
+    begin, size = 0, 0
+    for k, text in enumerate(texts):
+        if k - begin == TEXTS or size >= CHARACTERS:
+            yield texts[begin:k]
+            begin, size = k, 0
+        size += len(text)
+    yield texts[begin:]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -200,8 +276,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0,
         end = np.array([end_id], f"<u{enc.width}")
         for b in batches:
             ids = b["doc_id"].astype("object").where(b["doc_id"].notna(), None)
-            texts = b["text"].tolist()
-            coded = (t for k in range(0, len(texts), TEXTS) for t in enc.tokens(texts[k : k + TEXTS]))
+            coded = (t for texts in portions(b["text"].tolist()) for t in enc.tokens(texts))
             for doc_id, tokens in zip(ids, coded):
                 if file is None:
                     path = f"{base}/{uuid.uuid4().hex}.tokens.zst"

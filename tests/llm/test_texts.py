@@ -381,3 +381,51 @@ def test_all_proposed_spans_train(spark, monkeypatch):
     monkeypatch.setattr(pii, "stored", lambda df, kind: seen.append(df.count()) or df.where("false"))
     docs = spark.range(12_000).selectExpr("id as doc_id", "concat('write to a', id, '@b.com now') as text")
     assert pii.train(docs) is None and seen == [12_000]
+
+
+class Asked:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.characters = tokenizer, 0
+
+    def encode(self, text, **more):
+        self.characters += len(text)
+        return self.tokenizer.encode(text, **more)
+
+    def encode_batch_fast(self, texts, **more):
+        self.characters += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+
+def test_tokenizer_gets_a_word_once_whatever_ends_it():
+    import public_tokenizers
+
+    e = token_file.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    whole = e.tokenizer
+    rnd = random.Random(7)
+    stems = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyzéß", k=12)) for _ in range(300)]
+    texts = [" ".join(w + m for w in rnd.sample(stems, 200) for m in ["", ".", "!!", "$$$", ",%%%"]) + "\n" + rnd.choice(stems) for _ in range(50)]
+    e.tokenizer = Asked(whole)
+    got = [t.tolist() for t in e.tokens(texts)]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert e.tokenizer.characters < 1.5 * sum(len(w) + 1 for w in stems)
+
+
+def test_tokens_of_odd_texts_are_those_of_the_tokenizer():
+    import public_tokenizers
+
+    e = token_file.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd = random.Random(5)
+    parts = ["a", "B", "é", "1", "²", "'", "'s", " ", " ", "\n", "\t", "\r", "\xa0", "\x1c", "᠎", ",", ".", "!!", "_", "$$$", "漢", "😀", "́", "Ġ", "word", "<|endoftext|>", "\0"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 24))) for _ in range(4000)] + ["", "\n", " ", "a", "a\n", "\na"]
+    assert [t.tolist() for t in e.tokens(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(e.tokens([])) == [] and [t.tolist() for t in e.tokens(["", ""])] == [[], []]
+
+
+def test_portions_keep_all_texts(monkeypatch):
+    monkeypatch.setattr(token_file, "TEXTS", 3)
+    monkeypatch.setattr(token_file, "CHARACTERS", 10)
+    texts = ["a" * n for n in (1, 1, 1, 1, 30, 2, 9, 9, 0, 0, 0, 0)]
+    assert [t for p in token_file.portions(texts) for t in p] == texts
+    assert max(map(len, token_file.portions(texts))) == 3 and list(token_file.portions([])) == [[]]
