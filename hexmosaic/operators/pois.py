@@ -11,8 +11,10 @@ from hexmosaic.config import Params
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.functions import rules
 from hexmosaic.operators.clip import clip_points
-from hexmosaic.session import bind
+from hexmosaic.session import bind, dealt
 
+#: Nodes that a task joins with their references, about.
+NODES_AT_ONCE = 250_000
 JSON = {"ignoreNullFields": "false"}
 COMMON = [
     "source",
@@ -43,10 +45,12 @@ def way_positions(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, lat, lon): mean position of a way's resolvable node references.
 
     A reference that occurs twice (the closing node) counts twice. The means are combined on the
-    map side after the join, so a way with very many nodes does not load one task.
+    map side after the join, so a way with very many nodes does not load one task. The join sorts
+    and the means keep an entry per way, so there are as many partitions as nodes ask for.
     """
     refs = ways.select("id", F.explode("refs").alias("ref"))
     n = nodes.where(F.col("kind") == "node").select(F.col("id").alias("ref"), "lat", "lon")
+    refs, n = dealt(["ref"], n, NODES_AT_ONCE, refs, n)
     return refs.join(n, "ref").groupBy("id").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hexmosaic.functions.geo import MULTIPOLYGON
 from hexmosaic.operators.polygons import dump_parts
 from hexmosaic.operators.population import Affine
-from hexmosaic.session import bind
+from hexmosaic.session import bind, dealt
 from hexmosaic.sources.readers import ELEMENTS
 
 # Tags of nodes and ways, by index: places of every group, excluded ones and one non-place.
@@ -47,6 +47,8 @@ TAGS = [
     "aeroway=helipad",
     "building=yes",
 ]
+#: Order lines that a task groups to ways, about.
+LINES_AT_ONCE = 1_000_000
 TAXONOMY = ["hospital", "school", "bank", "hotel", "restaurant", "temple", "shop", "park"]
 DIRECTIONS = [(10, 0), (7, 7), (0, 10), (-7, 7), (-10, 0), (-7, -7), (0, -10), (7, -7)]
 
@@ -166,6 +168,9 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as closed ways over the nodes of three orders, some of them missing."""
     li = table(spark, sf_dir, "lineitem")
+    # nearly all keys differ, so tasks that combine before the shuffle would keep whole splits of a file
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus"]
+    (li,) = dealt(columns[:2], li, LINES_AT_ONCE, li.select(*columns))
     w = li.groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_partkey").alias("p"),
         F.chr(F.min(F.ascii("l_returnflag"))).alias("rf"),  # numbers keep the aggregate hashed

@@ -86,6 +86,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def dealt(by: list[str], counted: DataFrame, rows: int, *tables: DataFrame) -> list[DataFrame]:
+    """``tables`` partitioned by the columns ``by``, with at least a partition for every ``rows`` rows of ``counted``.
+
+    For tasks that keep what they read in memory: with the session's number of partitions, or the
+    splits of a file, a task grows with the input. Up to ``rows`` rows the tables are left as they
+    are. ``counted`` should be a table or a filter of one, as it is counted at once.
+    """
+    count = counted.count()
+    if count <= rows:
+        return list(tables)
+    parts = max(-(-count // rows), int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return [t.repartition(parts, *by) for t in tables]
+
+
 class Rounds:
     """Lineage cuts of a loop, in two tables that take turns, so storage does not grow with rounds.
 

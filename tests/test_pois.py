@@ -138,3 +138,22 @@ def test_block_sum_and_window(spark):
 def test_rotated_raster_rejected():
     with pytest.raises(ValueError, match="rotated"):
         population.Affine(1, 0.1, 0, 0, -1, 0)
+
+
+def test_many_nodes_and_ways_are_joined_by_many_tasks(spark, sf, monkeypatch):
+    """The means of ways keep a bounded number of rows in a task, and ways are not combined before their shuffle."""
+    from hexmosaic.plans import derived, queries
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    e = derived.elements(spark, sf)
+    want = sorted(map(tuple, queries.way_centroid(spark, sf).collect()))
+    assert "RepartitionByExpression" not in plan(queries.way_centroid(spark, sf))
+    monkeypatch.setattr(pois, "NODES_AT_ONCE", 100)
+    monkeypatch.setattr(derived, "LINES_AT_ONCE", 300)
+    nodes, lines = e.where("kind = 'node'").count(), derived.table(spark, sf, "lineitem").count()
+    many = queries.way_centroid(spark, sf)
+    text = plan(many)
+    assert "RepartitionByExpression [ref#" in text and f"], {-(-nodes // 100)}" in text and f"], {-(-lines // 300)}" in text
+    assert sorted(map(tuple, many.collect())) == want
+    none = spark.createDataFrame([], e.schema)
+    assert pois.way_positions(none, none).count() == 0
