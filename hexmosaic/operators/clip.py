@@ -12,6 +12,10 @@ copies of a position, which one chunk of each cell counts, are decided together.
 cells hold many edges on average is cut to smaller cells first, so a position meets few edges however
 coarse the cells asked for are; where it meets an interior cell of any polygon, a clip keeps it at once.
 
+Where many polygons lie over each other, pairs of a position and a polygon it might be in are far more than
+both tables. ``locate_points`` therefore never shuffles or keeps them: positions and cells are dealt once into
+groups that one call decides with numpy, and only pairs that are inside leave it.
+
 Sides of reference points come from the fill itself. It says whether a cell's centre is inside;
 from there a path runs along the lattice row to one of a few fixed places and then across the row to
 the reference. Crossings on the first leg are those the fill was made of, crossings on the second
@@ -20,11 +24,16 @@ are counted on the cell's edges, and of the few references the one farthest from
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from hexmosaic.functions import hexgrid as hx
 from hexmosaic.operators.polyfill import along_row, center_cells, edge_cells, row_crossings
@@ -35,6 +44,12 @@ CHUNK_EDGES = 64
 #: Edges of a border cell, on average over a polygon, above which its cells get finer, and the finest of them.
 CROWDED, FINEST = 64, 14
 ATTACH_GROW = 0.01
+#: What is decided at once, about: positions, and edges of parts (CHUNK_EDGES for a part with fewer).
+POINTS, EDGES = 16_384, 16_384
+#: Positions of a task, about, and cells that a broadcast holds.
+TASK_POINTS, SENT_CELLS = 1_000_000, 65_536
+#: Edges of a block of tests, about, and tests of a block: as many numbers as stay in a core's cache.
+BLOCK_EDGES, BLOCK = 128, 32_768
 #: References: lattice columns along the row, then circumradii across it.
 SPOTS = [(-0.23, 0.31), (-0.16, -0.27), (-0.09, 0.19), (-0.03, -0.35), (0.04, 0.37), (0.11, -0.22), (0.17, 0.28), (0.22, -0.33)]
 ENDS = ["x1", "y1", "x2", "y2"]
@@ -127,12 +142,14 @@ def levels(parts: DataFrame, res: int, key: str = "part_id") -> Iterator[tuple[i
     while True:
         local = _local(ring_edges(parts, key), res, key)
         cells = local.groupBy(key, "h3").agg(F.count("*").alias("n")).groupBy(key).agg(F.avg("n").alias("n"))
-        crowded = cut_lineage(cells.where(F.col("n") > CROWDED).select(F.col(key).alias("_crowded")))
+        cells = cut_lineage(cells.select(F.col(key).alias("_crowded"), (F.col("n") > CROWDED).alias("many")))
+        crowded = cells.where("many").select("_crowded")
         if res + 2 > FINEST or crowded.isEmpty():
             yield res, clip_cells(parts, res, key, local)
             return
         same = F.col(key) == F.col("_crowded")
-        yield res, clip_cells(parts.join(crowded, same, "left_anti"), res, key, local.join(crowded, same, "left_anti"))
+        if not cells.where("_crowded is null or not many").isEmpty():
+            yield res, clip_cells(parts.join(crowded, same, "left_anti"), res, key, local.join(crowded, same, "left_anti"))
         parts, res = cut_lineage(parts.join(crowded, same, "left_semi")), res + 2
 
 
@@ -202,8 +219,149 @@ def clip_points(points: DataFrame, parts: DataFrame, res: int, seen: Observation
     return reduce(DataFrame.unionByName, out)
 
 
+def _sides(x: np.ndarray, y: np.ndarray, edges: np.ndarray, of: np.ndarray, at: np.ndarray, ref: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(part, position) pairs inside, block by block, as ``_inside`` decides them.
+
+    ``edges`` has a row for x1, y1, x2 and y2 each, ordered by part; ``of`` gives their parts, ``at`` the first edge
+    of each part, and ``ref`` the parts' reference points (x, y) and sides.
+    """
+    x1, y1, x2, y2 = edges[:, :, None]
+    cx, cy = (ref[i][of][:, None] for i in (0, 1))
+    turn = np.where(x2 < x1, -1.0, 1.0)
+    ex, ey = (x2 - x1) * turn, (y2 - y1) * turn
+    ax, ay, bx, by = x1 - cx, y1 - cy, x2 - cx, y2 - cy
+    from_c = ex * -ay - ey * -ax >= 0
+    step = max(BLOCK // len(of), 16)
+    numbers, sides = np.empty((4, len(of), min(step, len(x)))), np.empty((2, len(of), min(step, len(x))), bool)
+    for first in range(0, len(x), step):
+        px, py = x[None, first : first + step], y[None, first : first + step]
+        sx, sy, m, n = numbers[:, :, : px.shape[1]]
+        a, b = sides[:, :, : px.shape[1]]
+        np.subtract(px, cx, out=sx)
+        np.subtract(py, cy, out=sy)
+        for ux, uy, side in ((ax, ay, a), (bx, by, b)):
+            np.subtract(np.multiply(sx, uy, out=m), np.multiply(sy, ux, out=n), out=m)
+            np.greater_equal(m, 0, out=side)
+        np.not_equal(a, b, out=a)
+        np.multiply(np.subtract(py, y1, out=sy), ex, out=m)
+        np.multiply(np.subtract(px, x1, out=sx), ey, out=n)
+        from_p = np.subtract(m, n, out=m)
+        np.not_equal(np.greater_equal(from_p, 0, out=b), from_c, out=b)
+        crosses = np.logical_and(a, b, out=a)
+        inside = np.logical_xor.reduceat(crosses, at, axis=0) != (ref[2] > 0)[:, None]
+        if np.equal(from_p, 0, out=b).any():
+            e, p = np.nonzero(b)
+            (u1, v1, u2, v2), u, v = edges[:, e], px[0, p], py[0, p]
+            on = (u >= np.minimum(u1, u2)) & (u <= np.maximum(u1, u2)) & (v >= np.minimum(v1, v2)) & (v <= np.maximum(v1, v2))
+            inside[of[e[on]], p[on]] = True
+        part, point = np.nonzero(inside)
+        yield part, point + first
+
+
+def _decide(id_col: str, key: str, schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Function for ``cogroup``: distinct positions and chunks of cells -> (id, key) of positions inside."""
+
+    def firsts(*columns: np.ndarray) -> np.ndarray:
+        """Where runs of equal rows begin, and the end."""
+        new = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+        return np.concatenate([[0], np.flatnonzero(new) + 1, [len(columns[0])]])
+
+    def run(points: pa.Table, cells: pa.Table) -> pa.Table:
+        if not (points.num_rows and cells.num_rows):
+            return schema.empty_table()
+        points = points.group_by([id_col, "lat", "lng", "_cell", "_slot"], use_threads=False).aggregate([])
+        cell, slot, x, y = (points[c].to_numpy() for c in ("_cell", "_slot", "lng", "lat"))
+        order = np.lexsort((slot, cell))
+        cell, slot, x, y = cell[order], slot[order], x[order], y[order]
+
+        coded = cells[key].combine_chunks().dictionary_encode()
+        code = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        rows = np.lexsort((code, cells["_slot"].to_numpy(), cells["_cell"].to_numpy()))
+        cells, code = cells.take(pa.array(rows)), code[rows]
+        at_cell, at_slot = cells["_cell"].to_numpy(), cells["_slot"].to_numpy()
+        held = cells["edges"].combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(held).fill_null(0).to_numpy(zero_copy_only=False))])
+        flat = held.flatten()
+        edges = np.array([flat.field(c).to_numpy(zero_copy_only=False) for c in ENDS])
+        begin = firsts(at_cell, at_slot, code)
+        part, begin = begin[:-1], ends[begin]  # first row of each part in a cell, and its first edge
+        ref = np.array([cells[c].to_numpy()[part].astype(float) for c in ("cx", "cy", "ref_in")])
+        runs = firsts(at_cell[part], at_slot[part])
+        where = {(at_cell[part[a]], at_slot[part[a]]): (a, b) for a, b in zip(runs[:-1], runs[1:], strict=True)}
+
+        found = []
+        bounds = firsts(cell, slot)
+        for p, q in zip(bounds[:-1], bounds[1:], strict=True):
+            a, b = where.get((cell[p], slot[p]), (0, 0))
+            bare = np.flatnonzero(begin[a:b] == begin[a + 1 : b + 1]) + a
+            bare = bare[ref[2, bare] > 0]
+            found.append((np.repeat(bare, q - p), np.tile(np.arange(p, q), len(bare))))
+            some = np.flatnonzero(begin[a:b] < begin[a + 1 : b + 1]) + a
+            while len(some):
+                n = max(1, np.searchsorted(begin[some + 1], begin[some[0]] + BLOCK_EDGES, "right"))
+                now, some = some[:n], some[n:]
+                e, f = begin[now[0]], begin[now[-1] + 1]
+                of = np.repeat(np.arange(n), begin[now + 1] - begin[now])
+                for k, i in _sides(x[p:q], y[p:q], edges[:, e:f], of, begin[now] - e, ref[:, now]):
+                    found.append((now[k], i + p))
+        k, i = (np.concatenate([f[j] for f in found]) for j in (0, 1))
+        k = code[part[k]]
+        out = [points[id_col].combine_chunks().take(pa.array(order[i])), coded.dictionary.take(pa.array(k, mask=k < 0))]
+        return pa.Table.from_batches(pa.table(out, schema=schema).to_batches(max_chunksize=POINTS), schema)
+
+    return run
+
+
+def _located(points: DataFrame, cells: DataFrame, res: int, id_col: str, key: str) -> DataFrame:
+    """(id, key) of distinct positions inside parts, by the parts' stored cells; what has to meet is dealt into groups.
+
+    A cell with many positions, or edges, is dealt to several slots, which share its positions and hold all
+    its edges, or the other way round. Edges of one part in one cell that are too many for a group are
+    met and folded by Spark.
+    """
+    by = [id_col, "lat", "lng"]
+    p = bind(points.select(*by), by, _cell=hx.cell(F.col("lat"), F.col("lng"), res)).where("_cell is not null")
+    held = cells.groupBy(key, "h3").agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n"))
+    load = F.sum(F.when(F.col("n") <= EDGES, F.greatest("n", F.lit(CHUNK_EDGES))).otherwise(0))
+    held_by_cell = held.groupBy("h3").agg(load.alias("load"), F.max("n").alias("most"))
+    met = p.groupBy("_cell").agg(F.count("*").alias("points")).join(unsent(held_by_cell), F.col("_cell") == F.col("h3"))
+    met = cut_lineage(met.select("h3", "points", "load", "most"))
+    sums = [F.coalesce(f(c), F.lit(0)).cast("long").alias(n) for f, c, n in ((F.sum, "points", "points"), (F.sum, "load", "load"), (F.max, "most", "most"), (F.count, "h3", "cells"))]
+    total = met.agg(*sums).first()
+
+    more = None
+    if total["most"] > EDGES:
+        many = cut_lineage(held.where(F.col("n") > EDGES).select(F.col(key).alias("_key"), F.col("h3").alias("_h3")))
+        same = (F.col(key) == F.col("_key")) & (F.col("h3") == F.col("_h3"))
+        more = _inside(points, cells.join(many, same, "left_semi"), res, by, key).select(id_col, key)
+        cells = cells.join(many, same, "left_anti")
+
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), total["points"] // TASK_POINTS + 1)
+    groups = max(4 * tasks, total["points"] // POINTS, total["load"] // EDGES)
+    slots = met.select(F.col("h3").alias("_met"), F.ceil(F.col("points") / POINTS).alias("ps"), F.greatest(F.ceil(F.col("load") / EDGES), F.lit(1)).alias("es"))
+    # either few cells, and what lies in no others is left out, or a row for every POINTS positions or EDGES edges at most
+    few = total["cells"] <= SENT_CELLS
+    slots = F.broadcast(slots if few else slots.where("ps > 1 or es > 1"))
+    c = cells.select(key, F.col("h3").alias("_cell"), "ref_in", "cx", "cy", "edges")
+
+    def dealt(df: DataFrame, own: Column, other: str) -> DataFrame:
+        columns = df.columns
+        df = df.join(slots, F.col("_cell") == F.col("_met"), "inner" if few else "left").withColumns({n: F.coalesce(n, F.lit(1)) for n in ("ps", "es")})
+        df = df.select("*", F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("_other"))
+        df = df.withColumn("_own", own)
+        a, b = ("_own", "_other") if other == "es" else ("_other", "_own")
+        df = df.select(*columns, (F.shiftleft(F.col(a).cast("long"), 32) + F.col(b)).alias("_slot"))
+        return df.withColumn("_group", F.pmod(F.xxhash64("_cell", "_slot"), F.lit(groups))).repartition(tasks, "_group")
+
+    p = dealt(p, F.pmod(F.xxhash64(*by), F.col("ps")), "es").groupBy("_group")
+    c = dealt(c, F.pmod(F.xxhash64(key), F.col("es")), "ps").groupBy("_group")
+    fields = [points.schema[id_col], cells.schema[key]]
+    schema = StructType([StructField(f.name, f.dataType) for f in fields])
+    found = p.cogroup(c).applyInArrow(_decide(id_col, key, to_arrow_schema(schema)), schema)
+    return found.unionByName(more) if more else found
+
+
 def locate_points(points: DataFrame, parts: DataFrame, res: int, id_col: str, key: str = "part_id") -> DataFrame:
     """All (id, part) pairs of points inside parts, boundary included: the join form of the clip."""
-    by = [id_col, "lat", "lng"]
-    every = [_inside(points, cells, level, by, key) for level, cells in levels(parts, res, key)]
-    return reduce(DataFrame.unionByName, every).select(id_col, key)
+    every = [_located(points, cut_lineage(cells), level, id_col, key) for level, cells in levels(parts, res, key)]
+    return reduce(DataFrame.unionByName, every)

@@ -165,6 +165,12 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes without their tags, which are most of the work of a node: (id, lat, lon)."""
+    k, lat, lon = F.col("o_orderkey").alias("id"), spark_expr(NODE_LAT), spark_expr(NODE_LNG)
+    return table(spark, sf_dir, "orders").select(k, lat.alias("lat"), lon.alias("lon"))
+
+
 def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as closed ways over the nodes of three orders, some of them missing."""
     li = table(spark, sf_dir, "lineitem")

@@ -54,7 +54,7 @@ def point_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def node_points(spark: SparkSession, sf: str) -> DataFrame:
-    return d.nodes(spark, sf).select("id", "lat", F.col("lon").alias("lng"))
+    return d.positions(spark, sf).select("id", "lat", F.col("lon").alias("lng"))
 
 
 # --- scans, filters, staging --------------------------------------------------------------

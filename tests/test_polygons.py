@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -294,6 +295,35 @@ def test_crowded_parts_get_finer_cells(spark):
     assert sorted(r.id for r in clip.clip_points(s, p, 4).collect()) == sorted([i for i in ids] + [i for i in ids if i < 50])
 
 
+@pytest.mark.parametrize("points, edges, sent", [(16_384, 16_384, 65_536), (16_384, 16_384, 0), (40, 300, 65_536), (40, 150, 0), (16_384, 20, 0)])
+def test_pairs_are_decided_where_they_meet(spark, monkeypatch, points, edges, sent):
+    """Parts over each other: pairs of a position and a part are not shuffled, however cells are dealt to groups."""
+    for name, value in (("POINTS", points), ("EDGES", edges), ("SENT_CELLS", sent), ("TASK_POINTS", 100)):
+        monkeypatch.setattr(clip, name, value)
+    rnd = random.Random(5)
+    shapes = [(k, [star(rnd, 104.9 + rnd.uniform(-0.03, 0.03), 11.5 + rnd.uniform(-0.03, 0.03), 12, 0.02, 0.06)]) for k in range(30)]
+    shapes.append((99, [comb(104.88, 11.49, 0.03, 0.02, 40)]))
+    p = spark.createDataFrame(shapes, f"part_id int, polygon {geo.POLYGON}")
+    rng = np.random.default_rng(6)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(11.4, 11.6, 500), rng.uniform(104.8, 105.0, 500)))]
+    corners = [(1000 + k, ring[0][1], ring[0][0]) for k, (ring,) in shapes]
+    odd = [(0, 11.5, 104.9), (None, 11.5, 104.9), (2000, None, 104.9), (2001, 50.0, 50.0)]
+    s = spark.createDataFrame(pts + corners + odd + pts[:50] + odd[:1], "id int, lat double, lng double")
+    got = clip.locate_points(s, p, 6, "id")
+    if edges > 150:
+        exchanges = re.findall(r"Exchange (\w+\(\w+)", got._jdf.queryExecution().executedPlan().toString())
+        assert exchanges and {x for x in exchanges if x.startswith("hash")} == {"hashpartitioning(_group"}
+    every = [x for x in pts + corners + odd if x[1] is not None]
+    want = {(i, a, b, k) for i, a, b in every for k, r in shapes if brute_inside(b, a, r) or (i or 0) - 1000 == k}
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(str((i, k)) for i, _, _, k in want)
+
+
+def test_levels_without_parts_are_left_out(spark):
+    ring = comb(104.9, 11.5, 0.3, 0.25, 300)
+    p = spark.createDataFrame([(1, [ring]), (2, [])], f"part_id int, polygon {geo.POLYGON}")
+    assert 4 not in [r for r, _ in clip.levels(p, 4)]
+
+
 def test_rows_in_interior_cells_are_not_shuffled(spark, monkeypatch):
     big = [(104.0, 11.0), (105.0, 11.0), (105.0, 12.0), (104.0, 12.0)]
     small = [(104.5, 11.5), (104.52, 11.5), (104.52, 11.52), (104.5, 11.52)]
