@@ -194,6 +194,14 @@ def _inside(points: DataFrame, cells: DataFrame, res: int, by: list[str], key: s
     return sides.where((F.col("ref_in") != odd) | F.col("touch")).select(*by, key)
 
 
+def _unused(columns: list[str], name: str) -> str:
+    """``name`` with underscores before it, until no column has it, with or without the one that ``bind`` adds."""
+    taken = {c.lower() for c in columns}
+    while name in taken or f"_{name}" in taken:
+        name = f"_{name}"
+    return name
+
+
 def clip_points(points: DataFrame, parts: DataFrame, res: int, seen: Observation | None = None) -> DataFrame:
     """Rows of ``points`` (with lat, lng) inside any part, boundary included.
 
@@ -204,13 +212,14 @@ def clip_points(points: DataFrame, parts: DataFrame, res: int, seen: Observation
     """
     rows = cut_lineage(points.observe(seen, F.count("*").alias("rows")) if seen else points)
     out, steps = [], list(levels(parts, res))
+    at, over = (_unused(rows.columns, n) for n in ("_cell", "_whole"))
     for k, (level, cells) in enumerate(steps):
         cells = cut_lineage(cells)
-        whole = cells.where("edges is null").select(F.col("h3").alias("_whole")).distinct()
-        border = cells.where("edges is not null").join(whole, F.col("h3") == F.col("_whole"), "left_anti")
-        placed = bind(rows, rows.columns, _cell=hx.cell(F.col("lat"), F.col("lng"), level))
-        out.append(placed.join(whole, F.col("_cell") == F.col("_whole"), "left_semi").select(*points.columns))
-        left = placed.join(whole, F.col("_cell") == F.col("_whole"), "left_anti").select(*points.columns)
+        whole = cells.where("edges is null").select(F.col("h3").alias(over)).distinct()
+        border = cells.where("edges is not null").join(whole, F.col("h3") == F.col(over), "left_anti")
+        placed = bind(rows, rows.columns, **{at: hx.cell(F.col("lat"), F.col("lng"), level)})
+        out.append(placed.join(whole, F.col(at) == F.col(over), "left_semi").select(*points.columns))
+        left = placed.join(whole, F.col(at) == F.col(over), "left_anti").select(*points.columns)
         inside = _inside(left, border, level, ["lat", "lng"], "part_id")
         if k + 1 < len(steps):
             inside = cut_lineage(inside)
